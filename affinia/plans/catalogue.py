@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import graph
+from affinia.plans import baskets, graph
 
-AREAS = [graph]
+AREAS = [graph, baskets]
 
 
 def queries() -> dict:
