@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, graph
+from affinia.plans import baskets, clusters, graph
 
-AREAS = [graph, baskets]
+AREAS = [graph, baskets, clusters]
 
 
 def queries() -> dict:

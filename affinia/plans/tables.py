@@ -40,3 +40,10 @@ steps AS (
   WHERE x.l_partkey <> y.l_partkey),
 edges AS (SELECT a AS src, b AS dst FROM steps UNION SELECT b, a FROM steps)
 """
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as `(id, features, label)` with double features."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"), "label"
+    )
