@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, clusters, graph
+from affinia.plans import baskets, clusters, graph, recommend
 
-AREAS = [graph, baskets, clusters]
+AREAS = [graph, baskets, clusters, recommend]
 
 
 def queries() -> dict:
