@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, clusters, graph, recommend
+from affinia.plans import baskets, chunked, clusters, graph, recommend
 
-AREAS = [graph, baskets, clusters, recommend]
+AREAS = [graph, baskets, clusters, chunked, recommend]
 
 
 def queries() -> dict:
