@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, chunked, clusters, graph, recommend
+from affinia.plans import baskets, chunked, clusters, graph, recommend, study
 
-AREAS = [graph, baskets, clusters, chunked, recommend]
+AREAS = [graph, baskets, clusters, chunked, recommend, study]
 
 
 def queries() -> dict:
