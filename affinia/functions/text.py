@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def fixed(value: str | Column, digits: int) -> Column:
-    """A double with a fixed number of decimals as C and Python print it: ties go to
-    the even digit and a negative value that rounds to zero keeps its sign."""
+    """A double with a fixed number of decimals as C and Python print it: ties of
+    the number's decimal form go to the even digit and a negative value that rounds to
+    zero keeps its sign."""
     value = F.col(value) if isinstance(value, str) else value
     rounded = F.bround(value, digits)
     text = F.format_string(f"%.{digits}f", rounded)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, chunked, clusters, graph, recommend, study
+from affinia.plans import baskets, chunked, clusters, formats, graph, recommend, study
 
-AREAS = [graph, baskets, clusters, chunked, recommend, study]
+AREAS = [graph, baskets, clusters, chunked, recommend, study, formats]
 
 
 def queries() -> dict:
