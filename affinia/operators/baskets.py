@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.text import fixed
-from affinia.operators.skew import heavy_keys
+from affinia.operators.skew import heavy_keys, spread_join
 from affinia.session import store
 
 ITEMS = ("i1", "i2", "i3")
@@ -31,6 +31,7 @@ def frequent_itemsets(
     itemset that reaches the threshold with their help still has
     `min_support - (number set aside)` other baskets, so those itemsets are the only
     candidates, and the long baskets are merely probed for them. The result is exact.
+    Long baskets beyond that number are joined in slices.
     """
     tx = tx.select("basket", "item").distinct()
     level = store(
@@ -42,11 +43,12 @@ def frequent_itemsets(
         return found[0]
 
     kept = store(tx.join(level, "item", "left_semi").select("basket", "item"), "kept")
-    heavy = heavy_keys(kept, "basket", heavy_basket, min(min_support - 1, 1000))
+    long = heavy_keys(kept, "basket", heavy_basket, 1000)
+    heavy, sliced = long[: min_support - 1], long[min_support - 1 :]
     light = kept.filter(~F.col("basket").isin(heavy)) if heavy else kept
     held = kept.filter(F.col("basket").isin(heavy))
 
-    occurrences = _pairs(light)
+    occurrences = _pairs(light, sliced)
     for size in range(2, max_size + 1):
         keys = list(ITEMS[:size])
         if size == 3:
@@ -63,13 +65,9 @@ def frequent_itemsets(
     return result
 
 
-def _pairs(kept: DataFrame) -> DataFrame:
-    second = kept.select("basket", F.col("item").alias("i2"))
-    return (
-        kept.withColumnRenamed("item", "i1")
-        .join(second, "basket")
-        .filter(F.col("i1") < F.col("i2"))
-    )
+def _pairs(kept: DataFrame, sliced: list) -> DataFrame:
+    first, second = [kept.select("basket", F.col("item").alias(c)) for c in ("i1", "i2")]
+    return spread_join(first, second, "basket", sliced).filter(F.col("i1") < F.col("i2"))
 
 
 def _triples(pairs: DataFrame, frequent: DataFrame) -> DataFrame:

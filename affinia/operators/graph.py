@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.operators.skew import heavy_keys, ranked, spread_join
+from affinia.session import store
 
 HUB_LIMIT = 6  # hub sets are bit masks: at most 2**6 - 1 classes of vertices
 
@@ -29,7 +30,7 @@ def mutual_neighbours(
     bit mask of the hubs it reaches or is reached from, and a pair's mutual hubs
     are the common bits. Middles above `busy_paths` are joined in slices.
     """
-    links = edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
+    links = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "links")
     hubs, busy = _large_middles(links, hub_paths, busy_paths, max_hubs)
     if not hubs:
         counted = _count_paths(links, links, busy)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from affinia.operators.bfr import BfrSettings, run_chunks, set_sizes
@@ -10,7 +12,7 @@ from affinia.plans.tables import points
 from affinia.session import scratch_path
 from affinia.streaming.bfr_stream import cluster_stream
 
-CHUNK = 100
+CHUNKS = 5  # the chunks grow with the table, not their number
 # with 64 noisy dimensions alpha 2 would take in every point; this keeps all three sets busy
 SETTINGS = BfrSettings(alpha=1.2)
 
@@ -19,21 +21,25 @@ def _points(spark, sf_dir):
     return points(spark, sf_dir).select("id", "features")
 
 
+def _chunk_size(spark, sf_dir):
+    return math.ceil((_points(spark, sf_dir).agg(F.max("id")).first()[0] + 1) / CHUNKS)
+
+
 def bfr_run(spark, sf_dir):
-    bfr, version = run_chunks(_points(spark, sf_dir), CHUNK, SETTINGS)
+    bfr, version = run_chunks(_points(spark, sf_dir), _chunk_size(spark, sf_dir), SETTINGS)
     clusters, _, retained = bfr.finish(version)
     return set_sizes(clusters, retained)
 
 
 def bfr_log(spark, sf_dir):
-    bfr, version = run_chunks(_points(spark, sf_dir), CHUNK, SETTINGS)
+    bfr, version = run_chunks(_points(spark, sf_dir), _chunk_size(spark, sf_dir), SETTINGS)
     return bfr.report(version)
 
 
 def bfr_stream(spark, sf_dir):
     """The same chunks as a stream of files."""
-    path = scratch_path(spark, "arriving")
-    chunked = _points(spark, sf_dir).withColumn("chunk", F.floor(F.col("id") / CHUNK).cast("long"))
+    path, size = scratch_path(spark, "arriving"), _chunk_size(spark, sf_dir)
+    chunked = _points(spark, sf_dir).withColumn("chunk", F.floor(F.col("id") / size).cast("long"))
     chunked.repartition("chunk").write.partitionBy("chunk").parquet(path)
     bfr, version = cluster_stream(spark, f"{path}/*", SETTINGS)
     clusters, _, retained = bfr.finish(version)

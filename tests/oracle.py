@@ -19,6 +19,9 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else round(value, 9) + 0.0
@@ -42,6 +45,9 @@ def compare(spark, sf_dir, query, sql):
     columns = [d[0] for d in cursor.description]
     want_columns, want = rows_of(columns, cursor.fetchall())
     assert got_columns == want_columns
+    theirs = {d[0]: str(d[1]) for d in cursor.description}
+    mine = {f.name: TYPES[f.dataType.simpleString()] for f in df.schema}
+    assert mine == theirs, {c: (t, theirs[c]) for c, t in mine.items() if t != theirs[c]}
     assert len(got) == len(want), f"{len(got)} rows, oracle has {len(want)}"
     for mine, theirs in zip(got, want):
         assert mine == theirs, f"{mine} != {theirs}"

@@ -75,21 +75,21 @@ def predicted(rows, target, near):
     return sum(s * r for s, r in pairs) / sum(s for s, _ in pairs) if pairs else None
 
 
-@pytest.mark.parametrize("hot_item,heavy_user", [(100_000, 10_000), (5, 4)])
-def test_predictions_equal_brute_force(spark, hot_item, heavy_user):
+@pytest.mark.parametrize("limits", [(10_000, 100_000, 2_000_000), (4, 5, 0), (4, 5, 2_000_000), (10_000, 5, 0)])
+def test_predictions_equal_brute_force(spark, limits):
     rows = random_ratings(5)
     similar = jaccard(rows)
     near = {**similar, **{(b, a): s for (a, b), s in similar.items()}}
     train = frame(spark, rows)
     near_df = sim.stored_neighbours(train)
-    got = {(r["user"], r["item"]): r["predicted"] for r in rec.predict_unseen(train, near_df, hot_item).collect()}
+    got = {(r["user"], r["item"]): r["predicted"] for r in rec.predict_unseen(train, near_df, *limits).collect()}
     targets = [(u, i) for u in range(20) for i in range(15) if (u, i) not in rows]
     want = {t: predicted(rows, t, near) for t in targets}
     assert got == {t: pytest.approx(p) for t, p in want.items() if p is not None}
-    unseen = {tuple(r) for r in rec.unseen_pairs(train, near_df, hot_item).select("user", "item").collect()}
+    unseen = {tuple(r) for r in rec.unseen_pairs(train, near_df, *limits).select("user", "item").collect()}
     assert unseen == set(got)
 
-    rated = rec.predict_pairs(train, train, sim.neighbours(sim.item_similarity(train), False), heavy_user, hot_item)
+    rated = rec.predict_pairs(train, train, sim.neighbours(sim.item_similarity(train), False), *limits)
     got = {(r["user"], r["item"]): r["predicted"] for r in rated.collect()}
     want = {t: predicted(rows, t, similar) for t in rows}
     assert got == {t: pytest.approx(p) for t, p in want.items() if p is not None}
