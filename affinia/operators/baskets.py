@@ -18,11 +18,16 @@ def item_dictionary(df: DataFrame, item: str, description: str) -> DataFrame:
 
 
 def frequent_itemsets(
-    tx: DataFrame, min_support: int, max_size: int = 3, heavy_basket: int = 2000
+    tx: DataFrame,
+    min_support: int,
+    max_size: int = 3,
+    heavy_basket: int = 2000,
+    distinct: bool = False,
 ) -> DataFrame:
     """Itemsets held by at least `min_support` baskets: `(size, items, support)`.
 
-    `tx` is `(basket, item)`; duplicates count once and items are sorted as strings.
+    `tx` is `(basket, item)`; duplicates count once (`distinct` says that there are none)
+    and items are sorted as strings.
     Each level is written once, because the next one is pruned by it: pairs are built
     from frequent items only, triples from frequent pairs only.
 
@@ -33,7 +38,9 @@ def frequent_itemsets(
     candidates, and the long baskets are merely probed for them. The result is exact.
     Long baskets beyond that number are joined in slices.
     """
-    tx = tx.select("basket", "item").distinct()
+    tx = tx.select("basket", "item")
+    if not distinct:
+        tx = store(tx.distinct(), "transactions")
     level = store(
         tx.groupBy("item").agg(F.count(F.lit(1)).alias("support")).filter(F.col("support") >= min_support),
         "itemsets1",

@@ -41,7 +41,7 @@ def item_similarity(
     Users with more than `heavy_user` items are cut into slices, so that no task
     builds all pairs of one user.
     """
-    pairs = ratings.select("user", "item").distinct()
+    pairs = store(ratings.select("user", "item").distinct(), "rated")
     heavy = heavy_keys(pairs, "user", heavy_user, 1000)
     shared = (
         spread_join(
@@ -107,9 +107,9 @@ def item_similarity_lsh(
     mostly pairs that hardly matter, and does not expand users at all. The similarity
     of a found pair is exact: the users of the rarer item are looked up in the other.
     """
-    pairs = ratings.select("user", "item").distinct()
+    pairs = store(ratings.select("user", "item").distinct(), "rated")
     sizes = _sizes(pairs)
-    buckets = minhash(pairs, tables, seed)
+    buckets = store(minhash(pairs, tables, seed), "buckets")
     heavy = heavy_keys(buckets, "bucket", heavy_bucket, 1000)
     found = (
         spread_join(
@@ -151,7 +151,7 @@ def neighbours(similar: DataFrame, symmetric: bool = True) -> DataFrame:
     return similar.select(F.inline(F.array(forward, backward)))
 
 
-def stored_neighbours(ratings: DataFrame, method: str = "exact", symmetric: bool = True, **options) -> DataFrame:
+def stored_neighbours(ratings: DataFrame, method: str = "lsh", symmetric: bool = True, **options) -> DataFrame:
     """Similarities written once, since prediction and evaluation both read them."""
     build = {"exact": item_similarity, "lsh": item_similarity_lsh}[method]
     return neighbours(store(build(ratings, **options), "similarity"), symmetric)

@@ -31,7 +31,7 @@ def _dictionary(spark, sf_dir):
 def _mined(spark, sf_dir):
     tx = store(transactions(spark, sf_dir), "transactions")
     n = tx.select("basket").distinct().count()
-    return ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n))), n
+    return ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n)), distinct=True), n
 
 
 def _joined(column):
@@ -50,9 +50,9 @@ def itemsets_median(spark, sf_dir):
     """All itemsets at the median pair support, where half of the pairs are pruned."""
     tx = store(transactions(spark, sf_dir), "transactions")
     n = tx.select("basket").distinct().count()
-    pairs = ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n)), 2)
+    pairs = ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n)), 2, distinct=True)
     median = pairs.filter(F.col("size") == 2).agg(F.median("support")).first()[0]
-    itemsets = ops.frequent_itemsets(tx, math.ceil(median))
+    itemsets = ops.frequent_itemsets(tx, math.ceil(median), distinct=True)
     return itemsets.select("size", _joined("items").alias("items"), "support")
 
 

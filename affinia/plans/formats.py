@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from affinia.operators.graph import recommend_friends
 from affinia.operators.recommend import predict_pairs, recommend_items
-from affinia.operators.similarity import stored_neighbours
-from affinia.plans.recommend import ORACLES as RATING_ORACLES
-from affinia.plans.recommend import _split, _titles, raw_ratings
+from affinia.plans.recommend import NEAR_SQL, near_items, raw_ratings, split_ratings, titles
 from affinia.plans.graph import ORACLES as GRAPH_ORACLES
 from affinia.plans.tables import GRAPH_SQL, graph, points, table
 from affinia.session import scratch_path
@@ -122,16 +120,14 @@ def sink_recommendations(spark, sf_dir):
 def sink_predictions(spark, sf_dir):
     """Top 10 of the held-out pairs as CSV, read back as text columns."""
     path = scratch_path(spark, "predictions")
-    train, held_out = _split(spark, sf_dir)
-    predictions = predict_pairs(held_out, train, stored_neighbours(train))
-    writers.write_predictions(recommend_items(predictions, _titles(spark, sf_dir)), path)
+    train, held_out = split_ratings(spark, sf_dir)
+    predictions = predict_pairs(held_out, train, near_items(train))
+    writers.write_predictions(recommend_items(predictions, titles(spark, sf_dir)), path)
     schema = "`UserID` string, `MovieID` string, `Movie Name` string, `Predicted Rating` string"
     read = spark.read.csv(path, schema=schema, header=True, escape='"')
     return read.toDF("user_id", "movie_id", "movie_name", "predicted_rating")
 
 
-_CF = RATING_ORACLES["cf_predict"].split("near AS (")[0]
-
 QUERIES = {
     "src_adjacency": src_adjacency,
     "src_transactions": src_transactions,
@@ -162,7 +158,7 @@ FROM embeddings, (SELECT unnest(range(16)) AS pos)""",
   CAST(n_chars AS DOUBLE) AS n_chars FROM labels JOIN documents USING (doc_id)""",
     "sink_recommendations": f"""SELECT CAST(id AS VARCHAR) || chr(9) || recs AS line
 FROM ({GRAPH_ORACLES["friend_recommendations"]})""",
-    "sink_predictions": f"""{_CF} near AS (SELECT i1 AS i, i2 AS j, s FROM sims UNION ALL SELECT i2, i1, s FROM sims),
+    "sink_predictions": f"""WITH {NEAR_SQL},
 scored AS (
   SELECT v.u, v.i, sum(s * n.rating) / sum(abs(s)) AS p
   FROM val v JOIN near ON v.i = near.i JOIN train n ON n.u = v.u AND n.i = near.j GROUP BY 1, 2),

@@ -29,12 +29,18 @@ def ratings(spark, sf_dir, item="l_suppkey"):
     return sim.dedup_ratings(raw_ratings(spark, sf_dir, item))
 
 
-def _split(spark, sf_dir):
+def split_ratings(spark, sf_dir):
     both = store(ratings(spark, sf_dir), "ratings")
-    return split(both, ["user", "item"], 90, SEED)
+    train, held_out = split(both, ["user", "item"], 90, SEED)
+    return store(train, "train"), held_out
 
 
-def _titles(spark, sf_dir):
+def near_items(train, symmetric=True, method="lsh"):
+    options = {"tables": TABLES, "seed": SEED} if method == "lsh" else {}
+    return sim.stored_neighbours(train, method, symmetric, **options)
+
+
+def titles(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("item"), F.col("s_name").alias("title")
     )
@@ -49,11 +55,11 @@ def ratings_dedup(spark, sf_dir):
 
 
 def split_counts(spark, sf_dir):
-    return rec.split_counts(*_split(spark, sf_dir))
+    return rec.split_counts(*split_ratings(spark, sf_dir))
 
 
 def cf_user_sample(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
+    train, _ = split_ratings(spark, sf_dir)
     return sample_keys(train, "user").groupBy("user").agg(F.count(F.lit(1)).alias("n_ratings"))
 
 
@@ -74,13 +80,13 @@ def item_similarity_lsh(spark, sf_dir):
 
 
 def unseen_pairs(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    return rec.unseen_pairs(train, sim.stored_neighbours(train))
+    train, _ = split_ratings(spark, sf_dir)
+    return rec.unseen_pairs(train, near_items(train))
 
 
 def cf_predict(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    similar = store(sim.item_similarity(train), "similarity")
+    train, _ = split_ratings(spark, sf_dir)
+    similar = store(sim.item_similarity_lsh(train, TABLES, seed=SEED), "similarity")
     unseen = rec.predict_unseen(train, sim.neighbours(similar))
     rated = rec.predict_pairs(train, train, sim.neighbours(similar, symmetric=False))
     return _shown(
@@ -91,21 +97,21 @@ def cf_predict(spark, sf_dir):
 
 
 def _unseen(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    return rec.predict_unseen(train, sim.stored_neighbours(train))
+    train, _ = split_ratings(spark, sf_dir)
+    return rec.predict_unseen(train, near_items(train))
 
 
 def cf_top_n(spark, sf_dir):
-    return _shown(rec.recommend_items(_unseen(spark, sf_dir), _titles(spark, sf_dir)))
+    return _shown(rec.recommend_items(_unseen(spark, sf_dir), titles(spark, sf_dir)))
 
 
 def cf_sampled_top_n(spark, sf_dir):
     """Top 10 among the rated items of 10 % of the users, each item seeing larger ids only."""
-    train, _ = _split(spark, sf_dir)
-    near = sim.stored_neighbours(train, symmetric=False)
+    train, _ = split_ratings(spark, sf_dir)
+    near = near_items(train, symmetric=False)
     sampled = sample_keys(train, "user")
     predictions = rec.predict_pairs(sampled, sampled, near)
-    return _shown(rec.recommend_items(predictions, _titles(spark, sf_dir), max_rating=5.0))
+    return _shown(rec.recommend_items(predictions, titles(spark, sf_dir), max_rating=5.0))
 
 
 def cf_preview(spark, sf_dir):
@@ -128,18 +134,23 @@ def first_rating(spark, sf_dir):
     return raw.groupBy("user", "item").agg(F.min("rating").alias("true_rating"))
 
 
-def _errors(spark, sf_dir):
-    train, held_out = _split(spark, sf_dir)
+def _errors(spark, sf_dir, method="lsh"):
+    train, held_out = split_ratings(spark, sf_dir)
     # larger ids only, so that some held-out pairs have no neighbour and no prediction
-    near = sim.stored_neighbours(train, symmetric=False)
+    near = near_items(train, False, method)
     return rec.errors(held_out, rec.predict_pairs(held_out, train, near))
 
 
-def cf_evaluate(spark, sf_dir):
-    result = rec.evaluate(_errors(spark, sf_dir))
+def cf_evaluate(spark, sf_dir, method="lsh"):
+    result = rec.evaluate(_errors(spark, sf_dir, method))
     return result.withColumns({c: F.round(c, 6) for c in ("mae", "rmse")})
 
 
+def cf_evaluate_exact(spark, sf_dir):
+    """The same with all similar pairs in place of those found by MinHash."""
+    return cf_evaluate(spark, sf_dir, "exact")
+
+
 def eval_null_guard(spark, sf_dir):
     return rec.null_guard(_errors(spark, sf_dir)).withColumn("mae", F.round("mae", 6))
 
@@ -163,17 +174,26 @@ val AS (SELECT u, i, rating FROM marked WHERE b >= 90)"""
 
 
 def _similarity_sql(source):
+    """All similar pairs as `every`, those that share a MinHash bucket as `sims`."""
+    tables = " UNION ALL ".join(
+        f"SELECT {t} AS t, i, min(((u % {sim.PRIME - 1} + 1) * {a} + {b}) % {sim.PRIME}) AS h FROM {source} GROUP BY i"
+        for t, (a, b) in enumerate(sim.hash_coefficients(TABLES, SEED))
+    )
     return f"""sizes AS (SELECT i, count(*) AS n FROM {source} GROUP BY 1),
 shared AS (
   SELECT a.i AS i1, b.i AS i2, count(*) AS n FROM {source} a JOIN {source} b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2),
-sims AS (
+every AS (
   SELECT i1, i2, shared.n / (x.n + y.n - shared.n) AS s
-  FROM shared JOIN sizes x ON x.i = i1 JOIN sizes y ON y.i = i2)"""
+  FROM shared JOIN sizes x ON x.i = i1 JOIN sizes y ON y.i = i2),
+hashed AS ({tables}),
+found AS (SELECT DISTINCT a.i AS i1, b.i AS i2 FROM hashed a JOIN hashed b ON a.t = b.t AND a.h = b.h AND a.i < b.i),
+sims AS (SELECT i1, i2, s FROM every JOIN found USING (i1, i2))"""
 
 
 _SIM = f"{_SPLIT}, {_similarity_sql('train')}"
-_UNSEEN = f"""{_SIM},
-near AS (SELECT i1 AS i, i2 AS j, s FROM sims UNION ALL SELECT i2, i1, s FROM sims),
+_NEAR = "near AS (SELECT i1 AS i, i2 AS j, s FROM sims UNION ALL SELECT i2, i1, s FROM sims)"
+NEAR_SQL = f"{_SIM}, {_NEAR}"
+_UNSEEN = f"""{NEAR_SQL},
 unseen AS (
   SELECT t.u, near.i, round(sum(s * rating) / sum(abs(s)), 6) AS predicted
   FROM train t JOIN near ON t.i = near.j
@@ -181,12 +201,18 @@ unseen AS (
 _RATED = """rated AS (
   SELECT t.u, t.i, sum(s * n.rating) / sum(abs(s)) AS predicted
   FROM train t JOIN sims ON t.i = i1 JOIN train n ON n.u = t.u AND n.i = i2 GROUP BY 1, 2)"""
-_ERRORS = f"""{_SIM},
+
+
+def _errors_sql(pairs):
+    return f"""{_SIM},
 scored AS (
   SELECT v.u, v.i, any_value(v.rating) - sum(s * n.rating) / sum(abs(s)) AS error
-  FROM val v JOIN sims ON v.i = i1 JOIN train n ON n.u = v.u AND n.i = i2 GROUP BY 1, 2),
+  FROM val v JOIN {pairs} ON v.i = i1 JOIN train n ON n.u = v.u AND n.i = i2 GROUP BY 1, 2),
 errs AS (SELECT v.u, v.i, error FROM val v LEFT JOIN scored s ON v.u = s.u AND v.i = s.i)"""
-_PARAMS = sim.hash_coefficients(TABLES, SEED)
+
+
+_EVALUATE = """SELECT count(*) AS n_val, count(error) AS n_scored,
+  round(avg(abs(error)), 6) AS mae, round(sqrt(avg(error * error)), 6) AS rmse FROM errs"""
 
 QUERIES = {
     "ratings_dedup": ratings_dedup,
@@ -202,6 +228,7 @@ QUERIES = {
     "cf_preview": cf_preview,
     "window_first": first_rating,
     "cf_evaluate": cf_evaluate,
+    "cf_evaluate_exact": cf_evaluate_exact,
     "eval_null_guard": eval_null_guard,
 }
 
@@ -215,14 +242,9 @@ ORACLES = {
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT item, u AS "user", count(*) OVER (PARTITION BY item) AS n_users FROM p""",
     "item_similarity_exact": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")}
+SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM every""",
+    "item_similarity_lsh": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")}
 SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM sims""",
-    "item_similarity_lsh": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")},
-hashed AS (
-  {" UNION ALL ".join(
-      f"SELECT {t} AS t, i, min(((u % {sim.PRIME - 1} + 1) * {a} + {b}) % {sim.PRIME}) AS h FROM ratings GROUP BY i"
-      for t, (a, b) in enumerate(_PARAMS))}),
-found AS (SELECT DISTINCT a.i AS i1, b.i AS i2 FROM hashed a JOIN hashed b ON a.t = b.t AND a.h = b.h AND a.i < b.i)
-SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM sims JOIN found USING (i1, i2)""",
     "unseen_pairs": f'WITH {_UNSEEN} SELECT u AS "user", i AS item FROM unseen',
     "cf_predict": f"""WITH {_UNSEEN}, {_RATED}
 SELECT 'unseen' AS targets, u AS "user", i AS item, predicted FROM unseen
@@ -243,9 +265,9 @@ UNION ALL
 SELECT * FROM (SELECT 'by_rating' AS which, u, i, predicted FROM unseen ORDER BY u DESC, predicted DESC, i LIMIT 50)""",
     "window_first": f"""WITH {_ratings_sql("l_suppkey")}
 SELECT DISTINCT u AS "user", i AS item, min(rating) OVER (PARTITION BY u, i) AS true_rating FROM raw""",
-    "cf_evaluate": f"""WITH {_ERRORS} SELECT count(*) AS n_val, count(error) AS n_scored,
-  round(avg(abs(error)), 6) AS mae, round(sqrt(avg(error * error)), 6) AS rmse FROM errs""",
-    "eval_null_guard": f"""WITH {_ERRORS}
+    "cf_evaluate": f"WITH {_errors_sql('sims')} {_EVALUATE}",
+    "cf_evaluate_exact": f"WITH {_errors_sql('every')} {_EVALUATE}",
+    "eval_null_guard": f"""WITH {_errors_sql("sims")}
 SELECT 'excluded' AS mode, count(*) - count(error) AS n_null, round(avg(abs(error)), 6) AS mae FROM errs
 UNION ALL SELECT 'filled', count(*) - count(error), round(avg(coalesce(abs(error), 0)), 6) FROM errs""",
 }

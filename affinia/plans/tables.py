@@ -11,7 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Parts, linked both ways when they stand on consecutive lines of an order."""
+    """Parts, linked both ways when they stand on consecutive lines of an order.
+
+    Edges may repeat; the operators collapse them.
+    """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     following = lines.select(
         "l_orderkey",
@@ -22,13 +25,12 @@ def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         lines.join(following, ["l_orderkey", "l_linenumber"])
         .filter(F.col("l_partkey") != F.col("next_part"))
         .select(F.col("l_partkey").alias("a"), F.col("next_part").alias("b"))
-        .distinct()
     )
     both = F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst")),
     )
-    edges = steps.select(F.inline(both)).distinct()
+    edges = steps.select(F.inline(both))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), edges
 
 

@@ -81,7 +81,7 @@ def test_predictions_equal_brute_force(spark, limits):
     similar = jaccard(rows)
     near = {**similar, **{(b, a): s for (a, b), s in similar.items()}}
     train = frame(spark, rows)
-    near_df = sim.stored_neighbours(train)
+    near_df = sim.stored_neighbours(train, "exact")
     got = {(r["user"], r["item"]): r["predicted"] for r in rec.predict_unseen(train, near_df, *limits).collect()}
     targets = [(u, i) for u in range(20) for i in range(15) if (u, i) not in rows]
     want = {t: predicted(rows, t, near) for t in targets}
