@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from affinia.operators.skew import heavy_keys, ranked, spread_join
 from affinia.session import store
 
+BROADCAST_ROWS = 2_000_000  # links of 16 bytes, 32 MB
 HUB_LIMIT = 6  # hub sets are bit masks: at most 2**6 - 1 classes of vertices
 
 
@@ -17,6 +18,7 @@ def mutual_neighbours(
     hub_paths: int = 100_000_000,
     busy_paths: int = 1_000_000,
     max_hubs: int = HUB_LIMIT,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The best `n` candidates per vertex: `(src, candidate, n_mutual, rank)`.
 
@@ -32,10 +34,9 @@ def mutual_neighbours(
     """
     links = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "links")
     hubs, busy = _large_middles(links, hub_paths, busy_paths, max_hubs)
+    small = links.count() <= broadcast_rows
     if not hubs:
-        counted = _count_paths(links, links, busy)
-        scored = counted.join(links, ["src", "dst"], "left_anti")
-        return _best(scored, n)
+        return _best(_count_paths(links, links, hubs, busy, small), n)
 
     bit = F.lit(0).cast("long")
     for position, hub in enumerate(hubs):
@@ -45,17 +46,17 @@ def mutual_neighbours(
     reach = into.groupBy("src").agg(F.bit_or(bit).alias("reach"))
     reached = out_of.groupBy("dst").agg(F.bit_or(bit).alias("reached"))
 
-    marked = (
+    marked = store(
         links.join(reach, "src", "left")
         .join(reached, "dst", "left")
-        .select("src", "dst", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("reach", "reached")])
+        .select("src", "dst", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("reach", "reached")]),
+        "marked",
     )
     in_hubs = F.bit_count(F.col("reach").bitwiseAND(F.col("reached"))).cast("long")
-    first = marked.filter(~F.col("dst").isin(hubs)).select("src", "dst", "reach")
-    second = marked.filter(~F.col("src").isin(hubs)).select("src", "dst", "reached")
-    counted = _count_paths(first, second, busy)
-    by_path = counted.join(links, ["src", "dst"], "left_anti").withColumn(
-        "n_mutual", F.col("n_mutual") + in_hubs
+    first, second = marked.select("src", "dst", "reach"), marked.select("src", "dst", "reached")
+    by_path = store(
+        _count_paths(first, second, hubs, busy, small).withColumn("n_mutual", F.col("n_mutual") + in_hubs),
+        "paths",
     )
     by_hub = _hub_only(marked, by_path, reach, reached, n)
     return _best(by_path.select("src", "dst", "n_mutual").unionByName(by_hub), n)
@@ -73,16 +74,37 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
     return hubs, [v for v in large if v not in set(hubs)]
 
 
-def _count_paths(first: DataFrame, second: DataFrame, busy: list) -> DataFrame:
-    """Paths per (src, dst); the hub masks, if any, ride along as constants of the pair."""
+def _count_paths(
+    first: DataFrame, second: DataFrame, hubs: list, busy: list, small: bool
+) -> DataFrame:
+    """`(src, dst, n_mutual)` for pairs that are not linked, from paths past the hubs.
+
+    Every vertex also counts as its own neighbour, without a score: a path that ends in
+    its middle tells that the pair is linked, which spares an anti-join. The hub masks, if
+    any, ride along as constants of the pair. While the links are few enough to copy
+    them to all tasks, the paths are laid out by source and never leave their task; a
+    source has at most as many paths as there are links.
+    """
+    masks = [c for c in ("reach", "reached") if c in first.columns + second.columns]
     first = first.withColumnRenamed("dst", "mid")
-    second = second.withColumnRenamed("src", "mid")
-    masks = [F.first(c).alias(c) for c in ("reach", "reached") if c in first.columns + second.columns]
+    onward = second.filter(~F.col("src").isin(hubs)) if hubs else second
+    own = second.select(F.col("dst").alias("src"), *[c for c in second.columns if c != "src"]).distinct()
+    second = onward.unionByName(own).withColumnRenamed("src", "mid")
+    if small:
+        paths = first.repartition("src").join(F.broadcast(second), "mid")
+    else:
+        paths = spread_join(first, second, "mid", busy)
+    linked = F.col("mid") == F.col("dst")
     return (
-        spread_join(first, second, "mid", busy)
-        .filter(F.col("src") != F.col("dst"))
+        paths.filter(F.col("src") != F.col("dst"))
         .groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("n_mutual"), *masks)
+        .agg(
+            F.count(F.lit(1)).alias("n_mutual"),
+            F.max(linked).alias("_linked"),
+            *[F.max(c).alias(c) for c in masks],
+        )
+        .filter(~F.col("_linked"))
+        .drop("_linked")
     )
 
 

@@ -42,11 +42,12 @@ def random_edges(seed, n=60, m=150, hubs=2):
     return sorted(edges)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 @pytest.mark.parametrize("seed,hub_paths,max_hubs", [(1, 10**9, 6), (2, 400, 6), (3, 400, 1), (4, 30, 6), (5, 0, 6)])
-def test_hubs_give_the_same_candidates(spark, seed, hub_paths, max_hubs):
+def test_hubs_give_the_same_candidates(spark, seed, hub_paths, max_hubs, broadcast_rows):
     edges = random_edges(seed)
     df = spark.createDataFrame(edges, "src long, dst long")
-    got = mutual_neighbours(df, n=3, hub_paths=hub_paths, busy_paths=20, max_hubs=max_hubs)
+    got = mutual_neighbours(df, n=3, hub_paths=hub_paths, busy_paths=20, max_hubs=max_hubs, broadcast_rows=broadcast_rows)
     assert collected(got) == brute_force(edges, 3)
 
 
