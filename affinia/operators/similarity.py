@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from affinia.operators.skew import heavy_keys, spread_join
 from affinia.session import store
 
+MASK_BITS = 60  # users that fit into the bits of a long
 PRIME = 2_147_483_647  # 2**31 - 1; products of two residues stay within a long
 
 
@@ -38,25 +39,56 @@ def item_similarity(
     """All item pairs below `max_distance`: `(item1 < item2, similarity)`.
 
     Co-rated pairs come from a self-join on the user and are counted map-side first.
-    Users with more than `heavy_user` items are cut into slices, so that no task
-    builds all pairs of one user.
+    Users with more than `heavy_user` items would each contribute the square of their
+    length to that count. The longest of them become bits of a mask per item instead: a
+    pair of items appears once, with the number of common bits. The next ones are
+    joined in slices.
     """
     pairs = store(ratings.select("user", "item").distinct(), "rated")
-    heavy = heavy_keys(pairs, "user", heavy_user, 1000)
+    long = heavy_keys(pairs, "user", heavy_user, 1000)
+    masked, sliced = long[:MASK_BITS], long[MASK_BITS:]
+    light = pairs.filter(~F.col("user").isin(masked)) if masked else pairs
     shared = (
         spread_join(
-            pairs.withColumnRenamed("item", "item1"),
-            pairs.withColumnRenamed("item", "item2"),
+            light.withColumnRenamed("item", "item1"),
+            light.withColumnRenamed("item", "item2"),
             "user",
-            heavy,
+            sliced,
         )
         .filter(F.col("item1") < F.col("item2"))
         .groupBy("item1", "item2")
         .agg(F.count(F.lit(1)).alias("n_shared"))
     )
+    if masked:
+        both = shared.unionByName(_shared_by_mask(pairs, masked))
+        shared = both.groupBy("item1", "item2").agg(F.sum("n_shared").alias("n_shared"))
     return _jaccard(shared, _sizes(pairs), max_distance)
 
 
+def _shared_by_mask(pairs: DataFrame, users: list) -> DataFrame:
+    """Item pairs with the number of given users they share, each pair once.
+
+    Items meet at every common user but the pair is kept at the first one only.
+    """
+    place = F.array_position(F.array(*[F.lit(u) for u in users]), F.col("user")).cast("int") - 1
+    bits = pairs.filter(F.col("user").isin(users)).select("item", place.alias("bit"))
+    one = F.expr("shiftleft(1L, bit)")
+    masks = store(
+        bits.join(bits.groupBy("item").agg(F.bit_or(one).alias("mask")), "item"), "masks"
+    )
+    common = F.col("mask1").bitwiseAND(F.col("mask2"))
+    return (
+        spread_join(
+            masks.select("bit", F.col("item").alias("item1"), F.col("mask").alias("mask1")),
+            masks.select("bit", F.col("item").alias("item2"), F.col("mask").alias("mask2")),
+            "bit",
+            list(range(len(users))),
+        )
+        .filter((F.col("item1") < F.col("item2")) & (common.bitwiseAND(one - 1) == 0))
+        .select("item1", "item2", F.bit_count(common).cast("long").alias("n_shared"))
+    )
+
+
 def _jaccard(shared: DataFrame, sizes: DataFrame, max_distance: float) -> DataFrame:
     first = sizes.select(F.col("item").alias("item1"), F.col("n_users").alias("n1"))
     second = sizes.select(F.col("item").alias("item2"), F.col("n_users").alias("n2"))

@@ -37,8 +37,9 @@ def similarities(df):
     return {(r["item1"], r["item2"]): pytest.approx(r["similarity"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("heavy", [10_000, 3])
-def test_exact_similarity_with_and_without_hot_users(spark, heavy):
+@pytest.mark.parametrize("heavy,bits", [(10_000, 60), (3, 60), (3, 2), (3, 0)])
+def test_exact_similarity_with_and_without_hot_users(spark, monkeypatch, heavy, bits):
+    monkeypatch.setattr(sim, "MASK_BITS", bits)
     rows = random_ratings(1)
     assert jaccard(rows) == similarities(sim.item_similarity(frame(spark, rows), heavy_user=heavy))
 
