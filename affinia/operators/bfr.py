@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -26,7 +27,7 @@ class BfrSettings:
     over: int = 5  # first clustering uses k * over groups
     smallest: int = 3  # groups below this size are outliers in the first chunk
     seed: int = 42
-    partitions: int | None = None  # tasks per k-means; the session's shuffle partitions if unset
+    rows_per_task: int = 100_000  # of k-means
 
 
 class Bfr:
@@ -133,7 +134,10 @@ class Bfr:
     def _kmeans(self, points: DataFrame, k: int, rounds: int) -> DataFrame:
         """`(id, features, group)`; rows are laid out by id so that a seed gives one result."""
         s = self.settings
-        partitions = s.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n = points.count()
+        if n < 2:
+            return points.select("id", "features", F.lit(0).alias("group"))
+        partitions = math.ceil(n / s.rows_per_task)
         ready = (
             points.select("id", "features", array_to_vector("features").alias("vector"))
             .repartition(partitions, "id")
@@ -141,11 +145,8 @@ class Bfr:
             .persist()
         )
         try:
-            distinct = ready.limit(k).count()
-            if distinct < 2:
-                return points.select("id", "features", F.lit(0).alias("group"))
             model = KMeans(
-                k=min(k, distinct), maxIter=rounds, seed=s.seed, featuresCol="vector", predictionCol="group"
+                k=min(k, n), maxIter=rounds, seed=s.seed, featuresCol="vector", predictionCol="group"
             ).fit(ready)
         finally:
             ready.unpersist()

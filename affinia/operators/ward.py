@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -15,7 +16,7 @@ from affinia.operators.summaries import summarise
 from affinia.session import store
 
 
-def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int = 42) -> DataFrame:
+def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int = 42, rows_per_task: int = 100_000) -> DataFrame:
     """`(id, k, cluster)` for every k in `ks`; the clusterings are nested.
 
     Ward's method compares all pairs of points. Here Spark first forms `micro`
@@ -26,12 +27,12 @@ def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int
     """
     spark = df.sparkSession
     ready = df.select("id", "features", array_to_vector("features").alias("vector"))
-    if ready.limit(micro + 1).count() <= micro:
+    n = ready.count()
+    if n <= micro:
         by_id = Window.orderBy("id")  # a window over `micro` rows at most
         grouped = ready.select("id", "features", (F.row_number().over(by_id) - 1).alias("micro"))
     else:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        laid_out = ready.repartition(partitions, "id").sortWithinPartitions("id").persist()
+        laid_out = ready.repartition(math.ceil(n / rows_per_task), "id").sortWithinPartitions("id").persist()
         try:
             model = KMeans(k=micro, maxIter=20, seed=seed, featuresCol="vector", predictionCol="micro").fit(laid_out)
         finally:

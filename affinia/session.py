@@ -31,12 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without it and gets a temporary folder.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="affinia-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

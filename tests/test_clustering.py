@@ -25,7 +25,7 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "id long, features array<double>")
 
 
-SETTINGS = BfrSettings(k=4, over=3, partitions=2)
+SETTINGS = BfrSettings(k=4, over=3, rows_per_task=30)
 
 
 @pytest.fixture(scope="module")

@@ -137,7 +137,7 @@ def test_stats_profile_and_log_reports(spark, place):
     assert lines[:2] == ["", "=== Clustering with k = 3 ==="] and len(lines) == 5
     assert lines[2].startswith("Cluster 0: size=20, radius=0.14, diameter=")
 
-    bfr, version = run_chunks(df, 30, BfrSettings(k=3, over=2, partitions=2))
+    bfr, version = run_chunks(df, 30, BfrSettings(k=3, over=2, rows_per_task=30))
     clusters, assigned, retained = bfr.finish(version)
     writers.write_run_log(bfr.report(version), clusters, retained, place.out("log"))
     log = written(spark, place.out("log"))
