@@ -235,7 +235,11 @@ def run_chunks(df: DataFrame, size: int, settings: BfrSettings = BfrSettings(),
     bfr = Bfr(spark, path, settings)
     source = f"{bfr.path}/source"
     chunk = F.floor(F.col("id") / size).cast("long")
-    df.select("id", "features", chunk.alias("chunk")).write.mode("overwrite").partitionBy("chunk").parquet(source)
+    # a chunk is written by a bounded number of tasks, each with about `rows_per_task` rows
+    slices = math.ceil(size / settings.rows_per_task)
+    part = F.pmod(F.xxhash64("id"), F.lit(slices))
+    laid_out = df.select("id", "features", chunk.alias("chunk")).repartition("chunk", part)
+    laid_out.write.mode("overwrite").partitionBy("chunk").parquet(source)
     stored = spark.read.schema("id long, features array<double>, chunk long").parquet(source)
     chunks = [r[0] for r in stored.select("chunk").distinct().orderBy("chunk").collect()]
     for version, number in enumerate(chunks):

@@ -67,7 +67,7 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
         links.select(F.col("dst").alias("v"), F.lit(1).alias("i"), F.lit(0).alias("o"))
         .unionByName(links.select(F.col("src").alias("v"), F.lit(0).alias("i"), F.lit(1).alias("o")))
         .groupBy("v")
-        .agg((F.sum("i") * F.sum("o")).alias("paths"))
+        .agg((F.sum("i").cast("double") * F.sum("o")).alias("paths"))
     )
     large = heavy_keys(degree, "v", min(hub_paths, busy_paths), 1000, F.col("paths"))
     hubs = heavy_keys(degree.filter(F.col("v").isin(large)), "v", hub_paths, max_hubs, F.col("paths")) if large else []

@@ -37,11 +37,11 @@ def bfr_log(spark, sf_dir):
 
 
 def bfr_stream(spark, sf_dir):
-    """The same chunks as a stream of files."""
-    path, size = scratch_path(spark, "arriving"), _chunk_size(spark, sf_dir)
-    chunked = _points(spark, sf_dir).withColumn("chunk", F.floor(F.col("id") / size).cast("long"))
-    chunked.repartition("chunk").write.partitionBy("chunk").parquet(path)
-    bfr, version = cluster_stream(spark, f"{path}/*", SETTINGS)
+    """The points as a stream of files, in as many micro-batches."""
+    path, df = scratch_path(spark, "arriving"), _points(spark, sf_dir)
+    files = max(CHUNKS, math.ceil(df.count() / SETTINGS.rows_per_task))
+    df.repartition(files, "id").write.parquet(path)
+    bfr, version = cluster_stream(spark, path, SETTINGS, math.ceil(files / CHUNKS))
     clusters, _, retained = bfr.finish(version)
     return set_sizes(clusters, retained)
 

@@ -35,10 +35,12 @@ def start(points: DataFrame, bfr: Bfr, checkpoint: str | None = None) -> Streami
     )
 
 
-def cluster_stream(spark: SparkSession, path: str, settings: BfrSettings = BfrSettings()) -> tuple[Bfr, int]:
+def cluster_stream(
+    spark: SparkSession, path: str, settings: BfrSettings = BfrSettings(), files_per_chunk: int = 1
+) -> tuple[Bfr, int]:
     """Cluster all files that are there now; returns the state and its last version."""
     bfr = Bfr(spark, settings=settings)
-    query = start(read_points(spark, path), bfr)
+    query = start(read_points(spark, path, files_per_chunk), bfr)
     query.awaitTermination()
     progress = [p for p in query.recentProgress if p["numInputRows"]]
     return bfr, max(p["batchId"] for p in progress)
