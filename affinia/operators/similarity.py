@@ -62,7 +62,10 @@ def item_similarity(
     if masked:
         both = shared.unionByName(_shared_by_mask(pairs, masked))
         shared = both.groupBy("item1", "item2").agg(F.sum("n_shared").alias("n_shared"))
-    return _jaccard(shared, _sizes(pairs), max_distance)
+    sizes = [
+        _sizes(pairs).select(F.col("item").alias(f"item{i}"), F.col("n_users").alias(f"n{i}")) for i in (1, 2)
+    ]
+    return _jaccard(shared.join(sizes[0], "item1").join(sizes[1], "item2"), max_distance)
 
 
 def _shared_by_mask(pairs: DataFrame, users: list) -> DataFrame:
@@ -89,15 +92,11 @@ def _shared_by_mask(pairs: DataFrame, users: list) -> DataFrame:
     )
 
 
-def _jaccard(shared: DataFrame, sizes: DataFrame, max_distance: float) -> DataFrame:
-    first = sizes.select(F.col("item").alias("item1"), F.col("n_users").alias("n1"))
-    second = sizes.select(F.col("item").alias("item2"), F.col("n_users").alias("n2"))
+def _jaccard(shared: DataFrame, max_distance: float) -> DataFrame:
+    """`shared (item1, item2, n1, n2, n_shared)` to similarities."""
     similarity = F.col("n_shared") / (F.col("n1") + F.col("n2") - F.col("n_shared"))
-    return (
-        shared.join(first, "item1")
-        .join(second, "item2")
-        .select("item1", "item2", similarity.alias("similarity"))
-        .filter(1 - F.col("similarity") < max_distance)
+    return shared.select("item1", "item2", similarity.alias("similarity")).filter(
+        1 - F.col("similarity") < max_distance
     )
 
 
@@ -107,7 +106,7 @@ def hash_coefficients(tables: int, seed: int) -> list[tuple[int, int]]:
 
 
 def minhash(pairs: DataFrame, tables: int = 5, seed: int = 42) -> DataFrame:
-    """`(item, bucket)`, one bucket per hash table: the smallest hash of the item's users.
+    """`(item, n_users, bucket)`, one bucket per hash table: the smallest hash of the item's users.
 
     A minimum is combined map-side, so an item's users never meet in one place.
     """
@@ -117,13 +116,14 @@ def minhash(pairs: DataFrame, tables: int = 5, seed: int = 42) -> DataFrame:
         number = F.pmod(F.col("user").cast("long"), F.lit(PRIME - 1))
     hashed = pairs.select("item", (number + 1).alias("u"))
     lowest = hashed.groupBy("item").agg(
+        F.count(F.lit(1)).alias("n_users"),
         *[
             F.min((F.col("u") * a + b) % PRIME).alias(f"h{t}")
             for t, (a, b) in enumerate(hash_coefficients(tables, seed))
-        ]
+        ],
     )
     buckets = [F.lit(t).cast("long") * (PRIME + 1) + F.col(f"h{t}") for t in range(tables)]
-    return lowest.select("item", F.explode(F.array(*buckets)).alias("bucket"))
+    return lowest.select("item", "n_users", F.explode(F.array(*buckets)).alias("bucket"))
 
 
 def item_similarity_lsh(
@@ -140,37 +140,36 @@ def item_similarity_lsh(
     of a found pair is exact: the users of the rarer item are looked up in the other.
     """
     pairs = store(ratings.select("user", "item").distinct(), "rated")
-    sizes = _sizes(pairs)
     buckets = store(minhash(pairs, tables, seed), "buckets")
     heavy = heavy_keys(buckets, "bucket", heavy_bucket, 1000)
-    found = (
-        spread_join(
-            buckets.withColumnRenamed("item", "item1"),
-            buckets.withColumnRenamed("item", "item2"),
-            "bucket",
-            heavy,
-        )
-        .filter(F.col("item1") < F.col("item2"))
-        .select("item1", "item2")
-        .distinct()
-    )
-    n1 = sizes.select(F.col("item").alias("item1"), F.col("n_users").alias("n1"))
-    n2 = sizes.select(F.col("item").alias("item2"), F.col("n_users").alias("n2"))
-    found = found.join(n1, "item1").join(n2, "item2")
+    sides = [
+        buckets.select("bucket", F.col("item").alias(f"item{i}"), F.col("n_users").alias(f"n{i}")) for i in (1, 2)
+    ]
     first_is_rarer = F.col("n1") <= F.col("n2")
-    shared = (
-        found.select(
-            "item1",
-            "item2",
+    found = store(
+        spread_join(*sides, "bucket", heavy)
+        .filter(F.col("item1") < F.col("item2"))
+        .select(
             F.when(first_is_rarer, F.col("item1")).otherwise(F.col("item2")).alias("item"),
             F.when(first_is_rarer, F.col("item2")).otherwise(F.col("item1")).alias("other"),
+            F.least("n1", "n2").alias("n1"),
+            F.greatest("n1", "n2").alias("n2"),
         )
+        .distinct(),
+        "found",
+    )
+    # only the keys travel with the users; the sizes are joined to the counts afterwards
+    shared = (
+        found.select("item", "other")
         .join(pairs, "item")
         .join(pairs.withColumnRenamed("item", "other"), ["other", "user"], "left_semi")
-        .groupBy("item1", "item2")
+        .groupBy("item", "other")
         .agg(F.count(F.lit(1)).alias("n_shared"))
     )
-    return _jaccard(shared, sizes, max_distance)
+    ordered = shared.join(found, ["item", "other"]).select(
+        F.least("item", "other").alias("item1"), F.greatest("item", "other").alias("item2"), "n1", "n2", "n_shared"
+    )
+    return _jaccard(ordered, max_distance)
 
 
 def neighbours(similar: DataFrame, symmetric: bool = True) -> DataFrame:
