@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinia.llm import simhash
+from affinia.llm import simhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash}
+    return {"op2_simhash": op2_simhash, "op8_suffixes": op8_suffixes}
 
 
 def oracles() -> dict[str, str]:
