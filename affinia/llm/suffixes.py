@@ -267,7 +267,7 @@ def _judge(length: int, group: int):
 
 def _words(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The eight bytes from `at` on as big-endian numbers; beyond `left` bytes they are zero."""
-    eight = np.lib.stride_tricks.sliding_window_view(data, 8)[at]
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)[np.minimum(at, len(data) - 8)]
     word = np.ascontiguousarray(eight).view(">u8").ravel().astype(np.uint64)
     cut = np.clip(8 - left, 0, 8).astype(np.uint64) * np.uint64(8)
     return np.where(cut >= 64, np.uint64(0), (word >> np.minimum(cut, np.uint64(63))) << np.minimum(cut, np.uint64(63)))
