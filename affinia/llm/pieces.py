@@ -15,6 +15,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -300,7 +301,7 @@ def encode(docs: DataFrame, model: bytes | None = None) -> DataFrame:
             column = pa.array(ids, pa.list_(pa.int32()))
             yield batch.set_column(batch.num_columns - 1, "ids", column)
 
-    schema = kept.drop("text").schema.add("ids", "array<int>")
+    schema = kept.drop("text").schema.add("ids", T.ArrayType(T.IntegerType()))
     return kept.mapInArrow(run, schema).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
@@ -318,4 +319,4 @@ def decode(tokens: DataFrame, model: bytes | None = None) -> DataFrame:
             column = pa.array([None if x is None else t for x, t in zip(ids, texts)], pa.string())
             yield batch.set_column(batch.num_columns - 1, "text", column)
 
-    return kept.mapInArrow(run, kept.drop("ids").schema.add("text", "string"))
+    return kept.mapInArrow(run, kept.drop("ids").schema.add("text", T.StringType()))
