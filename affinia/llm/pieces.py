@@ -197,6 +197,8 @@ class Codec:
         asked = [w[1:] if w[0] == MARK else lead + w for w in words]
         before = len(self.original.encode(lead)) if lead else 0
         for word, own, other in zip(words, ids, self.reference(asked)):
+            if word == MARK:  # no text has this mark only
+                other = [self.original.piece_to_id(MARK)]
             if own != (other if word[0] == MARK else other[before:]):
                 self.odd.add(word)
         for word, back in zip(words, self.rest.decode_batch(ids, skip_special_tokens=False)):
