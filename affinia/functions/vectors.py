@@ -16,11 +16,9 @@ def centroid(n: Column, sums: Column) -> Column:
     return F.transform(sums, lambda x: x / n)
 
 
-def variance(n: Column, sums: Column, sumsq: Column) -> Column:
-    """SUMSQ / N - (SUM / N)², floored so that it can be divided by."""
-    return F.zip_with(
-        sums, sumsq, lambda s, q: F.greatest(q / n - (s / n) * (s / n), F.lit(MIN_VARIANCE))
-    )
+def spread(n: Column, m2: Column) -> Column:
+    """The variance M2 / N of each dimension, floored so that it can be divided by."""
+    return F.transform(m2, lambda x: F.greatest(x / n, F.lit(MIN_VARIANCE)))
 
 
 def mahalanobis(features: Column, center: Column, spread: Column) -> Column:
@@ -29,10 +27,6 @@ def mahalanobis(features: Column, center: Column, spread: Column) -> Column:
     return F.sqrt(total(F.zip_with(squares, spread, lambda s, v: s / v)))
 
 
-def add(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: a + b)
-
-
 def incomplete(features: Column) -> Column:
     """True where the vector is missing or holds a null or NaN."""
     return features.isNull() | F.exists(features, lambda x: x.isNull() | F.isnan(x))

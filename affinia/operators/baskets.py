@@ -59,7 +59,7 @@ def frequent_itemsets(
     for size in range(2, max_size + 1):
         keys = list(ITEMS[:size])
         if size == 3:
-            occurrences = _triples(occurrences, level)
+            occurrences = _triples(occurrences, level, sliced)
         counts = occurrences.groupBy(*keys).agg(F.count(F.lit(1)).alias("support"))
         if heavy:
             counts = counts.filter(F.col("support") >= min_support - len(heavy))
@@ -77,13 +77,16 @@ def _pairs(kept: DataFrame, sliced: list) -> DataFrame:
     return spread_join(first, second, "basket", sliced).filter(F.col("i1") < F.col("i2"))
 
 
-def _triples(pairs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Triples whose three pairs are all frequent; the join key is (basket, first item)."""
+def _triples(pairs: DataFrame, frequent: DataFrame, sliced: list) -> DataFrame:
+    """Triples whose three pairs are all frequent; the join key is (basket, first item).
+
+    Baskets whose pairs are joined in slices are sliced here as well.
+    """
     pairs = pairs.join(frequent, ["i1", "i2"], "left_semi").select("basket", "i1", "i2")
     longer = pairs.withColumnRenamed("i2", "i3")
     tail = frequent.select(F.col("i1").alias("i2"), F.col("i2").alias("i3"))
     return (
-        pairs.join(longer, ["basket", "i1"])
+        spread_join(pairs, longer, "basket", sliced, more=["i1"])
         .filter(F.col("i2") < F.col("i3"))
         .join(tail, ["i2", "i3"], "left_semi")
     )

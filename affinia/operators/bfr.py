@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,15 @@ from pyspark.sql import functions as F
 
 from affinia.functions.vectors import centroid
 from affinia.operators.summaries import merge_summaries, nearest_cluster, summarise
+from affinia.operators.skew import ranked
 from affinia.session import scratch_path
 
-CLUSTERS = "kind string, cluster string, n long, sum array<double>, sumsq array<double>"
+CLUSTERS = "kind string, cluster string, n long, sum array<double>, sumsq array<double>, m2 array<double>"
 RETAINED = "id long, features array<double>"
+PLACED = "id long, features array<double>, kind string, cluster string"
 ASSIGNED = "id long, kind string, cluster string, chunk long"
 REPORT = "chunk long, n_points long, ds_clusters long, ds_points long, cs_clusters long, cs_points long, rs_points long"
+CHUNK_ROWS = 1_000_000  # points of a chunk where nothing else is asked for
 
 
 @dataclass(frozen=True)
@@ -29,6 +33,11 @@ class BfrSettings:
     seed: int = 42
     rows_per_task: int = 100_000  # of k-means
 
+    @property
+    def least(self) -> int:
+        """With this many points one of the first k * over groups has `smallest` points."""
+        return self.k * self.over * self.smallest
+
 
 class Bfr:
     """Discard set (DS), compressed set (CS) and retained set (RS) in versioned tables.
@@ -41,6 +50,8 @@ class Bfr:
     The clusters are fixed while a chunk is assigned and each point takes the nearest
     one, so the result does not depend on the order of the points. A chunk may hold any
     number of points: only the summaries, k plus k * over per chunk at most, travel.
+    Until `BfrSettings.least` points have come all of them wait in RS, so a small first
+    chunk never leaves DS without a cluster.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, settings: BfrSettings = BfrSettings()):
@@ -50,66 +61,73 @@ class Bfr:
 
     # -- chunks ---------------------------------------------------------------
 
-    def update(self, chunk: DataFrame, version: int) -> None:
-        """Add one chunk `(id, features)`. Version 0 lays the first clusters."""
+    def update(self, chunk: DataFrame, version: int, start: int | None = None) -> None:
+        """Add one chunk `(id, features)`; versions count from 0.
+
+        `start`, the number of points before the chunk, goes into the names of its compressed
+        clusters; without it the version does.
+        """
         if self._complete(version):
             return
-        if version == 0:
-            clusters, assigned, retained = self._first(chunk)
+        waiting = self._read("retained", version - 1) if version else None
+        known = self._read("clusters", version - 1) if version else None
+        points = chunk.select("id", "features")
+        label = version if start is None else start
+        if known is None or known.isEmpty():
+            every = points if waiting is None else waiting.unionByName(points)
+            if every.count() < self.settings.least:
+                clusters, assigned, retained = self._hold(every, version)
+            else:
+                clusters, assigned, retained = self._first(every, version, label)
         else:
-            clusters, assigned, retained = self._next(chunk, version)
+            clusters, assigned, retained = self._next(points, known, waiting, version, label)
         self._write(clusters, "clusters", version)
         self._write(assigned.withColumn("chunk", F.lit(version).cast("long")), "assigned", version)
         self._write(self._report(chunk, version, retained), "report", version)
 
-    def _first(self, chunk: DataFrame):
+    def restore(self, members: DataFrame) -> None:
+        """Version 0 from given members `(id, features, kind, cluster)`, with nothing left over."""
+        self._write(summarise(members, ["kind", "cluster"]), "clusters", 0)
+        assigned = members.select("id", "kind", "cluster", F.lit(0).cast("long").alias("chunk"))
+        self._write(assigned, "assigned", 0)
+        self._write(self.spark.createDataFrame([], RETAINED), "retained", 0)
+        self._write(self._report(members, 0, self._read("retained", 0)), "report", 0)
+
+    def _hold(self, points: DataFrame, version: int):
+        self._write(points, "retained", version)
+        nothing = self.spark.createDataFrame([], CLUSTERS)
+        assigned = self.spark.createDataFrame([], ASSIGNED).drop("chunk")
+        return nothing, assigned, self._read("retained", version)
+
+    def _first(self, points: DataFrame, version: int, label: int):
         s = self.settings
-        grouped = self._kmeans(chunk, s.k * s.over, 30)
-        sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-        grouped = grouped.join(sizes, "group")
-        self._write(grouped, "grouped", 0)
-        grouped = self._read("grouped", 0)
+        grouped = self._sized(self._kmeans(points, s.k * s.over, 30, "grouped", version))
         inliers = grouped.filter(F.col("size") >= s.smallest).select("id", "features")
         outliers = grouped.filter(F.col("size") < s.smallest).select("id", "features")
-        core = self._kmeans(inliers, s.k, 30).select(
+        core = self._kmeans(inliers, s.k, 30, "core", version).select(
             "id", "features", F.lit("DS").alias("kind"), F.col("group").cast("string").alias("cluster")
         )
-        self._write(core, "core", 0)
-        core = self._read("core", 0)
-        self._write(outliers, "outliers", 0)
-        compressed, retained = self._compress(self._read("outliers", 0), 0, "CS_{group}")
+        compressed, retained = self._compress(outliers, version, f"CS_{{group}}_{label}" if version else "CS_{group}")
         members = core.unionByName(compressed)
         return summarise(members, ["kind", "cluster"]), members.select("id", "kind", "cluster"), retained
 
-    def _next(self, chunk: DataFrame, version: int):
+    def _next(self, points: DataFrame, known: DataFrame, waiting: DataFrame, version: int, label: int):
+        """One pass places the chunk's points: DS first, CS for those without a near DS cluster."""
         alpha = self.settings.alpha
-        known = self._read("clusters", version - 1)
-        ds = known.filter(F.col("kind") == "DS")
-        cs = known.filter(F.col("kind") == "CS")
-        points = chunk.select("id", "features")
-        by_ds = nearest_cluster(points, ds, alpha).drop("distance").withColumnRenamed("cluster", "ds")
-        self._write(by_ds, "by_ds", version)
-        by_ds = self._read("by_ds", version)
-        in_ds = by_ds.filter(F.col("ds").isNotNull()).select(
-            "id", "features", F.lit("DS").alias("kind"), F.col("ds").alias("cluster")
-        )
-        rest = nearest_cluster(by_ds.filter(F.col("ds").isNull()).select("id", "features"), cs, alpha)
-        self._write(rest, "by_cs", version)
-        rest = self._read("by_cs", version)
-        in_cs = rest.filter(F.col("cluster").isNotNull()).select("id", "features", F.lit("CS").alias("kind"), "cluster")
-        waiting = (
-            self._read("retained", version - 1)
-            .unionByName(rest.filter(F.col("cluster").isNull()).select("id", "features"))
-        )
-        self._write(waiting, "waiting", version)
-        waiting = self._read("waiting", version)
-        members = in_ds.unionByName(in_cs)
-        if waiting.count() > 5 * self.settings.k:
-            compressed, retained = self._compress(waiting, version, f"CS_{{group}}_{version}")
+        sets = {kind: known.filter(F.col("kind") == kind) for kind in ("DS", "CS")}
+        placed = nearest_cluster(points, sets["DS"], alpha).withColumnRenamed("cluster", "ds").drop("distance")
+        placed = nearest_cluster(placed, sets["CS"], alpha).withColumnRenamed("cluster", "cs")
+        kind = F.when(F.col("ds").isNotNull(), F.lit("DS")).when(F.col("cs").isNotNull(), F.lit("CS"))
+        placed = placed.select("id", "features", kind.alias("kind"), F.coalesce("ds", "cs").alias("cluster"))
+        self._write(placed, "placed", version)
+        placed = self._read("placed", version)
+        members = placed.filter(F.col("kind").isNotNull())
+        left = waiting.unionByName(placed.filter(F.col("kind").isNull()).select("id", "features"))
+        if left.count() > 5 * self.settings.k:
+            compressed, retained = self._compress(left, version, f"CS_{{group}}_{label}")
             members = members.unionByName(compressed)
         else:
-            retained = waiting
-            self._write(retained, "retained", version)
+            self._write(left, "retained", version)
             retained = self._read("retained", version)
         summaries = known.unionByName(summarise(members, ["kind", "cluster"]))
         return merge_summaries(summaries, ["kind", "cluster"]), members.select("id", "kind", "cluster"), retained
@@ -117,10 +135,7 @@ class Bfr:
     def _compress(self, points: DataFrame, version: int, name: str):
         """Cluster the outliers: groups of two or more become compressed clusters."""
         s = self.settings
-        grouped = self._kmeans(points, s.k * s.over, 10)
-        sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-        self._write(grouped.join(sizes, "group"), "regrouped", version)
-        grouped = self._read("regrouped", version)
+        grouped = self._sized(self._kmeans(points, s.k * s.over, 10, "regrouped", version))
         before, after = name.split("{group}")
         compressed = grouped.filter(F.col("size") > 1).select(
             "id",
@@ -131,16 +146,22 @@ class Bfr:
         self._write(grouped.filter(F.col("size") == 1).select("id", "features"), "retained", version)
         return compressed, self._read("retained", version)
 
-    def _kmeans(self, points: DataFrame, k: int, rounds: int) -> DataFrame:
-        """`(id, features, group)`; rows are laid out by id so that a seed gives one result."""
+    @staticmethod
+    def _sized(grouped: DataFrame) -> DataFrame:
+        sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+        return grouped.join(F.broadcast(sizes), "group")  # k * over rows at most
+
+    def _kmeans(self, points: DataFrame, k: int, rounds: int, name: str, version: int) -> DataFrame:
+        """`(id, features, group)`, written once; rows are laid out by id so that a seed gives one result."""
         s = self.settings
         n = points.count()
         if n < 2:
-            return points.select("id", "features", F.lit(0).alias("group"))
-        partitions = math.ceil(n / s.rows_per_task)
+            grouped = points.select("id", "features", F.lit(0).alias("group"))
+            self._write(grouped, name, version)
+            return self._read(name, version)
         ready = (
             points.select("id", "features", array_to_vector("features").alias("vector"))
-            .repartition(partitions, "id")
+            .repartition(math.ceil(n / s.rows_per_task), "id")
             .sortWithinPartitions("id")
             .persist()
         )
@@ -148,9 +169,10 @@ class Bfr:
             model = KMeans(
                 k=min(k, n), maxIter=rounds, seed=s.seed, featuresCol="vector", predictionCol="group"
             ).fit(ready)
+            self._write(model.transform(ready).select("id", "features", "group"), name, version)
         finally:
             ready.unpersist()
-        return model.transform(ready).select("id", "features", "group")
+        return self._read(name, version)
 
     # -- results --------------------------------------------------------------
 
@@ -169,12 +191,11 @@ class Bfr:
                 "n",
                 "sum",
                 "sumsq",
+                "m2",
             ),
             ["kind", "cluster"],
         )
-        assigned = self.spark.read.schema(ASSIGNED).parquet(
-            *[f"{self.path}/assigned/v={v}" for v in range(version + 1)]
-        )
+        assigned = self._until("assigned", ASSIGNED, version)
         assigned = assigned.join(merged_into, "cluster", "left").select(
             "id",
             F.when(F.col("ds").isNotNull(), F.lit("DS")).otherwise(F.col("kind")).alias("kind"),
@@ -194,7 +215,14 @@ class Bfr:
 
     def report(self, version: int) -> DataFrame:
         """One line per chunk: points, and size of the three sets after it."""
-        return self.spark.read.schema(REPORT).parquet(*[f"{self.path}/report/v={v}" for v in range(version + 1)])
+        return self._until("report", REPORT, version)
+
+    def last_version(self) -> int | None:
+        """The last complete version, or null before the first chunk."""
+        try:
+            return self.spark.read.schema(f"{REPORT}, v int").parquet(f"{self.path}/report").agg(F.max("v")).first()[0]
+        except AnalysisException:  # no such folder yet
+            return None
 
     def _report(self, chunk: DataFrame, version: int, retained: DataFrame) -> DataFrame:
         def of(kind, value):
@@ -217,34 +245,45 @@ class Bfr:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/v={version}")
 
     def _read(self, name: str, version: int) -> DataFrame:
-        schema = {"clusters": CLUSTERS, "retained": RETAINED, "outliers": RETAINED, "waiting": RETAINED}.get(name)
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(f"{self.path}/{name}/v={version}")
+        schema = {"clusters": CLUSTERS, "retained": RETAINED, "placed": PLACED}.get(name)
+        return self.spark.read.schema(schema or f"{RETAINED}, group int").parquet(f"{self.path}/{name}/v={version}")
+
+    def _until(self, name: str, schema: str, version: int) -> DataFrame:
+        """All versions of a table up to one, by the partition column."""
+        every = self.spark.read.schema(f"{schema}, v int").parquet(f"{self.path}/{name}")
+        return every.filter(F.col("v") <= version).drop("v")
 
     def _complete(self, version: int) -> bool:
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/report/v={version}/_SUCCESS")
-        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+        """The report is a single row, so it is there as a whole or not at all."""
+        try:
+            return not self.spark.read.schema(REPORT).parquet(f"{self.path}/report/v={version}").isEmpty()
+        except AnalysisException:
+            return False
 
 
-def run_chunks(df: DataFrame, size: int, settings: BfrSettings = BfrSettings(), path: str | None = None) -> tuple[Bfr, int]:
-    """Cluster `(id, features)` in chunks of consecutive ids; returns the state and its version.
+def run_chunks(
+    df: DataFrame, size: int = CHUNK_ROWS, settings: BfrSettings = BfrSettings(), path: str | None = None
+) -> tuple[Bfr, int]:
+    """Cluster `(id, features)` in chunks of `size` points by ascending id; returns the state and its version.
 
-    The rows are written once, partitioned by chunk, so each chunk reads its own files only.
+    Points are ranked, so gaps between ids do not matter. The rows are written once,
+    partitioned by chunk, so each chunk reads its own files only.
     """
     spark = df.sparkSession
     bfr = Bfr(spark, path, settings)
     source = f"{bfr.path}/source"
-    chunk = F.floor(F.col("id") / size).cast("long")
+    chunk = F.floor((F.col("rank") - 1) / size).cast("long")
     # a chunk is written by a bounded number of tasks, each with about `rows_per_task` rows
     slices = math.ceil(size / settings.rows_per_task)
     part = F.pmod(F.xxhash64("id"), F.lit(slices))
-    laid_out = df.select("id", "features", chunk.alias("chunk")).repartition("chunk", part)
+    numbered = ranked(df.select("id", "features"), [], ["id"])
+    laid_out = numbered.select("id", "features", chunk.alias("chunk")).repartition("chunk", part)
     laid_out.write.mode("overwrite").partitionBy("chunk").parquet(source)
     stored = spark.read.schema("id long, features array<double>, chunk long").parquet(source)
-    chunks = [r[0] for r in stored.select("chunk").distinct().orderBy("chunk").collect()]
-    for version, number in enumerate(chunks):
-        bfr.update(stored.filter(F.col("chunk") == number).drop("chunk"), version)
-    return bfr, len(chunks) - 1
+    last = stored.agg(F.max("chunk")).first()[0]
+    for version in range(0 if last is None else last + 1):
+        bfr.update(stored.filter(F.col("chunk") == version).drop("chunk"), version, version * size)
+    return bfr, -1 if last is None else last
 
 
 def set_sizes(clusters: DataFrame, retained: DataFrame) -> DataFrame:

@@ -159,9 +159,10 @@ def item_similarity_lsh(
         "found",
     )
     # only the keys travel with the users; the sizes are joined to the counts afterwards
+    # items with very many partners are joined in slices
+    busy = heavy_keys(found, "item", heavy_bucket, 1000)
     shared = (
-        found.select("item", "other")
-        .join(pairs, "item")
+        spread_join(found.select("item", "other"), pairs, "item", busy)
         .join(pairs.withColumnRenamed("item", "other"), ["other", "user"], "left_semi")
         .groupBy("item", "other")
         .agg(F.count(F.lit(1)).alias("n_shared"))

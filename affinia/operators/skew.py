@@ -29,15 +29,16 @@ def heavy_keys(df: DataFrame, key: str, above: int, at_most: int, weight: Column
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, hot: Sequence, slices: int = 64
+    left: DataFrame, right: DataFrame, key: str, hot: Sequence, slices: int = 64, more: Sequence[str] = ()
 ) -> DataFrame:
     """Inner equi-join on `key` that spreads each hot key over `slices` tasks.
 
     Left rows of a hot key are cut into slices by a hash of the whole row and the
-    right rows of that key are copied to every slice. All other keys join as usual.
+    right rows of that key are copied to every slice. All other keys join as usual. `more`
+    names further columns to join on.
     """
     if not hot:
-        return left.join(right, key)
+        return left.join(right, [key, *more])
     is_hot = F.col(key).isin(list(hot))
     row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(slices)).cast("int")
     left = left.withColumn("_slice", F.when(is_hot, row_hash).otherwise(F.lit(0)))
@@ -45,7 +46,7 @@ def spread_join(
     right = right.withColumn(
         "_slice", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
     )
-    return left.join(right, [key, "_slice"]).drop("_slice")
+    return left.join(right, [key, *more, "_slice"]).drop("_slice")
 
 
 def ranked(

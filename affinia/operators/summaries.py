@@ -1,27 +1,28 @@
-"""Mergeable cluster summaries (N, SUM, SUMSQ), cluster statistics, nearest cluster."""
+"""Mergeable cluster summaries, cluster statistics, nearest cluster.
+
+A summary is (N, SUM, SUMSQ) for the reports, and M2: the squared deviations from the
+cluster's own mean. Variances come from M2, so a large common offset does not cancel them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from itertools import islice
+import math
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from affinia.functions.text import fixed
-from affinia.functions.vectors import MIN_VARIANCE, total
+from affinia.functions.vectors import centroid, mahalanobis, spread, total
 
-BLOCK_VALUES = 2_000_000  # doubles of cluster summaries that one task closure carries
+BLOCK_VALUES = 2_000_000  # numbers of cluster summaries that a task holds at once
 
 
 def summarise(df: DataFrame, by: Sequence[str], features: str = "features") -> DataFrame:
-    """`(*by, n, sum, sumsq)` in one pass; partial sums are combined before the shuffle."""
-    parts = Summarizer.metrics("count", "sum", "normL2")
+    """`(*by, n, sum, sumsq, m2)` in one pass; partial sums are combined before the shuffle."""
+    parts = Summarizer.metrics("count", "sum", "normL2", "variance")
     return (
         df.groupBy(*by)
         .agg(parts.summary(array_to_vector(features)).alias("s"))
@@ -30,20 +31,34 @@ def summarise(df: DataFrame, by: Sequence[str], features: str = "features") -> D
             F.col("s.count").alias("n"),
             vector_to_array("s.sum").alias("sum"),
             F.transform(vector_to_array("s.normL2"), lambda x: x * x).alias("sumsq"),
+            F.transform(vector_to_array("s.variance"), lambda v: v * (F.col("s.count") - 1)).alias("m2"),
         )
     )
 
 
 def merge_summaries(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add up summaries that share a key; the number of rows is that of the clusters."""
-    flat = df.select(*by, "n", F.posexplode(F.arrays_zip("sum", "sumsq")).alias("pos", "v"))
-    sums = flat.groupBy(*by, "pos").agg(
-        F.sum("n").alias("n"), F.sum("v.sum").alias("sum"), F.sum("v.sumsq").alias("sumsq")
+    """Add up summaries that share a key; the number of rows is that of the clusters.
+
+    Deviations add up after each part's distance from the common mean is added to its own.
+    """
+    flat = df.select(*by, "n", F.posexplode(F.arrays_zip("sum", "sumsq", "m2")).alias("pos", "v"))
+    together = Window.partitionBy(*by, "pos")
+    mean = F.sum("v.sum").over(together) / F.sum("n").over(together)
+    gap = F.col("v.sum") / F.col("n") - F.col("mean")
+    sums = (
+        flat.withColumn("mean", mean)
+        .groupBy(*by, "pos")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("v.sum").alias("sum"),
+            F.sum("v.sumsq").alias("sumsq"),
+            F.sum(F.col("v.m2") + F.col("n") * gap * gap).alias("m2"),
+        )
     )
     packed = sums.groupBy(*by).agg(
-        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "sum", "sumsq"))).alias("v")
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "sum", "sumsq", "m2"))).alias("v")
     )
-    return packed.select(*by, "n", F.col("v.sum").alias("sum"), F.col("v.sumsq").alias("sumsq"))
+    return packed.select(*by, "n", *[F.col(f"v.{c}").alias(c) for c in ("sum", "sumsq", "m2")])
 
 
 def cluster_stats(df: DataFrame, by: Sequence[str], features: str = "features") -> DataFrame:
@@ -91,54 +106,33 @@ def stats_report(stats: DataFrame) -> DataFrame:
 def nearest_cluster(points: DataFrame, clusters: DataFrame, alpha: float, key: str = "cluster") -> DataFrame:
     """Add `(cluster, distance)` of the nearest cluster within `alpha * sqrt(dimensions)`.
 
-    The distance is the diagonal Mahalanobis distance to `clusters (key, n, sum, sumsq)`;
+    The distance is the diagonal Mahalanobis distance to `clusters (key, n, sum, m2)`;
     both columns are null where no cluster is near enough. Equal distances go to the
     smaller key. The points are neither shuffled nor multiplied: the few summaries
-    travel with the tasks, in blocks of bounded size, and each block improves on the
+    are attached as one array, in blocks of bounded size, and each block improves on the
     best cluster so far.
     """
-    schema = T.StructType(
-        points.schema.fields
-        + [T.StructField("cluster", clusters.schema[key].dataType), T.StructField("distance", T.DoubleType())]
-    )
-    best = points.select(
-        "*", F.lit(None).cast(clusters.schema[key].dataType).alias("cluster"), F.lit(None).cast("double").alias("distance")
+    kind = clusters.schema[key].dataType
+    count, width = clusters.agg(F.count(F.lit(1)), F.max(F.size("sum"))).first()
+    nothing = F.struct(F.lit(None).cast("double").alias("distance"), F.lit(None).cast(kind).alias("cluster"))
+    best = points.withColumn("_best", nothing)
+    blocks = math.ceil(count * (width or 1) / BLOCK_VALUES)
+    listed = clusters.select(
+        F.col(key).alias("cluster"), centroid(F.col("n"), F.col("sum")).alias("center"), spread(F.col("n"), F.col("m2")).alias("spread")
     )
-    rows = clusters.select(key, "n", "sum", "sumsq").orderBy(key).toLocalIterator()
-    first = next(rows, None)
-    if first is None:
-        return best
-    size = max(1, BLOCK_VALUES // len(first["sum"]))
-    block = [first, *islice(rows, size - 1)]
-    while block:
-        best = best.mapInPandas(_improve(block, key, alpha), schema)
-        block = list(islice(rows, size))
-    return best
-
-
-def _improve(block: list, key: str, alpha: float):
-    names = [row[key] for row in block]
-    n = np.array([row["n"] for row in block], dtype=float)[:, None]
-    center = np.array([row["sum"] for row in block]) / n
-    spread = np.maximum(np.array([row["sumsq"] for row in block]) / n - center**2, MIN_VARIANCE)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                x = np.array([np.asarray(v, dtype=float) for v in batch["features"]])
-                d = np.stack([np.sqrt((((x - c) ** 2) / v).sum(axis=1)) for c, v in zip(center, spread)], axis=1)
-                d[~(d < alpha * np.sqrt(x.shape[1]))] = np.inf
-                pick = d.argmin(axis=1)
-                near = d[np.arange(len(batch)), pick]
-                before = batch["distance"].to_numpy(dtype=float, na_value=np.inf)
-                before = np.where(np.isnan(before), np.inf, before)
-                better = near < before
-                batch["cluster"] = [
-                    names[p] if take else old for p, take, old in zip(pick, better, batch["cluster"])
-                ]
-                distance = np.where(better, near, before)
-                batch["distance"] = pd.Series(distance, index=batch.index).where(np.isfinite(distance), None)
-                batch["cluster"] = batch["cluster"].where(np.isfinite(distance), None)
-            yield batch
-
-    return run
+    radius = alpha * F.sqrt(F.size("features"))
+    for block in range(blocks):
+        part = listed.filter(F.pmod(F.xxhash64("cluster"), F.lit(blocks)) == block)
+        table = part.agg(F.collect_list(F.struct("cluster", "center", "spread"))).scalar()
+        away = F.transform(
+            "_block",
+            lambda c: F.struct(
+                mahalanobis(F.col("features"), c["center"], c["spread"]).alias("distance"), c["cluster"].alias("cluster")
+            ),
+        )
+        near = F.array_min(F.filter("_away", lambda x: x["distance"] < radius))
+        best = best.withColumn("_block", table).withColumn("_away", away).withColumn("_near", near)
+        better = F.col("_best.distance").isNull() | (F.col("_near") < F.col("_best"))
+        best = best.withColumn("_best", F.when(F.col("_near").isNotNull() & better, F.col("_near")).otherwise(F.col("_best")))
+        best = best.drop("_block", "_away", "_near")
+    return best.withColumns({"cluster": F.col("_best.cluster"), "distance": F.col("_best.distance")}).drop("_best")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia.functions.vectors import centroid
@@ -19,26 +19,22 @@ from affinia.session import store
 def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int = 42, rows_per_task: int = 100_000) -> DataFrame:
     """`(id, k, cluster)` for every k in `ks`; the clusterings are nested.
 
-    Ward's method compares all pairs of points. Here Spark first forms `micro`
+    Ward's method compares all pairs of points. Here Spark first forms at most `micro`
     clusters by k-means and summarises them; the merge order is found among those
-    summaries, whose number is fixed whatever the number of points, and the labels are
-    joined back. With at most `micro` points every point is its own micro-cluster and
-    the result is Ward's own.
+    summaries, whose number is bounded whatever the number of points, and the labels are
+    joined back. K-means starts from `micro` points drawn at random, which are all of them where
+    there are no more; it then leaves every distinct point alone, and the result is Ward's own.
     """
     spark = df.sparkSession
     ready = df.select("id", "features", array_to_vector("features").alias("vector"))
     n = ready.count()
-    if n <= micro:
-        by_id = Window.orderBy("id")  # a window over `micro` rows at most
-        grouped = ready.select("id", "features", (F.row_number().over(by_id) - 1).alias("micro"))
-    else:
-        laid_out = ready.repartition(math.ceil(n / rows_per_task), "id").sortWithinPartitions("id").persist()
-        try:
-            model = KMeans(k=micro, maxIter=20, seed=seed, featuresCol="vector", predictionCol="micro").fit(laid_out)
-        finally:
-            laid_out.unpersist()
-        grouped = model.transform(ready).select("id", "features", "micro")
-    grouped = store(grouped, "micro")
+    tasks = max(1, math.ceil(n / rows_per_task))
+    laid_out = ready.repartition(tasks, "id").sortWithinPartitions("id").persist()
+    try:
+        means = KMeans(k=micro, initMode="random", maxIter=20, seed=seed, featuresCol="vector", predictionCol="micro")
+        grouped = store(means.fit(laid_out).transform(laid_out).select("id", "features", "micro"), "micro")
+    finally:
+        laid_out.unpersist()
     rows = (
         summarise(grouped, ["micro"])
         .select("micro", "n", centroid(F.col("n"), F.col("sum")).alias("center"))

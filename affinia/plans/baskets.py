@@ -28,10 +28,10 @@ def _dictionary(spark, sf_dir):
     return ops.item_dictionary(table(spark, sf_dir, "part"), "p_brand", "p_type")
 
 
-def _mined(spark, sf_dir):
+def _mined(spark, sf_dir, max_size=3):
     tx = store(transactions(spark, sf_dir), "transactions")
     n = tx.select("basket").distinct().count()
-    return ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n)), distinct=True), n
+    return ops.frequent_itemsets(tx, max(2, math.ceil(SUPPORT_SHARE * n)), max_size, distinct=True), n
 
 
 def _joined(column):
@@ -40,7 +40,7 @@ def _joined(column):
 
 def _itemsets_of(size):
     def query(spark, sf_dir):
-        itemsets, _ = _mined(spark, sf_dir)
+        itemsets, _ = _mined(spark, sf_dir, size)
         return itemsets.filter(F.col("size") == size).select(_joined("items").alias("items"), "support")
 
     return query

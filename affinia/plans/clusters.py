@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from affinia.functions.vectors import centroid
 from affinia.operators import profile as prof
 from affinia.operators import summaries as summ
+from affinia.operators.bfr import Bfr, BfrSettings
 from affinia.plans.tables import points, table
 
 ASSIGN_ALPHA = 1.0
@@ -78,12 +79,37 @@ def bfr_merge(spark, sf_dir):
     )
 
 
+OFFSET = 1e8
+
+
+def mahalanobis_offset(spark, sf_dir):
+    """The same with a large number added to every feature."""
+    moved = F.transform("features", lambda x: x + F.lit(OFFSET))
+    df = points(spark, sf_dir).withColumn("features", moved)
+    near = summ.nearest_cluster(df.select("id", "features"), summ.summarise(df, ["label"]), ASSIGN_ALPHA, "label")
+    return near.select(F.col("id").alias("vec_id"), "cluster", F.round("distance", 4).alias("distance"))
+
+
+def bfr_finish(spark, sf_dir):
+    """The last step of BFR from given sets: labels 0 to 4 as DS, 5 to 9 as CS."""
+    bfr = Bfr(spark, settings=BfrSettings(alpha=MERGE_ALPHA))
+    kind = F.when(F.col("label") < 5, F.lit("DS")).otherwise(F.lit("CS"))
+    name = F.col("label").cast("string")
+    members = points(spark, sf_dir).select("id", "features", kind.alias("kind"), name.alias("cluster"))
+    bfr.restore(members)
+    clusters, assigned, _ = bfr.finish(0)
+    moved = assigned.groupBy("kind", "cluster").agg(F.count(F.lit(1)).alias("n_assigned"))
+    return clusters.join(moved, ["kind", "cluster"], "left").select(
+        "kind", "cluster", "n", "n_assigned", F.round(F.col("sum")[0], 6).alias("sum0"), F.round(F.col("sumsq")[0], 6).alias("sumsq0")
+    )
+
+
 def chunk_counts(spark, sf_dir):
     chunk = F.floor(F.col("id") / 100).alias("chunk")
     return points(spark, sf_dir).groupBy(chunk).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _members(spark, sf_dir):
+def members(spark, sf_dir):
     docs, labelled = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id")
     known = labelled.select("doc_id", F.lit(True).alias("known"))
     labels = docs.join(known, "doc_id", "left").select(
@@ -93,7 +119,7 @@ def _members(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    return prof.label_counts(*_members(spark, sf_dir))
+    return prof.label_counts(*members(spark, sf_dir))
 
 
 def profile_counts(spark, sf_dir):
@@ -113,7 +139,7 @@ def profile_report(spark, sf_dir):
 
 
 def profile_coverage(spark, sf_dir):
-    return prof.coverage(*_members(spark, sf_dir))
+    return prof.coverage(*members(spark, sf_dir))
 
 
 def _documents_with_labels(spark, sf_dir):
@@ -200,7 +226,9 @@ QUERIES = {
     "cluster_stats_by_k": cluster_stats_by_k,
     "cluster_report": cluster_report,
     "mahalanobis_assign": mahalanobis_assign,
+    "mahalanobis_offset": mahalanobis_offset,
     "bfr_merge": bfr_merge,
+    "bfr_finish": bfr_finish,
     "chunk_counts": chunk_counts,
     "profile_counts": profile_counts,
     "profile_missing": profile_missing,
@@ -213,7 +241,33 @@ QUERIES = {
     "subset_mean_features": subset_mean_features,
 }
 
+_MERGED = """
+dist AS (
+  SELECT c.label AS cs, d.label AS ds,
+    sqrt(sum(pow(c.s / c.n - d.s / d.n, 2) / greatest(d.q / d.n - pow(d.s / d.n, 2), 1e-10))) AS dd
+  FROM summary c JOIN summary d ON c.pos = d.pos WHERE c.label >= 5 AND d.label < 5 GROUP BY 1, 2),
+best AS (SELECT cs, ds FROM (
+  SELECT *, row_number() OVER (PARTITION BY cs ORDER BY dd, ds) AS r FROM dist WHERE dd < {alpha} * 8) WHERE r = 1)"""
+
 ORACLES = {
+    "mahalanobis_offset": f"""WITH flat AS (
+  SELECT vec_id, label, unnest(range(64)) AS pos, CAST(unnest(embedding) AS DOUBLE) + {OFFSET:.0f}.0 AS x FROM embeddings),
+summary AS (SELECT label, pos, avg(x) AS c, var_pop(x) AS v FROM flat GROUP BY 1, 2),
+dist AS (
+  SELECT vec_id, m.label, sqrt(sum(pow(x - c, 2) / greatest(v, 1e-10))) AS d
+  FROM flat f JOIN summary m ON f.pos = m.pos GROUP BY 1, 2),
+best AS (SELECT vec_id, label, d FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, label) AS r FROM dist WHERE d < {ASSIGN_ALPHA} * 8)
+  WHERE r = 1)
+SELECT e.vec_id, b.label AS cluster, round(b.d, 4) AS distance
+FROM embeddings e LEFT JOIN best b ON e.vec_id = b.vec_id""",
+    "bfr_finish": f"""WITH {_FLAT}, {_MERGED.format(alpha=MERGE_ALPHA)},
+named AS (
+  SELECT CASE WHEN label < 5 OR ds IS NOT NULL THEN 'DS' ELSE 'CS' END AS kind,
+    CAST(coalesce(ds, label) AS VARCHAR) AS cluster, n, s, q
+  FROM summary LEFT JOIN best ON cs = label WHERE pos = 0)
+SELECT kind, cluster, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n) AS BIGINT) AS n_assigned,
+  round(sum(s), 6) AS sum0, round(sum(q), 6) AS sumsq0 FROM named GROUP BY 1, 2""",
     "cluster_summary": f"""WITH {_FLAT} SELECT label AS cluster, CAST(pos AS INTEGER) AS pos, n,
   round(s, 6) AS sum, round(q, 6) AS sumsq FROM summary""",
     "cluster_stats": f"WITH {_STATS_OF} SELECT cluster, n, {_ROUND4} FROM stats WHERE k = 10",

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from affinia.operators import profile as prof
 from affinia.operators.graph import recommend_friends
 from affinia.operators.recommend import predict_pairs, recommend_items
+from affinia.operators.skew import ranked
+from affinia.plans.baskets import ORACLES as BASKET_ORACLES
+from affinia.plans.baskets import QUERIES as BASKET_QUERIES
+from affinia.plans.clusters import ORACLES as CLUSTER_ORACLES
+from affinia.plans.clusters import QUERIES as CLUSTER_QUERIES
+from affinia.plans.clusters import members
 from affinia.plans.recommend import NEAR_SQL, near_items, raw_ratings, split_ratings, titles
 from affinia.plans.graph import ORACLES as GRAPH_ORACLES
 from affinia.plans.tables import GRAPH_SQL, graph, points, table
@@ -128,7 +135,78 @@ def sink_predictions(spark, sf_dir):
     return read.toDF("user_id", "movie_id", "movie_name", "predicted_rating")
 
 
+def _lines_in_order(spark, path):
+    """`(position, line)` of a text sink: its files by name, their lines as they stand."""
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    return ranked(lines, [], ["file", "place"], "position").select(F.col("position").cast("long").alias("position"), "line")
+
+
+def sink_itemsets(spark, sf_dir):
+    path = scratch_path(spark, "itemset_report")
+    writers.write_itemset_report(BASKET_QUERIES["itemset_report"](spark, sf_dir), path)
+    return _lines_in_order(spark, path)
+
+
+def sink_stats(spark, sf_dir):
+    path = scratch_path(spark, "stats_report")
+    writers.write_stats_report(CLUSTER_QUERIES["cluster_report"](spark, sf_dir), path)
+    return _lines_in_order(spark, path)
+
+
+def sink_profile(spark, sf_dir):
+    """Labels of clusters of which two have numbers: these come first, by number."""
+    path = scratch_path(spark, "profile_report")
+    assigned, labels = members(spark, sf_dir)
+    cluster = F.when(F.col("cluster") == "en", F.lit("10")).when(F.col("cluster") == "de", F.lit("9"))
+    counts = prof.label_counts(assigned.withColumn("cluster", F.coalesce(cluster, "cluster")), labels)
+    writers.write_profile_report(prof.profile_report(prof.profile_clusters(counts)), path)
+    return _lines_in_order(spark, path)
+
+
+def src_rejects(spark, sf_dir):
+    """Rows and rejected lines of each reader where bad lines stand among good ones."""
+    ids = points(spark, sf_dir).select("id")
+    number = F.col("id").cast("string")
+
+    def written(name, good, *others):
+        path = scratch_path(spark, f"bad_{name}")
+        fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, others))).alias("value")).coalesce(1)
+        fixed.union(ids.select(good.alias("value"))).write.text(path)
+        return path
+
+    adjacency = readers.read_adjacency(spark, written("adjacency", F.concat(number, F.lit("\t1,2")), "x\t1", "3\ty", ""))
+    found = {
+        "adjacency": readers.Rows(adjacency.vertices, adjacency.rejects),
+        "features": readers.read_features(
+            spark, written("features", F.concat(number, F.lit(",1.5,2")), "feature,a,a", "statistics,mean,std", "x9,4.0,5.0", ",6.0,7.0", "1,,2")
+        ),
+        "labels": readers.read_labels(
+            spark, written("labels", F.concat(number, F.lit(',"a\n b",small,Rock')), ",album,set,track", ",title,subset,genre_top", "track_id,,,", ",x,y,z", "bad,c,large,")
+        ),
+        "labelled": readers.read_labelled(
+            spark, written("labelled", F.concat(number, F.lit(",2,1")), "p1,p2,Label", "1,,0", ",1,1", "1,oops,0", ""), columns=["p1", "p2", "Label"]
+        ),
+        "ratings": readers.read_ratings(spark, written("ratings", F.concat(number, F.lit("::10::4.5::9")), "2::10::x::1", "  ")),
+    }
+    counts = [
+        found[name].rows.agg(F.lit(name).alias("reader"), F.count(F.lit(1)).alias("n_rows")).join(
+            found[name].rejects.agg(F.lit(name).alias("reader"), F.count(F.lit(1)).alias("n_rejects")), "reader"
+        )
+        for name in found
+    ]
+    every = counts[0]
+    for part in counts[1:]:
+        every = every.union(part)
+    return every
+
+
 QUERIES = {
+    "src_rejects": src_rejects,
+    "sink_itemsets": sink_itemsets,
+    "sink_stats": sink_stats,
+    "sink_profile": sink_profile,
     "src_adjacency": src_adjacency,
     "src_transactions": src_transactions,
     "src_features": src_features,
@@ -144,7 +222,27 @@ QUERIES = {
 _RAW = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 _RATING_ROW = 'o_custkey AS "user", l_suppkey AS item, l_quantity / 10 AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS ts'
 
+_HEADS = "(0, -1, '=== Frequent Itemsets Analysis ==='), (0, 0, ''), " + ", ".join(
+    f"({k}, -1, ''), ({k}, 0, 'Top 10 frequent itemsets of size {k}:')" for k in (1, 2, 3)
+)
+_NUMBERED = CLUSTER_ORACLES["profile_report"].replace("lang AS cluster", "CASE lang WHEN 'en' THEN '10' WHEN 'de' THEN '9' ELSE lang END AS cluster")
+
 ORACLES = {
+    "src_rejects": " UNION ALL ".join(
+        f"SELECT '{name}' AS reader, count(*) AS n_rows, CAST({bad} AS BIGINT) AS n_rejects FROM embeddings"
+        for name, bad in (("adjacency", 3), ("features", 3), ("labels", 2), ("labelled", 4), ("ratings", 2))
+    ),
+    "sink_itemsets": f"""WITH r AS (
+  SELECT section, rank, line FROM ({BASKET_ORACLES["itemset_report"]})
+  UNION ALL SELECT * FROM (VALUES {_HEADS}) h(section, rank, line))
+SELECT row_number() OVER (ORDER BY section, rank) AS position, line FROM r""",
+    "sink_stats": f"""WITH r AS (SELECT k, cluster AS place, line FROM ({CLUSTER_ORACLES["cluster_report"]})),
+every AS (
+  SELECT k, place, line FROM r UNION ALL SELECT DISTINCT k, -2, '' FROM r
+  UNION ALL SELECT DISTINCT k, -1, '=== Clustering with k = ' || k || ' ===' FROM r)
+SELECT row_number() OVER (ORDER BY k, place) AS position, line FROM every""",
+    "sink_profile": f"""WITH r AS ({_NUMBERED})
+SELECT row_number() OVER (ORDER BY try_cast(cluster AS BIGINT) NULLS LAST, cluster, place) AS position, line FROM r""",
     "src_adjacency": f"WITH {GRAPH_SQL} SELECT p_partkey AS id, dst AS friend FROM part LEFT JOIN edges ON src = p_partkey",
     "src_transactions": """SELECT CAST(l_orderkey AS VARCHAR) AS basket, p_brand AS item,
   p_type || ', "quoted", with comma' AS description FROM lineitem JOIN part ON l_partkey = p_partkey""",

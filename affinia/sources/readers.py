@@ -55,22 +55,29 @@ def read_adjacency(spark: SparkSession, path: str) -> Adjacency:
     )
 
 
+def _parsed(spark: SparkSession, path: str, schema: str, sep: str, header: Sequence[str] | None) -> DataFrame:
+    """`(line, row, bad)` of all lines but the header's."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    if header:
+        bare = F.regexp_replace(F.trim("line"), '"', "")
+        lines = lines.filter(bare != sep.join(header))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = lines.select("line", F.from_csv("line", f"{schema}, _bad string", options).alias("row"))
+    bad = (F.trim("line") == "") | F.col("row").isNull() | F.col("row._bad").isNotNull()
+    return parsed.withColumn("bad", bad)
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: str, sep: str = ",", header: Sequence[str] | None = None
 ) -> Rows:
     """Delimited lines of a declared schema, fields optionally in double quotes.
 
-    `header` names the fields of the header line, which is dropped in every file.
+    `header` names the fields of the header line, which is dropped in every file. Blank lines
+    are rejected like all others that do not fit.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    if header:
-        bare = F.regexp_replace(F.trim("value"), '"', "")
-        lines = lines.filter(bare != sep.join(header))
-    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = lines.select("value", F.from_csv("value", f"{schema}, _bad string", options).alias("row"))
+    parsed = _parsed(spark, path, schema, sep, header)
     return Rows(
-        parsed.filter(F.col("row._bad").isNull()).select("row.*").drop("_bad"),
-        parsed.filter(F.col("row._bad").isNotNull()).select(F.col("value").alias("line")),
+        parsed.filter(~F.col("bad")).select("row.*").drop("_bad"), parsed.filter("bad").select("line")
     )
 
 
@@ -111,20 +118,26 @@ def _all_numbers(fields: Column) -> Column:
     return F.transform(fields, lambda x: F.trim(x).try_cast("double"))
 
 
-def read_features(spark: SparkSession, path: str) -> Rows:
+#: What the first field of a header line says.
+FEATURE_LEVELS = ("feature", "statistics", "number", "track_id")
+
+
+def read_features(spark: SparkSession, path: str, levels: Sequence[str] = FEATURE_LEVELS) -> Rows:
     """`(id, features)`: the first field is the id, all others are numbers.
 
-    Header lines have no numeric id and are left out; data lines with a field that is
-    no number are rejected.
+    Header lines begin with the name of their level. Any other line without a numeric id,
+    or with a field that is no number, is rejected.
     """
     fields = F.split("value", ",")
+    first = F.trim(F.get(fields, F.lit(0)))
     parsed = spark.read.text(path).select(
         F.col("value").alias("line"),
-        F.trim(F.get(fields, F.lit(0))).try_cast("bigint").alias("id"),
+        first.alias("first"),
+        first.try_cast("bigint").alias("id"),
         _all_numbers(F.slice(fields, F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0)))).alias("features"),
     )
-    data = parsed.filter(F.col("id").isNotNull())
-    bad = F.exists("features", lambda x: x.isNull())
+    data = parsed.filter(~F.col("first").isin(list(levels)))
+    bad = F.col("id").isNull() | F.exists("features", lambda x: x.isNull())
     return Rows(data.filter(~bad).select("id", "features"), data.filter(bad).select("line"))
 
 
@@ -148,12 +161,13 @@ def read_labels(
     path: str,
     subset: tuple[str, str] = ("set", "subset"),
     label: tuple[str, str] = ("track", "genre_top"),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> Rows:
     """`(id, subset, label)` of a table with a two-line column header; empty fields are null.
 
-    The two header lines name each column's group and name. `multi_line` reads quoted
-    line breaks, at the price of one task per file.
+    The two header lines name each column's group and name; a third one may name the id
+    only. Records may hold quoted line breaks, which makes a file one task. `multi_line=False`
+    reads large files in parallel and rejects lines that leave a quote open.
     """
     def positions(row: str) -> list[str]:
         return next(csv.reader([row]))
@@ -163,17 +177,27 @@ def read_labels(
         positions(spark.read.text(path).filter(mark).first()[0]) for mark in (marks[0] & ~marks[1], marks[1])
     ]
     place = {pair: i for i, pair in enumerate(zip(groups, names))}
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    table = spark.read.csv(path, schema=schema, quote='"', escape='"', multiLine=multi_line)
-    number = F.col("c0").try_cast("bigint")
-    rows = table.select(
-        number.alias("id"), F.col(f"c{place[subset]}").alias("subset"), F.col(f"c{place[label]}").alias("label"), "c0"
-    )
-    heads = F.col("c0").isNull() | F.col("c0").isin("", "track_id")
-    return Rows(
-        rows.filter(F.col("id").isNotNull()).drop("c0"),
-        rows.filter(F.col("id").isNull() & ~heads).select(F.col("c0").alias("line")),
+    columns = [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in columns)
+    if multi_line:
+        records = spark.read.csv(path, schema=schema, quote='"', escape='"', multiLine=True)
+        table = records.select(F.to_csv(F.struct(*columns)).alias("line"), *columns, F.lit(False).alias("open"))
+    else:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        row = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
+        table = spark.read.text(path).select(F.col("value").alias("line"), row.alias("row"), (quotes % 2 == 1).alias("open"))
+        table = table.select("line", "row.*", "open")
+    fields = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    alone = F.array(F.lit("track_id"), *[F.lit("")] * (len(columns) - 1))
+    heads = [F.array(*map(F.lit, groups)), F.array(*map(F.lit, names)), alone]
+    data = table.filter(~(fields.eqNullSafe(heads[0]) | fields.eqNullSafe(heads[1]) | fields.eqNullSafe(heads[2])))
+    good = F.col("c0").try_cast("bigint").isNotNull() & ~F.col("open")
+    rows = data.filter(good).select(
+        F.col("c0").try_cast("bigint").alias("id"),
+        F.col(f"c{place[subset]}").alias("subset"),
+        F.col(f"c{place[label]}").alias("label"),
     )
+    return Rows(rows, data.filter(~good).select("line"))
 
 
 ASSIGNMENTS = "id bigint, kind string, cluster string"
@@ -187,15 +211,20 @@ def read_assignments(spark: SparkSession, path: str) -> DataFrame:
 def read_labelled(spark: SparkSession, path: str, label: str = "Label", columns: Sequence[str] | None = None) -> Rows:
     """`(id, label, features vector)` of a CSV file with header whose columns are numbers.
 
-    The id is a hash of the line; equal lines share it, which the folds do not mind.
+    The id is a hash of the line; equal lines share it, which the folds do not mind. Lines
+    with an empty field are rejected.
     """
     if columns is None:
         columns = next(csv.reader([spark.read.text(path).first()[0]]))
     schema = ", ".join(f"`{c}` double" for c in columns)
-    found = read_delimited(spark, path, schema, header=columns)
-    inputs = [c for c in columns if c != label]
-    complete = found.rows.dropna()
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(complete)
+    parsed = _parsed(spark, path, schema, ",", columns)
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(f"row.`{c}`").isNull()
+    parsed = parsed.withColumn("bad", F.col("bad") | missing)
+    complete = parsed.filter(~F.col("bad")).select("row.*").drop("_bad")
+    rows = VectorAssembler(inputCols=[c for c in columns if c != label], outputCol="features").transform(complete)
     return Rows(
-        rows.select(F.xxhash64(*columns).alias("id"), F.col(label).alias("label"), "features"), found.rejects
+        rows.select(F.xxhash64(*columns).alias("id"), F.col(label).alias("label"), "features"),
+        parsed.filter("bad").select("line"),
     )

@@ -36,11 +36,19 @@ def start(points: DataFrame, bfr: Bfr, checkpoint: str | None = None) -> Streami
 
 
 def cluster_stream(
-    spark: SparkSession, path: str, settings: BfrSettings = BfrSettings(), files_per_chunk: int = 1
-) -> tuple[Bfr, int]:
-    """Cluster all files that are there now; returns the state and its last version."""
-    bfr = Bfr(spark, settings=settings)
-    query = start(read_points(spark, path, files_per_chunk), bfr)
+    spark: SparkSession,
+    path: str,
+    settings: BfrSettings = BfrSettings(),
+    files_per_chunk: int = 1,
+    state: str | None = None,
+    checkpoint: str | None = None,
+) -> tuple[Bfr, int | None]:
+    """Cluster all files that are there now; returns the state and its last version.
+
+    With the `state` and `checkpoint` folders of an earlier call the stream goes on where that
+    one ended. Without new files nothing changes; the version is null before the first file.
+    """
+    bfr = Bfr(spark, state, settings)
+    query = start(read_points(spark, path, files_per_chunk), bfr, checkpoint)
     query.awaitTermination()
-    progress = [p for p in query.recentProgress if p["numInputRows"]]
-    return bfr, max(p["batchId"] for p in progress)
+    return bfr, bfr.last_version()

@@ -6,7 +6,7 @@ from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from affinia.functions.vectors import centroid, mahalanobis, variance
+from affinia.functions.vectors import centroid, mahalanobis, spread
 from affinia.operators import profile as prof
 from affinia.operators import summaries as summ
 from affinia.operators.bfr import Bfr, BfrSettings, final_report, run_chunks, set_sizes
@@ -87,6 +87,52 @@ def test_stream_equals_batch(batch, spark, tmp_path):
     assert groups[0] == groups[1]
 
 
+def test_a_stream_goes_on_where_it_ended(batch, spark, tmp_path):
+    rows, bfr, version = batch
+    state, checkpoint, folder = (str(tmp_path / n) for n in ("state", "checkpoint", "in"))
+    frame(spark, []).write.parquet(folder)
+    assert cluster_stream(spark, folder, SETTINGS, 1, state, checkpoint)[1] in (None, 0)
+    for chunk in range(4):
+        frame(spark, rows[60 * chunk : 60 * chunk + 60]).coalesce(1).write.mode("append").parquet(folder)
+        streamed, last = cluster_stream(spark, folder, SETTINGS, 1, state, checkpoint)
+    again, same = cluster_stream(spark, folder, SETTINGS, 1, state, checkpoint)
+    assert same == last
+    clusters, assigned, retained = again.finish(same)
+    ids = [r["id"] for r in assigned.collect()] + [r["id"] for r in retained.collect()]
+    assert sorted(ids) == [i for i, _ in rows]
+
+
+def test_a_small_first_chunk_waits(spark):
+    rng = np.random.default_rng(2)
+    x = [(i, [float(v) for v in rng.normal(size=3) + 30 * (i % 3)]) for i in range(202)]
+    settings = BfrSettings(k=3, over=3, rows_per_task=300)
+    bfr = Bfr(spark, settings=settings)
+    bfr.update(frame(spark, x[:2]), 0)
+    bfr.update(frame(spark, x[2:]), 1)
+    report = {r["chunk"]: r for r in bfr.report(1).collect()}
+    assert (report[0]["ds_clusters"], report[0]["rs_points"]) == (0, 2)
+    assert report[1]["ds_clusters"] == 3
+    assert report[1]["ds_points"] + report[1]["cs_points"] + report[1]["rs_points"] == 202
+
+
+def test_chunks_are_cut_by_rank(spark):
+    rows = [(i * 1000, v) for i, v in blobs(7, n=130, far=0)]
+    bfr, version = run_chunks(frame(spark, rows), 50, SETTINGS)
+    assert [r["n_points"] for r in bfr.report(version).orderBy("chunk").collect()] == [50, 50, 30]
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e8])
+def test_own_points_are_near_under_any_offset(spark, offset):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.normal(size=4) + offset]) for i in range(400)]
+    df = frame(spark, rows).withColumn("cluster", F.lit("a"))
+    halves = df.withColumn("half", F.col("id") % 2)
+    merged = summ.merge_summaries(summ.summarise(halves, ["half", "cluster"]).drop("half"), ["cluster"])
+    for summary in (summ.summarise(df, ["cluster"]), merged):
+        near = summ.nearest_cluster(df.select("id", "features"), summary, 2.0)
+        assert near.filter("cluster IS NOT NULL").count() >= 399
+
+
 def plain_ward(x, k):
     groups = [[i] for i in range(len(x))]
     while len(groups) > k:
@@ -173,10 +219,10 @@ def test_nearest_cluster_in_blocks_with_zero_variance_and_missing_values(spark,
         got = {r["id"]: r["cluster"] for r in summ.nearest_cluster(points, clusters, 2.0).collect()}
         assert got == {0: 0, 1: 4, 2: None, 3: None, 4: None}
     near = summ.nearest_cluster(points.filter("id < 2"), clusters, 2.0).join(
-        clusters.select("cluster", "n", "sum", "sumsq"), "cluster"
+        clusters.select("cluster", "n", "sum", "m2"), "cluster"
     )
-    n, s, q = F.col("n"), F.col("sum"), F.col("sumsq")
-    expression = mahalanobis(F.col("features"), centroid(n, s), variance(n, s, q))
+    n, s, q = F.col("n"), F.col("sum"), F.col("m2")
+    expression = mahalanobis(F.col("features"), centroid(n, s), spread(n, q))
     for row in near.select("distance", expression.alias("d")).collect():
         assert row["d"] == pytest.approx(row["distance"])
     empty = summ.nearest_cluster(points, clusters.limit(0), 2.0)

@@ -64,10 +64,10 @@ def test_ratings_with_and_without_header(spark, place):
 
 
 def test_features_under_three_header_lines(spark, place):
-    path = place("f", "feature,a,a,b\nstatistics,mean,std,mean\nnumber,01,01,02\ntrack_id,,,\n2,1.5,2,3\n3,1,,2\n")
+    path = place("f", "feature,a,a,b\nstatistics,mean,std,mean\nnumber,01,01,02\ntrack_id,,,\n2,1.5,2,3\n3,1,,2\nx9,4.0,5.0,1\n,6.0,7.0,1\n")
     rows, rejects = readers.read_features(spark, path)
     assert [tuple(r) for r in rows.collect()] == [(2, [1.5, 2.0, 3.0])]
-    assert [r[0] for r in rejects.collect()] == ["3,1,,2"]
+    assert sorted(r[0] for r in rejects.collect()) == [",6.0,7.0,1", "3,1,,2", "x9,4.0,5.0,1"]
     names = readers.read_feature_names(spark, path)
     assert names == ["a__mean__01", "a__std__01", "b__mean__02"]
     assert readers.statistic_features(rows, names, "mean").first()["features"] == [1.5, 3.0]
@@ -77,7 +77,18 @@ def test_labels_under_two_header_lines(spark, place):
     path = place("l", ',album,set,track\n,title,subset,genre_top\ntrack_id,,,\n2,"a, b",small,Rock\n3,c,large,\nbad,c,large,\n')
     rows, rejects = readers.read_labels(spark, path)
     assert sorted(map(tuple, rows.collect())) == [(2, "small", "Rock"), (3, "large", None)]
-    assert [r[0] for r in rejects.collect()] == ["bad"]
+    assert [r[0] for r in rejects.collect()] == ["bad,c,large,"]
+
+
+def test_labels_with_quoted_line_breaks_and_open_quotes(spark, place):
+    head = ",album,set,track\n,title,subset,genre_top\ntrack_id,,,\n"
+    path = place("lb", head + '2,"a\nb",small,Rock\n,x,y,z\n')
+    rows, rejects = readers.read_labels(spark, path)
+    assert [tuple(r) for r in rows.collect()] == [(2, "small", "Rock")]
+    assert [r[0] for r in rejects.collect()] == [",x,y,z"]
+    rows, rejects = readers.read_labels(spark, path, multi_line=False)
+    assert rows.count() == 0
+    assert sorted(r[0] for r in rejects.collect()) == [",x,y,z", '2,"a', 'b",small,Rock']
 
 
 def test_labelled(spark, place):
@@ -85,7 +96,7 @@ def test_labelled(spark, place):
     rows, rejects = readers.read_labelled(spark, path)
     got = rows.select(vector_to_array("features").alias("f"), "label").collect()
     assert sorted((tuple(r["f"]), r["label"]) for r in got) == [((0.0, 1.0), 1.0), ((1.0, 1.0), 0.0)]
-    assert [r[0] for r in rejects.collect()] == ["1,oops,0"]
+    assert sorted(r[0] for r in rejects.collect()) == ["1,,0", "1,oops,0"]
 
 
 def test_recommendation_lines(spark, place):
