@@ -82,7 +82,10 @@ def test_error_bounds_hold():
     assert bits.shape == (2000, 12)
     about, error = neighbours.estimate(bits, length, fit, q @ centre, q @ turn)
     off = np.abs(about - q @ x.T)
-    assert (off <= error).mean() > 0.99 and off.mean() < 0.5 * np.abs(q @ x.T).mean()
+    assert (off <= error).mean() > 0.99
+    assert abs((about - q @ x.T).mean()) < 0.1  # no bias
+    spread = np.sqrt(1 - fit**2) / fit * length * np.linalg.norm(q, axis=1)[:, None] / np.sqrt(95)
+    assert off.mean() < spread.mean()  # a normal error of that deviation has a mean size of 0.8
 
 
 PROSE = "of the rend and threlyes in the work for which this is a reason to be at the end of use"
