@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from affinia.llm.batches import bounded
 from affinia.llm.samples import labelled_sample, remainder
 
 PER_LANGUAGE = 1000  # documents of a language that are learned from, at most
@@ -184,7 +185,7 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     rejected, and so is everything if no row can be learned from. Rows without doc_id count as held out.
     """
     predict = predictor(train(docs, per_language))
-    answer = docs.select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(True)).alias("held_out"), predict("text").alias("answer"))
+    answer = bounded(docs).select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(True)).alias("held_out"), predict("text").alias("answer"))
     return answer.select(
         "doc_id", "held_out", F.col("answer.lang").alias("lang_pred"), "answer.score", "answer.rejected"
     )
@@ -193,4 +194,4 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 def keep_identified(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """The rows whose language is not rejected, unchanged."""
     predict = predictor(train(docs, per_language))
-    return docs.withColumn("_answer", predict("text")).filter("NOT _answer.rejected").drop("_answer")
+    return bounded(docs).withColumn("_answer", predict("text")).filter("NOT _answer.rejected").drop("_answer")

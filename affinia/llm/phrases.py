@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.batches import bounded
+
 PLACES = 128  # minimum hashes in a fingerprint, eight bits of each are kept
 LONG_WORD = 16  # longer words are parsed in pieces of half that length
 RANGES_PER_PARTITION = 4
@@ -132,7 +134,7 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = _parts(rows, ranges).withColumn("tie", F.xxhash64("text"))
     place = F.struct("doc_id", "tie")
     # At most one row a range: the first in order, with the range that it also ends.

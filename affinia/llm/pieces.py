@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
+from affinia.llm.batches import bounded
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # the metaspace
-BATCH = 256  # texts that are encoded at once
+BATCH = 64  # texts that are encoded at once
+NEW_WORDS = 4096  # words that the library gets at once
 
 # Fixed numbers of the published model format: kinds of model and kinds of piece.
 UNIGRAM, BPE = 1, 2
@@ -167,7 +170,7 @@ class Codec:
     does not give back. Models without that property encode whole texts.
     """
 
-    CACHE = 400_000
+    CACHE = 200_000
 
     def __init__(self, data: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
@@ -182,6 +185,7 @@ class Codec:
         self._word = re.compile(f"{mark}|[{alone}]|[^{MARK}{alone}]+" if alone else f"{mark}|[^{MARK}]+")
         self._alone = alone
         self._known: dict[str, list[int]] = {}
+        self._numbers = list(range(len(self.spec.pieces)))  # one object for each id
         self.odd: set[str] = set()
         self.lost: set[str] = set()
 
@@ -190,7 +194,8 @@ class Codec:
         return self._word.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.rest.encode_batch_fast(words, add_special_tokens=False)]
+        shared = self._numbers
+        ids = [[shared[i] for i in e.ids] for e in self.rest.encode_batch_fast(words, add_special_tokens=False)]
         self._known.update(zip(words, ids))
         # SentencePiece puts a mark first: it stands for the word's own, or before a line break.
         lead = self._alone[:1]
@@ -217,7 +222,8 @@ class Codec:
         if len(known) > self.CACHE:
             known.clear()
         if new := list(set().union(*split).difference(known)):
-            self._learn(new)
+            for at in range(0, len(new), NEW_WORDS):
+                self._learn(new[at : at + NEW_WORDS])
         return [([known[w] for w in words], words) for words in split]
 
     def verified(self, texts: list[str]) -> list[tuple[list[int], bool, bool]]:
@@ -284,7 +290,7 @@ def token_digest(docs: DataFrame, model: bytes | None = None) -> DataFrame:
             )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean, parity boolean"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, model: bytes | None = None) -> DataFrame:
@@ -294,7 +300,7 @@ def encode(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     """
     data = model or load()
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
-    kept = docs.select(*others, "text")
+    kept = bounded(docs).select(*others, "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data)
@@ -311,7 +317,7 @@ def decode(tokens: DataFrame, model: bytes | None = None) -> DataFrame:
     """`tokens` with its `ids` as `text`; null ids give null."""
     data = model or load()
     others = [c for c in tokens.columns if c not in ("text", "ids")]
-    kept = tokens.select(*others, "ids")
+    kept = bounded(tokens).select(*others, "ids")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data)

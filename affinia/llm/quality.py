@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from affinia.llm.batches import bounded
 from affinia.llm.samples import labelled_sample, remainder
 
 PER_CLASS = 2000  # labelled texts of a class that are learned from, at most
@@ -154,5 +155,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     model = train(docs, labels, per_class)
     score = scorer(model)("text") if model else F.lit(0.5)
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(True))
-    rows = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    rows = bounded(docs).select("doc_id", held_out.alias("held_out"), score.alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))

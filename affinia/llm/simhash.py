@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from affinia.llm.batches import bounded
 from affinia.llm.components import connected
 from affinia.session import store
 
@@ -156,7 +157,7 @@ def near_duplicates(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
     repeats a doc_id is a row of its own. Rows without doc_id take part; their component's
     id is the smallest one it has. Columns other than doc_id and text are not read.
     """
-    prints = store(docs.select("doc_id", fingerprint_column("text").alias("fingerprint")), "fingerprints")
+    prints = store(bounded(docs).select("doc_id", fingerprint_column("text").alias("fingerprint")), "fingerprints")
     groups = with_components(prints, members)
     return prints.join(groups, "fingerprint").select(
         "doc_id", fingerprint_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
@@ -170,7 +171,7 @@ def keep_one_each(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
     the smallest hash over all columns). A component without any doc_id keeps one row as well.
     """
     columns = docs.columns
-    printed = store(docs.withColumn("_fingerprint", fingerprint_column("text")), "printed")
+    printed = store(bounded(docs).withColumn("_fingerprint", fingerprint_column("text")), "printed")
     prints = printed.select("doc_id", F.col("_fingerprint").alias("fingerprint"))
     groups = store(with_components(prints, members), "groups")
     named = prints.join(groups, "fingerprint").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -30,13 +30,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.batches import bounded
 from affinia.session import store
 
 LENGTH = 200
 GRAM = 64
 GROUP = 1 << 15  # rows of one gram that are sorted in one task
 SHALLOW = 96  # bytes that multikey quicksort compares, a multiple of 8
-CHUNK = 1 << 20  # bytes of text, or contexts times 32, that are handled at once
+CHUNK = 1 << 19  # bytes of text that are handled at once
+BATCH = 1 << 14  # contexts that are sorted at once, or those of one gram
 
 _LOW = np.uint64(0xFFFFFFFF)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -485,7 +487,7 @@ def _sort_contexts(length: int, shallow: int):
                 continue
             held = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
             last = int(_starts(_ints(held, "gram"))[-1])
-            if last and len(held) >= CHUNK // 32:
+            if last and len(held) >= BATCH:
                 yield from sort(held.slice(0, last).combine_chunks())
                 held = held.slice(last)
         if held is not None and len(held):
@@ -541,7 +543,7 @@ def covered(texts: DataFrame, length: int = LENGTH, group: int = GROUP, shallow:
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be {GRAM + 8} or more")
-    found = texts.filter(F.octet_length("text") >= length)
+    found = bounded(texts).filter(F.octet_length("text") >= length)
     rows = found.select("text_key", "text").mapInArrow(_context_rows(length), ROWS)
     met = rows.repartition("gram").sortWithinPartitions("gram", "context", "text_key", "lo")
     judged = store(met.mapInArrow(_judge(length, group), JUDGED), "judged")
