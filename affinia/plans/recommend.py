@@ -29,8 +29,8 @@ def ratings(spark, sf_dir, item="l_suppkey"):
     return sim.dedup_ratings(raw_ratings(spark, sf_dir, item))
 
 
-def split_ratings(spark, sf_dir):
-    both = store(ratings(spark, sf_dir), "ratings")
+def split_ratings(spark, sf_dir, item="l_suppkey"):
+    both = store(ratings(spark, sf_dir, item), "ratings")
     train, held_out = split(both, ["user", "item"], 90, SEED)
     return store(train, "train"), held_out
 
@@ -96,6 +96,37 @@ def cf_predict(spark, sf_dir):
     )
 
 
+# Parts are many and seldom bought together: with this bound most pairs are out of reach.
+FAR = 0.9
+
+
+def _near_parts(train, symmetric=True):
+    return sim.stored_neighbours(train, "lsh", symmetric, tables=TABLES, seed=SEED, max_distance=FAR)
+
+
+def cf_parts_top_n(spark, sf_dir):
+    """Top 10 parts of each user that has any in reach."""
+    train, _ = split_ratings(spark, sf_dir, "l_partkey")
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("title"))
+    return _shown(rec.recommend_items(rec.predict_unseen(train, _near_parts(train)), names))
+
+
+def cf_parts_evaluate(spark, sf_dir):
+    """Predictions for the held-out pairs only."""
+    train, held_out = split_ratings(spark, sf_dir, "l_partkey")
+    result = rec.evaluate(rec.errors(held_out, rec.predict_pairs(held_out, train, _near_parts(train))))
+    return result.withColumns({c: F.round(c, 6) for c in ("mae", "rmse")})
+
+
+def cf_sampled_evaluate(spark, sf_dir):
+    """The evaluation on the held-out pairs of 10 % of the users."""
+    train, held_out = split_ratings(spark, sf_dir)
+    some = sample_keys(held_out, "user")
+    predictions = rec.predict_pairs(some, sample_keys(train, "user"), near_items(train, False))
+    result = rec.evaluate(rec.errors(some, predictions))
+    return result.withColumns({c: F.round(c, 6) for c in ("mae", "rmse")})
+
+
 def _unseen(spark, sf_dir):
     train, _ = split_ratings(spark, sf_dir)
     return rec.predict_unseen(train, near_items(train))
@@ -167,12 +198,16 @@ def _bucket_sql(text):
     return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) % 100"
 
 
-_SPLIT = f"""{_ratings_sql("l_suppkey")},
+def _split_sql(item):
+    return f"""{_ratings_sql(item)},
 marked AS (SELECT *, {_bucket_sql(f"'{SEED}:' || u || ':' || i")} AS b FROM ratings),
 train AS (SELECT u, i, rating FROM marked WHERE b < 90),
 val AS (SELECT u, i, rating FROM marked WHERE b >= 90)"""
 
 
+_SPLIT = _split_sql("l_suppkey")
+
+
 def _similarity_sql(source):
     """All similar pairs as `every`, those that share a MinHash bucket as `sims`."""
     tables = " UNION ALL ".join(
@@ -214,7 +249,14 @@ errs AS (SELECT v.u, v.i, error FROM val v LEFT JOIN scored s ON v.u = s.u AND v
 _EVALUATE = """SELECT count(*) AS n_val, count(error) AS n_scored,
   round(avg(abs(error)), 6) AS mae, round(sqrt(avg(error * error)), 6) AS rmse FROM errs"""
 
+_PARTS = f"""{_split_sql("l_partkey")}, {_similarity_sql("train")},
+near AS (
+  SELECT i1 AS i, i2 AS j, s FROM sims WHERE 1 - s < {FAR} UNION ALL SELECT i2, i1, s FROM sims WHERE 1 - s < {FAR})"""
+
 QUERIES = {
+    "cf_parts_top_n": cf_parts_top_n,
+    "cf_parts_evaluate": cf_parts_evaluate,
+    "cf_sampled_evaluate": cf_sampled_evaluate,
     "ratings_dedup": ratings_dedup,
     "split_counts": split_counts,
     "cf_user_sample": cf_user_sample,
@@ -233,6 +275,21 @@ QUERIES = {
 }
 
 ORACLES = {
+    "cf_parts_top_n": f"""WITH {_PARTS},
+unseen AS (
+  SELECT t.u, near.i, round(sum(s * rating) / sum(abs(s)), 6) AS predicted
+  FROM train t JOIN near ON t.i = near.j
+  WHERE NOT EXISTS (SELECT 1 FROM train k WHERE k.u = t.u AND k.i = near.i) GROUP BY 1, 2),
+top AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY predicted DESC, i) AS rank FROM unseen)
+SELECT u AS "user", CAST(rank AS INTEGER) AS rank, i AS item, p_name AS title, predicted
+FROM top LEFT JOIN part ON p_partkey = i WHERE rank <= 10""",
+    "cf_parts_evaluate": f"""WITH {_PARTS},
+scored AS (
+  SELECT v.u, v.i, any_value(v.rating) - sum(s * n.rating) / sum(abs(s)) AS error
+  FROM val v JOIN near ON v.i = near.i JOIN train n ON n.u = v.u AND n.i = near.j GROUP BY 1, 2),
+errs AS (SELECT v.u, v.i, error FROM val v LEFT JOIN scored s ON v.u = s.u AND v.i = s.i)
+{_EVALUATE}""",
+    "cf_sampled_evaluate": f"WITH {_errors_sql('sims')} {_EVALUATE} WHERE {_bucket_sql(f"'{SEED}:' || u")} < 10",
     "ratings_dedup": f'WITH {_ratings_sql("l_suppkey")} SELECT u AS "user", i AS item, rating FROM ratings',
     "split_counts": f"""WITH {_SPLIT} SELECT CASE WHEN b < 90 THEN 'train' ELSE 'validation' END AS part,
   count(*) AS n FROM marked GROUP BY 1""",
