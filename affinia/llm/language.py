@@ -23,7 +23,7 @@ EPOCHS = 4
 RATE = 0.5
 GRAMS = (2, 3, 4)  # letters, or letters and one word boundary
 REJECTED = 0.001  # share of right answers on calibration documents that may be rejected
-HIGHEST_THRESHOLD = 0.6
+HIGHEST_THRESHOLD = 0.5
 UNKNOWN = "und"
 
 _PIECE = 1 << 18  # characters handled at once
