@@ -190,9 +190,10 @@ def src_rejects(spark, sf_dir):
         ),
         "ratings": readers.read_ratings(spark, written("ratings", F.concat(number, F.lit("::10::4.5::9")), "2::10::x::1", "  ")),
     }
+    n = F.count(F.lit(1))
     counts = [
-        found[name].rows.agg(F.lit(name).alias("reader"), F.count(F.lit(1)).alias("n_rows")).join(
-            found[name].rejects.agg(F.lit(name).alias("reader"), F.count(F.lit(1)).alias("n_rejects")), "reader"
+        found[name].rows.agg(n.alias("n_rows")).select(
+            F.lit(name).alias("reader"), "n_rows", found[name].rejects.agg(n).scalar().alias("n_rejects")
         )
         for name in found
     ]
