@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from affinia.llm.batches import bounded
-from affinia.llm.samples import labelled_sample, remainder
+from affinia.llm.samples import MAX_CHARS, SCALE, remainder
 
 PER_CLASS = 2000  # labelled texts of a class that are learned from, at most
 DICTIONARY = 1 << 16  # bytes
@@ -126,11 +126,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 3
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
-    """Learns from labelled rows where crc32(doc_id as text) mod 4 is not 2."""
+    """Learns from labelled rows where crc32(doc_id as text) mod 4 is not 2.
+
+    The rows are drawn among the labels, by a hash of doc_id; only then are the few drawn ones
+    broadcast to the documents, so no text is shuffled.
+    """
     known = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
     known = known.filter(remainder("doc_id", 4) != 2)
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("quality", "text")
-    return fit(labelled_sample(rows, "quality", per_class))
+    counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
+    if len(counts) < 2:
+        return None
+    share = [min(1.0, 2 * per_class / counts[q]) for q in (0, 1)]
+    limit = F.when(F.col("quality") == 0, F.lit(int(share[0] * SCALE))).otherwise(F.lit(int(share[1] * SCALE)))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SCALE))
+    drawn = known.withColumn("draw", draw).filter(F.col("draw") < limit).orderBy("draw", "doc_id", "quality")
+    drawn = F.broadcast(drawn.limit(4 * per_class + 1000))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
+    rows = texts.join(drawn, "doc_id").orderBy("draw", "quality", "text").limit(4 * per_class + 1000).collect()
+    sample, taken = [], {0: 0, 1: 0}
+    for row in rows:
+        if taken[row.quality] < per_class:
+            taken[row.quality] += 1
+            sample.append((row.quality, row.text, row.draw))
+    return fit(sample)
 
 
 def scorer(model: Model):
