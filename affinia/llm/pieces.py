@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
+import string
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -154,23 +156,41 @@ def rebuild(spec: Spec, prefix: bool = True) -> Tokenizer:
     return tokenizer
 
 
-def _standing_alone(spec: Spec) -> str:
-    """White space that is part of no longer piece: no merge reaches across it."""
-    joined = "".join(text for text, _, kind in spec.pieces if kind == NORMAL and len(text) > 1)
-    return "".join(c for c in "\n\r\t" if c not in joined)
+def _apart(spec: Spec) -> str:
+    """Characters, line breaks and punctuation among them, that no piece joins to any other.
+
+    Begins with white space and ASCII punctuation. Where a piece has one of them beside another
+    character, that one comes in too, or, if it is an ASCII letter or digit, the first
+    goes. In the end no merge reaches from these characters to the others.
+    """
+    pairs = {
+        (a, b) for text, _, kind in spec.pieces if kind == NORMAL for a, b in zip(text, text[1:]) if MARK not in (a, b)
+    }
+    apart, gone = set("\n\r\t" + string.punctuation), set()
+    while True:
+        mixed = [(a, b) if a in apart else (b, a) for a, b in pairs if (a in apart) != (b in apart)]
+        if not mixed:
+            return "".join(sorted(apart))
+        for own, other in mixed:
+            if other in gone or (other.isascii() and other.isalnum()):
+                apart.discard(own)
+                gone.add(own)
+            else:
+                apart.add(other)
 
 
 class Codec:
     """Encodes and decodes batches with the tokenizers library, on all threads of the process.
 
-    Where no piece reaches across the words of a text (`_words_apart`, read off the vocabulary),
-    the ids of a text are those of its words one after the other. Then the library gets each
-    new word once and it is looked up from then on; beyond CACHE words the table begins anew. Each word is verified when
-    it is new: `odd` has the words to which SentencePiece gives other ids, `lost` those that decoding
-    does not give back. Models without that property encode whole texts.
+    Where no piece reaches across the words of a text (`_words_apart`) or from punctuation to
+    letters (`_apart`), both read off the vocabulary, the ids of a text are those of its runs
+    one after the other. Then the library gets each new run once. Two tables of about CACHE runs
+    are kept: when the younger one is full it takes the place of the older. Each run is verified
+    when it is new: `odd` has those to which SentencePiece gives other ids, `lost` those that
+    decoding does not give back. Models without that property encode whole texts.
     """
 
-    CACHE = 200_000
+    CACHE = 150_000
 
     def __init__(self, data: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
@@ -179,34 +199,44 @@ class Codec:
         self.rest = rebuild(self.spec, prefix=False)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         plain = not self.spec.charsmap and not self.spec.fewer_spaces and self.spec.escape_spaces
-        self.by_word = _words_apart(self.spec) and plain and self.spec.dummy_prefix and self.spec.byte_fallback
-        alone = _standing_alone(self.spec)
-        mark = f"{MARK}+[^{MARK}{alone}]*"
-        self._word = re.compile(f"{mark}|[{alone}]|[^{MARK}{alone}]+" if alone else f"{mark}|[^{MARK}]+")
-        self._alone = alone
-        self._known: dict[str, list[int]] = {}
+        apart = _apart(self.spec)
+        self._lead = "\n" if "\n" in apart else ""
+        self.by_word = (
+            _words_apart(self.spec) and plain and self.spec.dummy_prefix and self.spec.byte_fallback and bool(self._lead)
+        )
+        some = re.escape(apart)
+        self._run = re.compile(f"{MARK}*[^{MARK}{some}]+|{MARK}*[{some}]+|{MARK}+")
+        self._young: dict[str, list[int]] = {}
+        self._old: dict[str, list[int]] = {}
         self._numbers = list(range(len(self.spec.pieces)))  # one object for each id
+        self._texts = [None if kind == BYTE else text.replace(MARK, " ") for text, _, kind in self.spec.pieces]
         self.odd: set[str] = set()
         self.lost: set[str] = set()
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text as the model sees them: with their metaspace marks."""
-        return self._word.findall(MARK + text.replace(" ", MARK)) if text else []
+    def runs(self, text: str) -> list[str]:
+        """A text as the model sees it, with metaspace marks, in runs that are encoded apart."""
+        return self._run.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def _learn(self, words: list[str]) -> None:
         shared = self._numbers
         ids = [[shared[i] for i in e.ids] for e in self.rest.encode_batch_fast(words, add_special_tokens=False)]
-        self._known.update(zip(words, ids))
-        # SentencePiece puts a mark first: it stands for the word's own, or before a line break.
-        lead = self._alone[:1]
-        asked = [w[1:] if w[0] == MARK else lead + w for w in words]
-        before = len(self.original.encode(lead)) if lead else 0
+        self._young.update(zip(words, ids))
+        # SentencePiece puts a mark first: it stands for the run's own, or before a line break.
+        asked = [w[1:] if w[0] == MARK else self._lead + w for w in words]
+        before = len(self.original.encode(self._lead))
+        texts, bytewise = self._texts, []
         for word, own, other in zip(words, ids, self.reference(asked)):
             if word == MARK:  # no text has this mark only
                 other = [self.original.piece_to_id(MARK)]
             if own != (other if word[0] == MARK else other[before:]):
                 self.odd.add(word)
-        for word, back in zip(words, self.rest.decode_batch(ids, skip_special_tokens=False)):
+            parts = [texts[i] for i in own]
+            if None in parts:
+                bytewise.append((word, own))
+            elif "".join(parts) != word.replace(MARK, " "):
+                self.lost.add(word)
+        decoded = self.rest.decode_batch([own for _, own in bytewise], skip_special_tokens=False)
+        for (word, _), back in zip(bytewise, decoded):
             if back != word.replace(MARK, " "):
                 self.lost.add(word)
 
@@ -214,17 +244,21 @@ class Codec:
         if not self.by_word:
             found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
             return [e.ids for e in found]
-        return [[i for ids in words for i in ids] for words, _ in self._looked_up(texts)]
-
-    def _looked_up(self, texts: list[str]) -> list[tuple[list[list[int]], list[str]]]:
-        split = [self.words(t) for t in texts]
-        known = self._known
-        if len(known) > self.CACHE:
-            known.clear()
-        if new := list(set().union(*split).difference(known)):
-            for at in range(0, len(new), NEW_WORDS):
-                self._learn(new[at : at + NEW_WORDS])
-        return [([known[w] for w in words], words) for words in split]
+        return [ids for ids, _ in self._looked_up(texts)]
+
+    def _looked_up(self, texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+        """(ids, runs) of each text."""
+        if len(self._young) > self.CACHE:
+            self._old, self._young = self._young, {}
+        split = [self.runs(t) for t in texts]
+        new = set().union(*split).difference(self._young)
+        again = {w for w in new if w in self._old}
+        self._young.update((w, self._old[w]) for w in again)
+        unknown = sorted(new - again)
+        for at in range(0, len(unknown), NEW_WORDS):
+            self._learn(unknown[at : at + NEW_WORDS])
+        for words in split:
+            yield list(itertools.chain.from_iterable(map(self._young.__getitem__, words))), words
 
     def verified(self, texts: list[str]) -> list[tuple[list[int], bool, bool]]:
         """(ids, decoding gives the text again, SentencePiece gives the same ids) of each text.
@@ -236,10 +270,10 @@ class Codec:
             rows = zip(texts, ids, self.decode(ids), self.reference(texts))
             return [(own, back == text.replace(MARK, " "), own == other) for text, own, back, other in rows]
         out = []
-        for found, words in self._looked_up(texts):
+        for ids, words in self._looked_up(texts):
             trips = not self.lost or self.lost.isdisjoint(words)
             same = not self.odd or self.odd.isdisjoint(words)
-            out.append(([i for ids in found for i in ids], trips, same))
+            out.append((ids, trips, same))
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:

@@ -44,6 +44,16 @@ def test_the_word_table_begins_anew():
     assert first == codec.reference(texts)
 
 
+def test_runs_are_cut_where_no_piece_reaches():
+    codec = pieces.Codec(pieces.load())
+    assert codec.runs("One, two.\n 3") == ["▁One", ",", "▁two", ".\n", "▁3"]
+    apart = pieces._apart(codec.spec)
+    for text, _, kind in codec.spec.pieces:
+        if kind == pieces.NORMAL:
+            inner = text.replace("▁", "")
+            assert all(c in apart for c in inner) or not any(c in apart for c in inner)
+
+
 def test_a_difference_is_reported(monkeypatch):
     codec = pieces.Codec(pieces.load())
     monkeypatch.setattr(codec, "reference", lambda texts: [[1]] * len(texts))
