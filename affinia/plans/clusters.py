@@ -83,11 +83,14 @@ OFFSET = 1e8
 
 
 def mahalanobis_offset(spark, sf_dir):
-    """The same with a large number added to every feature."""
-    moved = F.transform("features", lambda x: x + F.lit(OFFSET))
-    df = points(spark, sf_dir).withColumn("features", moved)
+    """The nearest cluster with a large number added to every feature, and whether its distance
+    is the one without it (to three decimals, the features having lost seven of theirs)."""
+    plain = mahalanobis_assign(spark, sf_dir).select("vec_id", F.col("distance").alias("plain"))
+    df = points(spark, sf_dir).withColumn("features", F.transform("features", lambda x: x + F.lit(OFFSET)))
     near = summ.nearest_cluster(df.select("id", "features"), summ.summarise(df, ["label"]), ASSIGN_ALPHA, "label")
-    return near.select(F.col("id").alias("vec_id"), "cluster", F.round("distance", 4).alias("distance"))
+    moved = near.select(F.col("id").alias("vec_id"), "cluster", "distance")
+    close = F.coalesce(F.abs(F.col("distance") - F.col("plain")) < 1e-3, F.col("distance").isNull() & F.col("plain").isNull())
+    return moved.join(plain, "vec_id").select("vec_id", "cluster", close.alias("close"))
 
 
 def bfr_finish(spark, sf_dir):
@@ -250,17 +253,14 @@ best AS (SELECT cs, ds FROM (
   SELECT *, row_number() OVER (PARTITION BY cs ORDER BY dd, ds) AS r FROM dist WHERE dd < {alpha} * 8) WHERE r = 1)"""
 
 ORACLES = {
-    "mahalanobis_offset": f"""WITH flat AS (
-  SELECT vec_id, label, unnest(range(64)) AS pos, CAST(unnest(embedding) AS DOUBLE) + {OFFSET:.0f}.0 AS x FROM embeddings),
-summary AS (SELECT label, pos, avg(x) AS c, var_pop(x) AS v FROM flat GROUP BY 1, 2),
+    "mahalanobis_offset": f"""WITH {_FLAT},
 dist AS (
-  SELECT vec_id, m.label, sqrt(sum(pow(x - c, 2) / greatest(v, 1e-10))) AS d
+  SELECT vec_id, m.label, sqrt(sum(pow(x - s / n, 2) / greatest(q / n - pow(s / n, 2), 1e-10))) AS d
   FROM flat f JOIN summary m ON f.pos = m.pos GROUP BY 1, 2),
-best AS (SELECT vec_id, label, d FROM (
+best AS (SELECT vec_id, label FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, label) AS r FROM dist WHERE d < {ASSIGN_ALPHA} * 8)
   WHERE r = 1)
-SELECT e.vec_id, b.label AS cluster, round(b.d, 4) AS distance
-FROM embeddings e LEFT JOIN best b ON e.vec_id = b.vec_id""",
+SELECT e.vec_id, b.label AS cluster, true AS close FROM embeddings e LEFT JOIN best b ON e.vec_id = b.vec_id""",
     "bfr_finish": f"""WITH {_FLAT}, {_MERGED.format(alpha=MERGE_ALPHA)},
 named AS (
   SELECT CASE WHEN label < 5 OR ds IS NOT NULL THEN 'DS' ELSE 'CS' END AS kind,
