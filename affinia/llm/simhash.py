@@ -165,22 +165,27 @@ def near_duplicates(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
-    """The rows of `docs` with one row of each component: the one with the smallest doc_id.
+    """The rows of `docs` with one row of each component, as `keep_first` chooses it."""
+    printed = store(bounded(docs).withColumn("_fingerprint", fingerprint_column("text")), "printed")
+    prints = printed.select("doc_id", F.col("_fingerprint").alias("fingerprint"))
+    groups = store(with_components(prints, members), "groups").withColumnRenamed("fingerprint", "_fingerprint")
+    return keep_first(printed, groups, "_fingerprint")
+
+
+def keep_first(printed: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """One row of each root of (key, root, component_id): the one with the smallest doc_id.
 
     Rows with the same doc_id and component count as copies, one of them stays (the one with
     the smallest hash over all columns). A component without any doc_id keeps one row as well.
+    `printed` has the key beside the columns that stay.
     """
-    columns = docs.columns
-    printed = store(bounded(docs).withColumn("_fingerprint", fingerprint_column("text")), "printed")
-    prints = printed.select("doc_id", F.col("_fingerprint").alias("fingerprint"))
-    groups = store(with_components(prints, members), "groups")
-    named = prints.join(groups, "fingerprint").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    columns = [c for c in printed.columns if c != key]
+    named = printed.select("doc_id", key).join(groups, key).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     copies = named.groupBy("root").agg(F.count(F.lit(1)).alias("_copies"))
     picked = groups.join(copies, "root").select(
-        F.col("fingerprint").alias("_fingerprint"), F.col("root").alias("_root"),
-        F.col("component_id").alias("_component"), "_copies",
-    )
-    first = printed.join(picked, "_fingerprint").filter(F.col("doc_id").eqNullSafe(F.col("_component")))
+        key, F.col("root").alias("_root"), F.col("component_id").alias("_component"), "_copies"
+    )
+    first = printed.join(picked, key).filter(F.col("doc_id").eqNullSafe(F.col("_component")))
     order = Window.partitionBy("_root").orderBy(F.xxhash64(*columns))
     repeated = first.filter("_copies > 1").withColumn("_row", F.row_number().over(order)).filter("_row = 1")
     return first.filter("_copies = 1").select(*columns).union(repeated.select(*columns))
