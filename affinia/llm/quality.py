@@ -88,9 +88,12 @@ def expand(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, x * x], axis=1)
 
 
-def fit(sample: list[tuple[int, str, int]]) -> Model | None:
+def fit(sample: list[tuple[int, str, int]], counts: dict[int, int] | None = None) -> Model | None:
     """Dictionaries from half of the sample (by hash), calibration by logistic regression on
-    the other half. None without both classes."""
+    the other half. None without both classes.
+
+    `counts` has the rows of each label that the sample stands for: a drawn row counts for as
+    many, so that the size of the sample does not change the share of good texts."""
     texts = {0: [], 1: []}
     for label, text, draw in sample:
         texts[1 if label else 0].append((text.encode("utf-8", "surrogatepass"), draw))
@@ -106,20 +109,26 @@ def fit(sample: list[tuple[int, str, int]]) -> Model | None:
     compressors = Compressors(good.as_bytes(), bad.as_bytes(), raw)
     rows = [(compressors.features(t), label) for label in (0, 1) for t in parts[label][1] if t]
     x, y = np.array([f for f, _ in rows]), np.array([label for _, label in rows], float)
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    weight, bias = _logistic(expand((x - centre) / scale), y)
-    share = len(texts[1]) / (len(texts[0]) + len(texts[1]))
+    counts = counts or {label: len(rows) for label, rows in texts.items()}
+    each = np.array([counts[label] / max(1, (y == label).sum()) for label in (0, 1)])[y.astype(int)]
+    centre = np.average(x, axis=0, weights=each)
+    scale = np.sqrt(np.average((x - centre) ** 2, axis=0, weights=each)) + 1e-9
+    weight, bias = _logistic(expand((x - centre) / scale), y, each)
+    share = counts[1] / (counts[0] + counts[1])
     return Model(good.as_bytes(), bad.as_bytes(), raw, centre, scale, weight, bias, share)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Newton's method with a small ridge on all but the bias."""
+def _logistic(
+    x: np.ndarray, y: np.ndarray, each: np.ndarray | None = None, ridge: float = 1e-2, rounds: int = 30
+) -> tuple[np.ndarray, float]:
+    """Newton's method with a small ridge on all but the bias; `each` weighs the rows."""
     z = np.c_[x, np.ones(len(x))]
+    each = np.ones(len(x)) if each is None else each * (len(x) / each.sum())
     w, penalty = np.zeros(z.shape[1]), np.r_[np.full(x.shape[1], ridge * len(x)), 1e-6]
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (p - y) + penalty * w
-        curve = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
+        slope = z.T @ (each * (p - y)) + penalty * w
+        curve = (z * (each * p * (1 - p))[:, None]).T @ z + np.diag(penalty)
         step = np.linalg.solve(curve, slope)
         w -= step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
     return w[:-1], float(w[-1])
@@ -148,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         if taken[row.quality] < per_class:
             taken[row.quality] += 1
             sample.append((row.quality, row.text, row.draw))
-    return fit(sample)
+    return fit(sample, counts)
 
 
 def scorer(model: Model):
