@@ -557,7 +557,8 @@ def covered(texts: DataFrame, length: int = LENGTH, group: int = GROUP, shallow:
     dealt = cut.repartition("gram").sortWithinPartitions("kind", "gram", "other")
     by_sort = store(dealt.mapInArrow(_sort_contexts(length, shallow), SPANS), "spans")
     known = judged.filter("gram IS NULL").select("text_key", F.col("lo").alias("start"), F.col("hi").alias("stop"))
-    return known.union(by_sort).groupBy("text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    # Copies of a text bring the same spans: distinct ones are no more than the text's own length.
+    return known.union(by_sort).distinct().groupBy("text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
