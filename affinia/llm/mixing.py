@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from affinia.session import store
 
 DIMENSIONS = ("source", "lang", "topic")
-MOST = 512  # classes of a dimension with a target of their own; the rest share one
+MOST = 512  # with more classes in a dimension the factors are raked as tables and not on the driver
+BROADCAST_ROWS = 200_000  # factors of a dimension that are broadcast; more are joined
 SWEEPS = 20
 #: Targets are the natural shares to these powers: below 1, large classes give to small ones.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
@@ -100,6 +101,51 @@ def rake(tokens: np.ndarray, targets: list[np.ndarray], sweeps: int = SWEEPS) ->
     return factors
 
 
+def _target_shares(cells: DataFrame, d: str, given: Mapping[str, float] | None) -> DataFrame:
+    """(_d, target): the shares of all classes of a dimension, as `weighted` describes them."""
+    sums = cells.groupBy(f"_{d}").agg(F.sum("tokens").alias("n"))
+    total = sums.agg(F.sum("n").cast("double")).first()[0] or 1.0
+    share = F.col("n").cast("double") / F.lit(total)
+    if given is None:
+        shares = sums.select(f"_{d}", F.pow(share, F.lit(POWERS[d])).alias("target"))
+    else:
+        named = sums.sparkSession.createDataFrame([(k, float(v)) for k, v in given.items()], f"_{d} string, given double")
+        both = sums.select(f"_{d}", share.alias("share")).join(named, f"_{d}", "left")
+        open_ = F.when(F.col("given").isNull(), F.col("share"))
+        free, taken = both.agg(F.sum(open_), F.sum("given")).first()
+        left = max(0.0, 1 - (taken or 0.0)) / max(free or 0.0, 1e-300)
+        shares = both.select(f"_{d}", F.coalesce("given", F.col("share") * F.lit(left)).alias("target"))
+    whole = shares.agg(F.sum("target")).first()[0] or 1.0
+    return shares.select(f"_{d}", (F.col("target") / F.lit(whole)).alias("target"))
+
+
+def _with_factors(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
+    """`cells` with `_weight`, the product of the factors of its classes."""
+    for d in DIMENSIONS:
+        cells = cells.join(factors[d], f"_{d}")
+    weight = F.col("_factor_source") * F.col("_factor_lang") * F.col("_factor_topic")
+    return cells.withColumn("_weight", weight).drop(*(f"_factor_{d}" for d in DIMENSIONS))
+
+
+def rake_tables(
+    cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, sweeps: int | None = None
+) -> tuple[dict[str, DataFrame], float]:
+    """`rake` for any number of classes: (_d, _factor_d) of each dimension and the largest weight."""
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    wanted = {d: store(_target_shares(cells, d, (targets or {}).get(d)), "targets") for d in DIMENSIONS}
+    factors = {d: t.select(f"_{d}", F.lit(1.0).alias(f"_factor_{d}")) for d, t in wanted.items()}
+    for _ in range(SWEEPS if sweeps is None else sweeps):
+        for d in DIMENSIONS:
+            now = _with_factors(cells, factors).groupBy(f"_{d}").agg(F.sum(F.col("tokens") * F.col("_weight")).alias("now"))
+            step = F.when(F.col("now") > 0, F.col("target") * F.lit(total) / F.col("now")).otherwise(F.lit(1.0))
+            fitted = factors[d].join(wanted[d], f"_{d}").join(now, f"_{d}")
+            factors[d] = store(
+                fitted.select(f"_{d}", (F.col(f"_factor_{d}") * step).alias(f"_factor_{d}")), f"factors_{d}"
+            )
+    largest = _with_factors(cells.filter("tokens > 0"), factors).agg(F.max("_weight")).first()[0]
+    return factors, float(largest or 1.0)
+
+
 def _lookup(d: str, names: list[str], factor: np.ndarray) -> Column:
     """The factor of a row's class: a map of at most MOST + 1 entries."""
     pairs = [x for n, f in zip(names, factor.tolist()) if n != REST for x in (F.lit(n), F.lit(f))]
@@ -117,7 +163,24 @@ def weighted(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None
     `uniform(doc_id)` is below it: rows that repeat a doc_id in one class share their fate.
     """
     rows = features(docs)
-    names, tokens = cell_table(rows.select(*(f"_{d}" for d in DIMENSIONS), "_tokens"))
+    cells = store(rows.groupBy(*(f"_{d}" for d in DIMENSIONS)).agg(F.sum("_tokens").alias("tokens")), "cells")
+    most = max(cells.agg(*(F.count_distinct(f"_{d}") for d in DIMENSIONS)).first())
+    weight, largest = (_weigh if most <= MOST else _weigh_tables)(rows, cells, targets)
+    rows = weight.withColumn("_probability", F.least(F.lit(1.0), F.col("_weight") / F.lit(largest)))
+    return rows.withColumn("_sampled", uniform(F.col("doc_id")) < F.col("_probability"))
+
+
+def _weigh_tables(rows: DataFrame, cells: DataFrame, targets) -> tuple[DataFrame, float]:
+    """`rows` with `_weight`, and the largest weight; the factors stay tables."""
+    columns = rows.columns
+    factors, largest = rake_tables(cells, targets)
+    few = {d: F.broadcast(f) if f.count() <= BROADCAST_ROWS else f for d, f in factors.items()}
+    return _with_factors(rows, few).select(*columns, "_weight"), largest
+
+
+def _weigh(rows: DataFrame, cells: DataFrame, targets) -> tuple[DataFrame, float]:
+    """The same by a cube of at most MOST x MOST x 4 sums on the driver."""
+    names, tokens = cell_table(cells.withColumnRenamed("tokens", "_tokens"))
     wanted = []
     for axis, d in enumerate(DIMENSIONS):
         natural = tempered(tokens, axis, 1.0 if targets and d in targets else POWERS[d])
@@ -129,15 +192,13 @@ def weighted(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None
             natural = np.where(open_, share / max(share.sum(), 1e-300) * left, given)
             natural = natural / max(natural.sum(), 1e-300)
         wanted.append(natural)
-    factors = rake(tokens, wanted)
+    factors = rake(tokens, wanted, SWEEPS)
     cube = np.einsum("i,j,k->ijk", *factors) if tokens.size else np.ones((1, 1, 1))
     largest = float(cube[tokens > 0].max()) if (tokens > 0).any() else 1.0
     weight = F.lit(1.0)
     for d, n, f in zip(DIMENSIONS, names, factors):
         weight = weight * _lookup(d, n, f)
-    rows = rows.withColumn("_weight", weight)
-    rows = rows.withColumn("_probability", F.least(F.lit(1.0), F.col("_weight") / F.lit(largest)))
-    return rows.withColumn("_sampled", uniform(F.col("doc_id")) < F.col("_probability"))
+    return rows.withColumn("_weight", weight), largest
 
 
 def mixture(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
