@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from affinia.llm.batches import bounded
+from affinia.llm.names import apart
 from affinia.llm.samples import labelled_sample, remainder
 
 PER_LANGUAGE = 1000  # documents of a language that are learned from, at most
@@ -192,6 +193,11 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows whose language is not rejected, unchanged."""
+    """The rows whose language is not rejected, with all their columns, whatever those are called.
+
+    Null texts and texts without a letter are rejected, so an empty table stays empty. Texts of
+    any length are scored whole.
+    """
+    docs, named = apart(docs, ("doc_id", "text", "lang"))
     predict = predictor(train(docs, per_language))
-    return bounded(docs).withColumn("_answer", predict("text")).filter("NOT _answer.rejected").drop("_answer")
+    return named(bounded(docs).withColumn("_answer", predict("text")).filter("NOT _answer.rejected"))

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.names import apart
 from affinia.session import store
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -215,8 +216,12 @@ def mixture(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None =
 
 
 def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
-    """The sampled rows, unchanged."""
-    return weighted(docs, targets).filter("_sampled").select(*docs.columns)
+    """The sampled rows with all their columns, whatever those are called.
+
+    An empty table stays empty; null and empty texts have no tokens and the weight of their cell.
+    """
+    docs, named = apart(docs, ("doc_id", "text", "source", "lang"))
+    return named(weighted(docs, targets).filter("_sampled"))
 
 
 def oracle(sweeps: int = SWEEPS) -> str:

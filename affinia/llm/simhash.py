@@ -14,6 +14,7 @@ from pyspark.sql.functions import arrow_udf
 
 from affinia.llm.batches import bounded
 from affinia.llm.components import connected
+from affinia.llm.names import apart
 from affinia.session import store
 
 SHINGLE_WORDS = 3
@@ -165,11 +166,16 @@ def near_duplicates(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, members: int = CELL_MEMBERS) -> DataFrame:
-    """The rows of `docs` with one row of each component, as `keep_first` chooses it."""
+    """The rows of `docs` with one row of each component, as `keep_first` chooses it.
+
+    All columns stay as they are, whatever their names. An empty table gives an empty one, and
+    null and empty texts are copies of each other.
+    """
+    docs, named = apart(docs, ("doc_id", "text"))
     printed = store(bounded(docs).withColumn("_fingerprint", fingerprint_column("text")), "printed")
     prints = printed.select("doc_id", F.col("_fingerprint").alias("fingerprint"))
     groups = store(with_components(prints, members), "groups").withColumnRenamed("fingerprint", "_fingerprint")
-    return keep_first(printed, groups, "_fingerprint")
+    return named(keep_first(printed, groups, "_fingerprint"))
 
 
 def keep_first(printed: DataFrame, groups: DataFrame, key: str) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.batches import bounded
+from affinia.llm.names import apart
 from affinia.session import store
 
 LENGTH = 200
@@ -642,8 +643,9 @@ def strip_repeats(docs: DataFrame, **options) -> DataFrame:
     """The documents without their covered bytes; those that lose all their text go.
 
     Characters that a removal cuts through are dropped. `n_chars` is set anew if there is such
-    a column. Null and short texts stay as they are.
+    a column. Null and short texts stay as they are, and so do other columns, whatever their names.
     """
+    docs, named = apart(docs, ("text", "n_chars"))
     columns = docs.columns
     texts = _keyed(docs)
     spans = covered(texts.select("text_key", "text"), **options).withColumnsRenamed(
@@ -655,4 +657,4 @@ def strip_repeats(docs: DataFrame, **options) -> DataFrame:
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         stripped = stripped.withColumn("n_chars", F.char_length("text").cast(kind))
-    return stripped
+    return named(stripped)
