@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinia.llm import language, licenses, mixing, neighbours, phrases, pieces, quality, sharding, simhash, suffixes
+from affinia.llm import (
+    byte_bpe, language, lexical, licenses, merkle, mixing, neighbours, phrases, pieces, quality, sharding, simhash, suffixes,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,13 +55,26 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_mixing, op2_simhash, op3_neighbours, op4_sharding, op5_quality,
         op6_language, op7_licenses, op8_suffixes, op9_phrases, op10_pieces,
+        op11_lexical, op12_merkle, op13_byte_bpe,
     )
     return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_mixing": mixing.oracle()}
+    return {"op1_mixing": mixing.oracle(), "op11_lexical": lexical.oracle(), "op12_merkle": merkle.oracle()}
