@@ -1,7 +1,11 @@
-"""The size of the batches that Spark hands to Python."""
+"""The batches that Spark hands to Python: their size, and memory given back after them."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -19,3 +23,23 @@ def bounded(df: DataFrame) -> DataFrame:
     if now is None or not now.isdigit() or int(now) > MOST:
         conf.set(BATCH_BYTES, str(MOST))
     return df
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine. Python workers live on between tasks and stages, and
+    else keep what their largest task needed."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function over batches, that gives memory back when its task ends."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped

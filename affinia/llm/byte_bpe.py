@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, lean
 from affinia.llm.names import apart
 from affinia.session import store
 
@@ -159,11 +159,11 @@ def encoded_chunks(texts: DataFrame, ranks: bytes, size: int = CHUNK, overlap: i
     done = None
     while True:
         cut = bounded(texts).select("key", "text").mapInArrow(
-            _cut(size, overlap), "key string, at int, last boolean, part string"
+            lean(_cut(size, overlap)), "key string, at int, last boolean, part string"
         )
         chunks = store(cut.repartition("key", "at"), "bpe_chunks")
         found = bounded(chunks).mapInArrow(
-            _pretokenised(ranks, size, overlap),
+            lean(_pretokenised(ranks, size, overlap)),
             "key string, at int, part string, ends array<int>, head array<int>, tail array<int>",
         )
         found = store(found, "bpe_boundaries")
@@ -175,7 +175,7 @@ def encoded_chunks(texts: DataFrame, ranks: bytes, size: int = CHUNK, overlap: i
         apart_ = stops.filter("start IS NULL").select("key").distinct()
         whole = stops.join(apart_, "key", "left_anti")
         parts = bounded(found.join(whole, ["key", "at"])).select("key", "at", "part", "ends", "start", "stop")
-        parts = store(parts.mapInArrow(_encoded(ranks), "key string, at int, ids binary"), "bpe_ids")
+        parts = store(parts.mapInArrow(lean(_encoded(ranks)), "key string, at int, ids binary"), "bpe_ids")
         done = parts if done is None else done.union(parts)
         if apart_.isEmpty():
             return done
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, ranks: bytes | None = None, size: int = CHUNK, overl
             yield batch.set_column(place, "ids", pa.array(ids, pa.list_(pa.int32())))
 
     schema = docs.drop("text").schema.add("ids", T.ArrayType(T.IntegerType()))
-    direct = bounded(short).mapInArrow(run, schema)
+    direct = bounded(short).mapInArrow(lean(run), schema)
 
     def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +239,7 @@ def decode(tokens: DataFrame, ranks: bytes | None = None) -> DataFrame:
             raw = [None if x is None else codec.decode(np.array(x, "<u4").tobytes()) for x in batch.column(place).to_pylist()]
             yield batch.append_column("bytes", pa.array(raw, pa.binary()))
 
-    return bounded(tokens).mapInArrow(run, T.StructType([*tokens.schema, T.StructField("bytes", T.BinaryType())]))
+    return bounded(tokens).mapInArrow(lean(run), T.StructType([*tokens.schema, T.StructField("bytes", T.BinaryType())]))
 
 
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -292,6 +292,6 @@ def token_digest(docs: DataFrame, ranks: bytes | None = None, size: int = CHUNK,
             yield row()
 
     parts = encoded_chunks(texts, ranks, size, overlap).repartition("key").sortWithinPartitions("key", "at")
-    digests = store(bounded(parts).mapInArrow(streamed, f"_key string, {DIGEST}"), "bpe_digests")
+    digests = store(bounded(parts).mapInArrow(lean(streamed), f"_key string, {DIGEST}"), "bpe_digests")
     chunked = keyed.select("doc_id", "_key").join(digests, "_key").drop("_key")
-    return bounded(short).mapInArrow(direct, f"doc_id long, {DIGEST}").union(chunked)
+    return bounded(short).mapInArrow(lean(direct), f"doc_id long, {DIGEST}").union(chunked)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, give_back
 from affinia.llm.names import apart
 from affinia.llm.samples import labelled_sample, remainder
 
@@ -170,6 +170,7 @@ def predictor(model: Model):
     @arrow_udf(ANSWER)
     def predict(texts: pa.Array) -> pa.Array:
         answers = [model.predict(x.as_py()) for x in texts]
+        give_back()
         lang, score, rejected = zip(*answers) if answers else ((), (), ())
         return pa.StructArray.from_arrays(
             [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],

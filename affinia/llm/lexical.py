@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, lean
 from affinia.session import store
 
 TOP = 10
@@ -75,7 +75,7 @@ def index(docs: DataFrame, vocabulary: Mapping[bytes, int]) -> DataFrame:
             )
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return bounded(ids).mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<int>")
+    return bounded(ids).mapInArrow(lean(run), "doc_id long, n long, terms array<int>, tfs array<int>")
 
 
 # -- one slice of documents ---------------------------------------------------
@@ -231,7 +231,7 @@ def _search_block(docs: DataFrame, block: list[tuple[int | None, Counter]], top:
             }
         )
 
-    found = bounded(indexed).mapInArrow(run, "number long, item_id long, doc_id long, score long")
+    found = bounded(indexed).mapInArrow(lean(run), "number long, item_id long, doc_id long, score long")
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     spread = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "score"), F.lit(SPREAD)))
     within = Window.partitionBy("number", "part").orderBy(*order)

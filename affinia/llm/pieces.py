@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, lean
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # the metaspace
@@ -192,7 +192,8 @@ class Codec:
 
     CACHE = 150_000
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, check: bool = True):
+        self.check = check
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         self.spec = parse(data)
         self.whole = rebuild(self.spec)
@@ -221,6 +222,8 @@ class Codec:
         shared = self._numbers
         ids = [[shared[i] for i in e.ids] for e in self.rest.encode_batch_fast(words, add_special_tokens=False)]
         self._young.update(zip(words, ids))
+        if not self.check:
+            return
         # SentencePiece puts a mark first: it stands for the run's own, or before a line break.
         asked = [w[1:] if w[0] == MARK else self._lead + w for w in words]
         before = len(self.original.encode(self._lead))
@@ -240,6 +243,10 @@ class Codec:
             if back != word.replace(MARK, " "):
                 self.lost.add(word)
 
+    def forget(self) -> None:
+        """Drops the tables of runs."""
+        self._young, self._old = {}, {}
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.by_word:
             found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
@@ -285,8 +292,8 @@ class Codec:
 
 
 @functools.lru_cache(2)
-def _codec(data: bytes) -> Codec:
-    return Codec(data)
+def _codec(data: bytes, check: bool = True) -> Codec:
+    return Codec(data, check)
 
 
 def load(path: str = MODEL) -> bytes:
@@ -324,27 +331,29 @@ def token_digest(docs: DataFrame, model: bytes | None = None) -> DataFrame:
             )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean, parity boolean"
-    return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(lean(run), schema)
 
 
 def encode(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     """`docs` with its text as `ids` and `n_tokens` in place of `text`.
 
-    A null text has no ids. Clashing columns of the same names are replaced.
+    A null text has no ids. Clashing columns of the same names are replaced. The runs are not verified
+    here (`token_digest` does that), and a task keeps none of them when it ends.
     """
     data = model or load()
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
     kept = bounded(docs).select(*others, "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(data)
+        codec = _codec(data, check=False)
         for batch in batches:
             ids = [x for texts in _batches(batch.column(batch.num_columns - 1)) for x in codec.encode(texts)]
             column = pa.array(ids, pa.list_(pa.int32()))
             yield batch.set_column(batch.num_columns - 1, "ids", column)
+        codec.forget()
 
     schema = kept.drop("text").schema.add("ids", T.ArrayType(T.IntegerType()))
-    return kept.mapInArrow(run, schema).withColumn("n_tokens", F.size("ids").cast("long"))
+    return kept.mapInArrow(lean(run), schema).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 def decode(tokens: DataFrame, model: bytes | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, give_back
 from affinia.llm.components import connected
 from affinia.llm.names import apart
 from affinia.session import store
@@ -65,6 +65,7 @@ def fingerprint(text: bytes | None, words_in_shingle: int = SHINGLE_WORDS) -> in
 def fingerprint_column(texts: pa.Array) -> pa.Array:
     """`fingerprint` of each text as a signed long."""
     values = [fingerprint(x.as_buffer().to_pybytes() if x.is_valid else None) for x in texts]
+    give_back()
     return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
 
 

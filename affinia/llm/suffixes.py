@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.llm.batches import bounded
+from affinia.llm.batches import bounded, lean
 from affinia.llm.names import apart
 from affinia.session import store
 
@@ -545,18 +545,18 @@ def covered(texts: DataFrame, length: int = LENGTH, group: int = GROUP, shallow:
     if length < GRAM + 8:
         raise ValueError(f"length must be {GRAM + 8} or more")
     found = bounded(texts).filter(F.octet_length("text") >= length)
-    rows = found.select("text_key", "text").mapInArrow(_context_rows(length), ROWS)
+    rows = found.select("text_key", "text").mapInArrow(lean(_context_rows(length)), ROWS)
     met = rows.repartition("gram").sortWithinPartitions("gram", "context", "text_key", "lo")
-    judged = store(met.mapInArrow(_judge(length, group), JUDGED), "judged")
+    judged = store(met.mapInArrow(lean(_judge(length, group)), JUDGED), "judged")
     wanted = (
         judged.filter("gram IS NOT NULL")
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("gram", "n", "anchor", "lo", "hi", "hot")).alias("wanted"))
     )
     once = found.groupBy("text_key").agg(F.first("text").alias("text"))
-    cut = once.join(wanted, "text_key").select("text_key", "text", "wanted").mapInArrow(_cut_contexts(length), CUT)
+    cut = once.join(wanted, "text_key").select("text_key", "text", "wanted").mapInArrow(lean(_cut_contexts(length)), CUT)
     dealt = cut.repartition("gram").sortWithinPartitions("kind", "gram", "other")
-    by_sort = store(dealt.mapInArrow(_sort_contexts(length, shallow), SPANS), "spans")
+    by_sort = store(dealt.mapInArrow(lean(_sort_contexts(length, shallow)), SPANS), "spans")
     known = judged.filter("gram IS NULL").select("text_key", F.col("lo").alias("start"), F.col("hi").alias("stop"))
     # Copies of a text bring the same spans: distinct ones are no more than the text's own length.
     return known.union(by_sort).distinct().groupBy("text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
@@ -617,7 +617,7 @@ def removal_digest(docs: DataFrame, **options) -> DataFrame:
     return (
         texts.join(spans, "text_key", "left")
         .select("doc_id", "text", "spans")
-        .mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        .mapInArrow(lean(_digests), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )
 
 
@@ -653,7 +653,7 @@ def strip_repeats(docs: DataFrame, **options) -> DataFrame:
     )
     keyed = docs.withColumn("_key", text_key(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
     joined = keyed.join(spans, "_key", "left").drop("_key")
-    stripped = joined.select(*columns, "_spans").mapInArrow(_strip, docs.schema)
+    stripped = joined.select(*columns, "_spans").mapInArrow(lean(_strip), docs.schema)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         stripped = stripped.withColumn("n_chars", F.char_length("text").cast(kind))
