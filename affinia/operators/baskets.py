@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.text import fixed
+from affinia.operators.bitmaps import bitmaps, n_common, numbered
 from affinia.operators.skew import heavy_keys, spread_join
 from affinia.session import store
 
@@ -35,7 +36,8 @@ def frequent_itemsets(
     their length. Up to `min_support - 1` of the longest are therefore set aside: an
     itemset that reaches the threshold with their help still has
     `min_support - (number set aside)` other baskets, so those itemsets are the only
-    candidates, and the long baskets are merely probed for them. The result is exact.
+    candidates. Each item has a bitmap of the long baskets that hold it, and a candidate's long baskets are
+    the common bits of its items, so no pair or triple of a long basket is formed. The result is exact.
     Long baskets beyond that number are joined in slices.
     """
     tx = tx.select("basket", "item")
@@ -53,7 +55,8 @@ def frequent_itemsets(
     long = heavy_keys(kept, "basket", heavy_basket, 1000)
     heavy, sliced = long[: min_support - 1], long[min_support - 1 :]
     light = kept.filter(~F.col("basket").isin(heavy)) if heavy else kept
-    held = kept.filter(F.col("basket").isin(heavy))
+    if heavy:
+        held = store(bitmaps(numbered(kept, "basket", heavy), "item", len(heavy)), "long_baskets")
 
     occurrences = _pairs(light, sliced)
     for size in range(2, max_size + 1):
@@ -93,15 +96,15 @@ def _triples(pairs: DataFrame, frequent: DataFrame, sliced: list) -> DataFrame:
 
 
 def _probe(candidates: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the heavy baskets that hold all items of a candidate to its support."""
-    hits = candidates.drop("support")
-    for position, key in enumerate(keys):
-        side = held.withColumnRenamed("item", key)
-        hits = hits.join(side, [key] if position == 0 else ["basket", key])
-    extra = hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("extra"))
-    return candidates.join(extra, keys, "left").select(
-        *keys, (F.col("support") + F.coalesce("extra", F.lit(0))).alias("support")
-    )
+    """Add the long baskets that hold all items of a candidate to its support.
+
+    `held` has a bitmap of the long baskets for each item; a candidate stays one row.
+    """
+    rows = candidates
+    for key in keys:
+        rows = rows.join(held.select(F.col("item").alias(key), F.col("bits").alias(f"_{key}")), key, "left")
+    extra = F.coalesce(n_common(*(f"_{key}" for key in keys)), F.lit(0).cast("long"))
+    return rows.select(*keys, (F.col("support") + extra).alias("support"))
 
 
 def _as_itemsets(level: DataFrame, size: int) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -21,6 +23,7 @@ RETAINED = "id long, features array<double>"
 PLACED = "id long, features array<double>, kind string, cluster string"
 ASSIGNED = "id long, kind string, cluster string, chunk long"
 REPORT = "chunk long, n_points long, ds_clusters long, ds_points long, cs_clusters long, cs_points long, rs_points long"
+MOVED = "cluster string, goes_to string"
 CHUNK_ROWS = 1_000_000  # points of a chunk where nothing else is asked for
 
 
@@ -32,6 +35,8 @@ class BfrSettings:
     smallest: int = 3  # groups below this size are outliers in the first chunk
     seed: int = 42
     rows_per_task: int = 100_000  # of k-means
+    most: int = 50  # compressed clusters after a chunk
+    tight: float = 1.0  # compressed clusters merge while their spread stays below this times that of the widest DS cluster
 
     @property
     def least(self) -> int:
@@ -49,7 +54,8 @@ class Bfr:
 
     The clusters are fixed while a chunk is assigned and each point takes the nearest
     one, so the result does not depend on the order of the points. A chunk may hold any
-    number of points: only the summaries, k plus k * over per chunk at most, travel.
+    number of points: only the summaries, k plus `most` plus k * over at most, travel. After each
+    chunk compressed clusters are merged with their nearest ones, see `merge_compressed`.
     Until `BfrSettings.least` points have come all of them wait in RS, so a small first
     chunk never leaves DS without a cluster.
     """
@@ -81,6 +87,7 @@ class Bfr:
                 clusters, assigned, retained = self._first(every, version, label)
         else:
             clusters, assigned, retained = self._next(points, known, waiting, version, label)
+        clusters = self._merged(clusters, version)
         self._write(clusters, "clusters", version)
         self._write(assigned.withColumn("chunk", F.lit(version).cast("long")), "assigned", version)
         self._write(self._report(chunk, version, retained), "report", version)
@@ -90,6 +97,7 @@ class Bfr:
         self._write(summarise(members, ["kind", "cluster"]), "clusters", 0)
         assigned = members.select("id", "kind", "cluster", F.lit(0).cast("long").alias("chunk"))
         self._write(assigned, "assigned", 0)
+        self._write(self.spark.createDataFrame([], MOVED), "moved", 0)
         self._write(self.spark.createDataFrame([], RETAINED), "retained", 0)
         self._write(self._report(members, 0, self._read("retained", 0)), "report", 0)
 
@@ -146,6 +154,19 @@ class Bfr:
         self._write(grouped.filter(F.col("size") == 1).select("id", "features"), "retained", version)
         return compressed, self._read("retained", version)
 
+    def _merged(self, clusters: DataFrame, version: int) -> DataFrame:
+        """The clusters with compressed ones merged; who went where is written for `finish`."""
+        self._write(clusters, "unmerged", version)
+        clusters = self._read("unmerged", version)
+        rows = [tuple(r) for r in clusters.select("kind", "cluster", "n", "sum", "m2").collect()]  # a bounded number
+        into = merge_compressed(rows, self.settings)
+        moved = self.spark.createDataFrame(list(into.items()), MOVED)
+        self._write(moved, "moved", version)
+        if not into:
+            return clusters
+        renamed = clusters.join(F.broadcast(moved), "cluster", "left").withColumn("cluster", F.coalesce("goes_to", "cluster"))
+        return merge_summaries(renamed.select(clusters.columns), ["kind", "cluster"])
+
     @staticmethod
     def _sized(grouped: DataFrame) -> DataFrame:
         sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
@@ -196,6 +217,7 @@ class Bfr:
             ["kind", "cluster"],
         )
         assigned = self._until("assigned", ASSIGNED, version)
+        assigned = assigned.join(self._moves(version), "cluster", "left").withColumn("cluster", F.coalesce("goes_to", "cluster"))
         assigned = assigned.join(merged_into, "cluster", "left").select(
             "id",
             F.when(F.col("ds").isNotNull(), F.lit("DS")).otherwise(F.col("kind")).alias("kind"),
@@ -203,6 +225,17 @@ class Bfr:
         )
         return clusters, assigned, self._read("retained", version)
 
+    def _moves(self, version: int) -> DataFrame:
+        """`(cluster, goes_to)`: where compressed clusters merged in any chunk are now.
+
+        At most `k * over` clusters come with a chunk, so there are few rows even after very many points.
+        """
+        moved = self.spark.read.schema(f"{MOVED}, v int").parquet(f"{self.path}/moved").filter(F.col("v") <= version)
+        now: dict[str, str] = {}
+        for row in moved.orderBy(F.desc("v")).collect():  # the later moves first
+            now[row.cluster] = now.get(row.goes_to, row.goes_to)
+        return self.spark.createDataFrame(list(now.items()), MOVED)
+
     @staticmethod
     def merge_map(clusters: DataFrame, alpha: float) -> DataFrame:
         """`(cluster, ds)`: the discard cluster nearest to a compressed cluster's centroid."""
@@ -213,6 +246,10 @@ class Bfr:
         near = nearest_cluster(centers, ds, alpha).filter(F.col("cluster").isNotNull())
         return near.select(F.col("cs").alias("cluster"), F.col("cluster").alias("ds"))
 
+    def tables(self, version: int) -> tuple[DataFrame, DataFrame]:
+        """The clusters and the points left over as they stand after a chunk."""
+        return self._read("clusters", version), self._read("retained", version)
+
     def report(self, version: int) -> DataFrame:
         """One line per chunk: points, and size of the three sets after it."""
         return self._until("report", REPORT, version)
@@ -245,7 +282,7 @@ class Bfr:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/v={version}")
 
     def _read(self, name: str, version: int) -> DataFrame:
-        schema = {"clusters": CLUSTERS, "retained": RETAINED, "placed": PLACED}.get(name)
+        schema = {"clusters": CLUSTERS, "unmerged": CLUSTERS, "retained": RETAINED, "placed": PLACED}.get(name)
         return self.spark.read.schema(schema or f"{RETAINED}, group int").parquet(f"{self.path}/{name}/v={version}")
 
     def _until(self, name: str, schema: str, version: int) -> DataFrame:
@@ -261,6 +298,68 @@ class Bfr:
             return False
 
 
+def merge_compressed(rows: Sequence[tuple], settings: BfrSettings) -> dict[str, str]:
+    """Which compressed cluster is merged into which, by name, from rows (kind, cluster, n, sum, m2).
+
+    A cluster has a norm bound on its distance to another (that of their centroids' lengths), so most pairs are never
+    measured. The two nearest centroids go first. They merge if the mean variance of the whole stays below
+    `tight` times that of the widest discard cluster, or if more than `most` compressed clusters are left.
+    """
+    wide = [np.sum(m2) / n for kind, _, n, _, m2 in rows if kind == "DS"]
+    limit = settings.tight * max(wide, default=0.0)
+    live = {name: (n, np.array(total, float), float(np.sum(m2))) for kind, name, n, total, m2 in sorted(rows, key=lambda r: r[1]) if kind == "CS"}
+    into: dict[str, str] = {}
+
+    def nearest(name: str) -> tuple[float, str, str] | None:
+        """The nearest other centroid: candidates by length, until the lengths differ by more than the best distance."""
+        n, total, _ = live[name]
+        center, best = total / n, None
+        length = float(np.linalg.norm(center))
+        others = sorted((abs(lengths[o] - length), o) for o in live if o != name)
+        for gap, other in others:
+            if best is not None and gap > best[0]:
+                break
+            d = float(np.linalg.norm(live[other][1] / live[other][0] - center))
+            if best is None or (d, other) < best:
+                best = (d, other)
+        return best and (best[0], *sorted((name, best[1])))
+
+    lengths = {name: float(np.linalg.norm(total / n)) for name, (n, total, _) in live.items()}
+    near = {name: nearest(name) for name in live}
+    refused: set[tuple[str, str]] = set()
+    while len(live) > 1:
+        pairs = sorted({p for p in near.values() if p and (len(live) > settings.most or p[1:] not in refused)})
+        if not pairs:
+            break
+        _, a, b = pairs[0]
+        (na, sa, ma), (nb, sb, mb) = live[a], live[b]
+        n, gap = na + nb, sa / na - sb / nb
+        m2 = ma + mb + float(gap @ gap) * na * nb / n
+        if m2 / n > limit and len(live) <= settings.most:
+            refused.add((a, b))
+            continue
+        live[a] = (n, sa + sb, m2)
+        del live[b]
+        lengths[a] = float(np.linalg.norm(live[a][1] / n))
+        into[b] = a
+        for name in live:
+            if name == a or near[name] is None or {a, b} & set(near[name][1:]):
+                near[name] = nearest(name)
+            else:  # the merged centroid may have come nearer
+                d = float(np.linalg.norm(live[a][1] / n - live[name][1] / live[name][0]))
+                near[name] = min(near[name], (d, *sorted((name, a))))
+        near.pop(b, None)
+    for name in into:
+        while into[name] in into:
+            into[name] = into[into[name]]
+    return into
+
+
+def chunk_rows(n: int, chunks: int = 4, least: int = 250) -> int:
+    """The size of `chunks` equal chunks of n points: the number of jobs does not grow with the table."""
+    return max(least, -(-n // chunks))
+
+
 def run_chunks(
     df: DataFrame, size: int = CHUNK_ROWS, settings: BfrSettings = BfrSettings(), path: str | None = None
 ) -> tuple[Bfr, int]:

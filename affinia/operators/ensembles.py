@@ -1,87 +1,12 @@
-"""Tree ensembles on Spark ML: forests, extra trees, gradient boosting, AdaBoost."""
+"""One round of discrete AdaBoost as columns."""
 
 from __future__ import annotations
 
 import math
-import random
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.functions.vectors import total
-from affinia.session import cut_lineage
-
-UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
-
-
-def forest(train: DataFrame, n: int, depth: int | None, seed: int):
-    return RandomForestClassifier(
-        numTrees=n, maxDepth=UNLIMITED_DEPTH if depth is None else depth, seed=seed, weightCol="weight",
-        featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
-    ).fit(train)
-
-
-def gradient_boosting(train: DataFrame, n: int, depth: int, rate: float, seed: int, weighted: bool):
-    booster = GBTClassifier(
-        maxIter=n, maxDepth=depth, stepSize=rate, seed=seed, cacheNodeIds=True, checkpointInterval=10
-    )
-    if weighted:
-        booster = booster.setWeightCol("weight")
-    return booster.fit(train)
-
-
-class ExtraTrees:
-    """Extremely randomised trees: no bootstrap, random features and random cut points.
-
-    Spark's forests choose among quantile cuts. Here the trees are grown in groups, and
-    each group sees the features cut at its own uniformly drawn points, which leaves
-    only random thresholds to choose from. For 0/1 features every cut is the same split.
-    """
-
-    def __init__(self, n: int, depth: int | None, seed: int, groups: int = 5, cuts: int = 8):
-        self.n, self.depth, self.seed, self.cuts = n, depth, seed, cuts
-        self.groups = max(1, min(groups, n // 5))  # at least five trees share a set of cuts
-        self.models: list = []
-
-    def fit(self, train: DataFrame) -> ExtraTrees:
-        low, high = train.select(
-            *[getattr(Summarizer, m)(F.col("features")).alias(m) for m in ("min", "max")]
-        ).first()
-        rng = random.Random(self.seed)
-        sizes = [self.n // self.groups + (g < self.n % self.groups) for g in range(self.groups)]
-        for g, size in enumerate(sizes):
-            points = [sorted(rng.uniform(a, b) for _ in range(self.cuts)) if b > a else [] for a, b in zip(low, high)]
-            model = RandomForestClassifier(
-                numTrees=size, maxDepth=UNLIMITED_DEPTH if self.depth is None else self.depth, seed=self.seed + g,
-                weightCol="weight", featureSubsetStrategy="sqrt", bootstrap=False, featuresCol="cut",
-                probabilityCol="share", rawPredictionCol="raw", predictionCol="guess",
-                cacheNodeIds=True, checkpointInterval=10,
-            ).fit(train.withColumn("cut", self._cut(points)))
-            self.models.append((size, points, model))
-        return self
-
-    @staticmethod
-    def _cut(points: list) -> Column:
-        """Each value is replaced by the number of cut points below it."""
-        table = F.array(*[F.array(*[F.lit(p) for p in row]).cast("array<double>") for row in points])
-        return array_to_vector(
-            F.transform(
-                vector_to_array("features"),
-                lambda x, j: F.size(F.filter(F.get(table, j), lambda p: p < x)).cast("double"),
-            )
-        )
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        df = df.withColumn("_positive", F.lit(0.0))
-        for size, points, model in self.models:
-            df = model.transform(df.withColumn("cut", self._cut(points)))
-            df = df.withColumn("_positive", F.col("_positive") + size * vector_to_array("share")[1])
-            df = df.drop("cut", "share", "raw", "guess")
-        return df.withColumn("prediction", (F.col("_positive") / self.n > 0.5).cast("double")).drop("_positive")
-
 
 def boost_round(df: DataFrame, rate: float, miss: Column) -> tuple[float, float, Column]:
     """One weight update of discrete AdaBoost (two classes).
@@ -98,51 +23,3 @@ def boost_round(df: DataFrame, rate: float, miss: Column) -> tuple[float, float,
     scale = weight * ((1 - err) + err * math.exp(alpha))
     grown = F.col("weight") * F.when(miss, F.lit(math.exp(alpha))).otherwise(F.lit(1.0))
     return err, alpha, grown / F.lit(scale)
-
-
-class AdaBoost:
-    """Boosted stumps. The stumps become column expressions, so neither the weights nor
-    the predictions chain models, and a fit of n rounds also predicts for fewer."""
-
-    def __init__(self, rounds: int, rate: float, seed: int, checkpoint_every: int = 10):
-        self.rounds, self.rate, self.seed, self.checkpoint_every = rounds, rate, seed, checkpoint_every
-        self.stumps: list[tuple[float, Column]] = []
-
-    def fit(self, train: DataFrame) -> AdaBoost:
-        data = train.select("label", "features", F.lit(1.0).alias("weight"))
-        learner = DecisionTreeClassifier(maxDepth=1, weightCol="weight", seed=self.seed)
-        for turn in range(self.rounds):
-            if turn % self.checkpoint_every == 0:
-                data = cut_lineage(data)
-            vote = self._vote(learner.fit(data))
-            err, alpha, weight = boost_round(data, self.rate, vote != F.col("label"))
-            if err >= 0.5:
-                break
-            self.stumps.append((1.0 if err <= 0 else alpha, vote))
-            if err <= 0:
-                break
-            data = data.withColumn("weight", weight)
-        return self
-
-    @staticmethod
-    def _vote(model) -> Column:
-        """The stump as an expression over `features`."""
-        root = model._call_java("rootNode")
-        if model.depth == 0:
-            return F.lit(float(root.prediction()))
-        split = root.split()
-        left, right = float(root.leftChild().prediction()), float(root.rightChild().prediction())
-        value = F.get(vector_to_array("features"), F.lit(split.featureIndex()))
-        if "Categorical" in split.getClass().getSimpleName():
-            goes_left = value.isin([float(c) for c in split.leftCategories()])
-        else:
-            goes_left = value <= float(split.threshold())
-        return F.when(goes_left, F.lit(left)).otherwise(F.lit(right))
-
-    def transform(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
-        """Predictions after `rounds` stumps (all by default)."""
-        stumps = self.stumps[:rounds]
-        if not stumps:
-            return df.withColumn("prediction", F.lit(0.0))
-        votes = F.array(*[F.lit(alpha) * (2 * vote - 1) for alpha, vote in stumps])
-        return df.withColumn("prediction", (total(votes) > 0).cast("double"))

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinia.operators.bitmaps import bitmaps, n_common, numbered
 from affinia.operators.skew import heavy_keys, ranked, spread_join
 from affinia.session import store
 
 BROADCAST_ROWS = 2_000_000  # links of 16 bytes, 32 MB
-HUB_LIMIT = 6  # hub sets are bit masks: at most 2**6 - 1 classes of vertices
+HUB_LIMIT = 4096  # hubs have bits in blocks of 64, so a vertex has at most this many bits
+BLOCK_BYTES = 8 << 20  # vertices that one round of `_hub_best` compares all open sources with
 
 
 def mutual_neighbours(
@@ -19,6 +26,7 @@ def mutual_neighbours(
     busy_paths: int = 1_000_000,
     max_hubs: int = HUB_LIMIT,
     broadcast_rows: int = BROADCAST_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The best `n` candidates per vertex: `(src, candidate, n_mutual, rank)`.
 
@@ -27,39 +35,30 @@ def mutual_neighbours(
     decides. Order: most mutual neighbours first, then the smaller id.
 
     Two-step paths through ordinary vertices are joined and counted. Paths through
-    the few largest hubs (in-degree times out-degree above `hub_paths`) are never
-    written out, since they grow with the square of the degree: each vertex keeps a
-    bit mask of the hubs it reaches or is reached from, and a pair's mutual hubs
+    hubs (in-degree times out-degree above `hub_paths`) are never
+    written out, since they grow with the square of the degree: each vertex keeps
+    bitmaps of the hubs it reaches and is reached from, and a pair's mutual hubs
     are the common bits. Middles above `busy_paths` are joined in slices.
     """
     links = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "links")
     hubs, busy = _large_middles(links, hub_paths, busy_paths, max_hubs)
     small = links.count() <= broadcast_rows
+    by_path = _count_paths(links, hubs, busy, small)
     if not hubs:
-        return _best(_count_paths(links, links, hubs, busy, small), n)
-
-    bit = F.lit(0).cast("long")
-    for position, hub in enumerate(hubs):
-        bit = F.when(F.col("hub") == hub, F.lit(1 << position).cast("long")).otherwise(bit)
-    into = links.filter(F.col("dst").isin(hubs)).select("src", F.col("dst").alias("hub"))
-    out_of = links.filter(F.col("src").isin(hubs)).select("dst", F.col("src").alias("hub"))
-    reach = into.groupBy("src").agg(F.bit_or(bit).alias("reach"))
-    reached = out_of.groupBy("dst").agg(F.bit_or(bit).alias("reached"))
-
-    marked = store(
-        links.join(reach, "src", "left")
-        .join(reached, "dst", "left")
-        .select("src", "dst", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("reach", "reached")]),
-        "marked",
-    )
-    in_hubs = F.bit_count(F.col("reach").bitwiseAND(F.col("reached"))).cast("long")
-    first, second = marked.select("src", "dst", "reach"), marked.select("src", "dst", "reached")
+        return _best(by_path, n)
+    into = numbered(links.select(F.col("src"), "dst"), "dst", hubs)
+    out_of = numbered(links.select(F.col("dst"), "src"), "src", hubs)
+    reach = store(bitmaps(into, "src", len(hubs)).withColumnRenamed("bits", "reach"), "reach")
+    reached = store(bitmaps(out_of, "dst", len(hubs)).withColumnRenamed("bits", "reached"), "reached")
     by_path = store(
-        _count_paths(first, second, hubs, busy, small).withColumn("n_mutual", F.col("n_mutual") + in_hubs),
+        by_path.join(reach, "src", "left")
+        .join(reached, "dst", "left")
+        .select("src", "dst", (F.col("n_mutual") + F.coalesce(n_common("reach", "reached"), F.lit(0).cast("long"))).alias("n_mutual")),
         "paths",
     )
-    by_hub = _hub_only(marked, by_path, reach, reached, n)
-    return _best(by_path.select("src", "dst", "n_mutual").unionByName(by_hub), n)
+    # A vertex that no path reaches is among the best only if it is among the best by hubs alone.
+    by_hub = _hub_best(links, reach, reached, n, block_bytes).join(by_path, ["src", "dst"], "left_anti")
+    return _best(by_path.unionByName(by_hub), n)
 
 
 def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs: int):
@@ -69,26 +68,23 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
         .groupBy("v")
         .agg((F.sum("i").cast("double") * F.sum("o")).alias("paths"))
     )
-    large = heavy_keys(degree, "v", min(hub_paths, busy_paths), 1000, F.col("paths"))
-    hubs = heavy_keys(degree.filter(F.col("v").isin(large)), "v", hub_paths, max_hubs, F.col("paths")) if large else []
+    degree = store(degree, "degrees")
+    hubs = heavy_keys(degree, "v", hub_paths, max_hubs, F.col("paths"))
+    large = heavy_keys(degree, "v", min(hub_paths, busy_paths), max_hubs + 1000, F.col("paths"))
     return hubs, [v for v in large if v not in set(hubs)]
 
 
-def _count_paths(
-    first: DataFrame, second: DataFrame, hubs: list, busy: list, small: bool
-) -> DataFrame:
+def _count_paths(links: DataFrame, hubs: list, busy: list, small: bool) -> DataFrame:
     """`(src, dst, n_mutual)` for pairs that are not linked, from paths past the hubs.
 
     Every vertex also counts as its own neighbour, without a score: a path that ends in
-    its middle tells that the pair is linked, which spares an anti-join. The hub masks, if
-    any, ride along as constants of the pair. While the links are few enough to copy
+    its middle tells that the pair is linked, which spares an anti-join. While the links are few enough to copy
     them to all tasks, the paths are laid out by source and never leave their task; a
     source has at most as many paths as there are links.
     """
-    masks = [c for c in ("reach", "reached") if c in first.columns + second.columns]
-    first = first.withColumnRenamed("dst", "mid")
-    onward = second.filter(~F.col("src").isin(hubs)) if hubs else second
-    own = second.select(F.col("dst").alias("src"), *[c for c in second.columns if c != "src"]).distinct()
+    first = links.withColumnRenamed("dst", "mid")
+    onward = links.filter(~F.col("src").isin(hubs)) if hubs else links
+    own = links.select(F.col("dst").alias("src"), "dst").distinct()
     second = onward.unionByName(own).withColumnRenamed("src", "mid")
     if small:
         paths = first.repartition("src").join(F.broadcast(second), "mid")
@@ -98,68 +94,73 @@ def _count_paths(
     return (
         paths.filter(F.col("src") != F.col("dst"))
         .groupBy("src", "dst")
-        .agg(
-            F.count(F.lit(1)).alias("n_mutual"),
-            F.max(linked).alias("_linked"),
-            *[F.max(c).alias(c) for c in masks],
-        )
+        .agg(F.count(F.lit(1)).alias("n_mutual"), F.max(linked).alias("_linked"))
         .filter(~F.col("_linked"))
         .drop("_linked")
     )
 
 
-def _hub_only(
-    marked: DataFrame, by_path: DataFrame, reach: DataFrame, reached: DataFrame, n: int
-) -> DataFrame:
-    """Candidates that are reached through hubs alone, enough of them for the top `n`.
+def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, block_bytes: int) -> DataFrame:
+    """`(src, dst, n_mutual)`: the best n of each source by mutual hubs alone, neither itself nor linked.
 
-    Vertices with the same `reached` mask form a class and are equally good for a
-    source, so the smallest ids win. Of each class a source reads the first
-    `n + x` members, where x counts the members it must skip (itself, neighbours,
-    candidates already scored by paths): at least n remain.
+    A threshold algorithm. Targets are ranked by the number of hubs that lead to them, then by id, and cut into
+    blocks of bounded size. A source is compared with block after block until no later block can
+    change its list: a later target shares at most as many hubs as lead to it, and among equals the smaller
+    id wins. Sources that are done leave the table.
     """
-    spark = marked.sparkSession
-    shares = F.col("reach").bitwiseAND(F.col("reached")) != 0
-    skip = (
-        marked.select("src", "dst", "reach", "reached")
-        .unionByName(by_path.select("src", "dst", "reach", "reached"))
-        .unionByName(
-            reach.join(reached.withColumnRenamed("dst", "src"), "src").withColumn("dst", F.col("src"))
-        )
-        .filter(shares)
-        .select("src", "dst", "reached")
-    )
-    skipped = skip.groupBy("src", "reached").agg(F.count(F.lit(1)).alias("x"))
-    masks = [r[0] for r in reached.select("reached").distinct().collect()]
-    wanted = (
-        reach.withColumn("reached", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-        .filter(shares)
-        .join(skipped, ["src", "reached"], "left")
-        .withColumn(
-            "place", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("x", F.lit(0)) + F.lit(n)))
-        )
-        .drop("x")
-    )
-    members = ranked(reached, ["reached"], ["dst"], "place")
-    # every source reads the head of a class, so the head is copied to all slices
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    head = F.col("place") <= 1000
-    wanted = wanted.withColumn(
-        "_slice", F.when(head, F.pmod(F.xxhash64("src"), F.lit(slices)).cast("int")).otherwise(F.lit(0))
-    )
-    every = F.sequence(F.lit(0), F.lit(slices - 1))
-    members = members.withColumn(
-        "_slice", F.explode(F.when(head, every).otherwise(F.array(F.lit(0))))
-    )
-    return (
-        wanted.join(members, ["reached", "place", "_slice"])
-        .join(skip.select("src", "dst"), ["src", "dst"], "left_anti")
-        .select(
-            "src",
-            "dst",
-            F.bit_count(F.col("reach").bitwiseAND(F.col("reached"))).cast("long").alias("n_mutual"),
-        )
-    )
+    total = F.aggregate("reached", F.lit(0), lambda n, w: n + F.bit_count(w)).cast("int")
+    counted = reached.select("dst", "reached", total.alias("total"), (-total).alias("order"))
+    words = len(reached.first()["reached"])
+    size = max(1, block_bytes // (8 * words + 12))
+    targets = ranked(counted, [], ["order", "dst"], "place").withColumn("block", F.floor((F.col("place") - 1) / size).cast("int"))
+    targets = store(targets.select("block", "place", "dst", "total", "reached"), "targets")
+    ends = targets.groupBy("block").agg(F.max("total"), F.min("dst")).orderBy("block").collect()
+    most, least = np.array([e[1] for e in ends]), np.array([e[2] for e in ends])
+    own = reach.select("src", F.col("src").alias("dst"))
+    linked = links.join(reach.select("src"), "src").join(reached.select("dst"), "dst").select("src", "dst").union(own)
+    lists = linked.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("linked"))
+    none = {"scores": F.array().cast("array<int>"), "ids": F.array().cast("array<long>"), "open": F.lit(True)}
+    state = store(reach.join(lists, "src").withColumns(none), "sources")
+    schema, done = state.schema, []
+    for block in range(len(ends)):
+        rows = targets.filter(F.col("block") == block).orderBy("place").select("dst", "total", "reached").toArrow()
+        ids, totals = rows["dst"].to_numpy(), rows["total"].to_numpy()
+        bits = rows["reached"].combine_chunks().flatten().to_numpy().reshape(len(ids), words)
+
+        def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                reaches = batch.column("reach").flatten().to_numpy().reshape(len(batch), words)
+                out_scores, out_ids, open_ = [], [], []
+                for own, linked, scores, best in zip(reaches, batch.column("linked"), batch.column("scores"), batch.column("ids")):
+                    found = np.bitwise_count(bits & own).sum(axis=1, dtype=np.int64)
+                    at = np.flatnonzero(found > 0)
+                    skip = linked.values.to_numpy()
+                    place = np.minimum(np.searchsorted(skip, ids[at]), len(skip) - 1)
+                    at = at[skip[place] != ids[at]]
+                    scores = np.r_[scores.values.to_numpy(), found[at]]
+                    best = np.r_[best.values.to_numpy(), ids[at]]
+                    order = np.lexsort((best, -scores))[:n]
+                    scores, best = scores[order], best[order]
+                    bound = np.minimum(np.bitwise_count(own).sum(), most[block + 1 :])
+                    open_.append(bool(len(bound)) and bool(
+                        len(best) < n or ((bound > scores[-1]) | ((bound == scores[-1]) & (least[block + 1 :] < best[-1]))).any()
+                    ))
+                    out_scores.append(scores.astype(np.int32))
+                    out_ids.append(best)
+                for name, values, kind in (
+                    ("scores", out_scores, pa.list_(pa.int32())), ("ids", out_ids, pa.list_(pa.int64())), ("open", open_, pa.bool_()),
+                ):
+                    batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(values, kind))
+                yield batch
+
+        state = store(state.mapInArrow(compare, schema), "sources")
+        done.append(state.filter("NOT open"))
+        state = state.filter("open")
+        if state.isEmpty():
+            break
+    best = functools.reduce(DataFrame.union, done)
+    pairs = best.select("src", F.explode(F.arrays_zip("ids", "scores")).alias("p"))
+    return pairs.select("src", F.col("p.ids").alias("dst"), F.col("p.scores").cast("long").alias("n_mutual"))
 
 
 def _best(scored: DataFrame, n: int) -> DataFrame:

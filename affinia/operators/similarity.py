@@ -7,7 +7,7 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.skew import heavy_keys, spread_join
+from affinia.operators.skew import heavy_keys, ranked, spread_join
 from affinia.session import store
 
 MASK_BITS = 60  # users that fit into the bits of a long
@@ -158,19 +158,72 @@ def item_similarity_lsh(
         .distinct(),
         "found",
     )
-    # only the keys travel with the users; the sizes are joined to the counts afterwards
-    # items with very many partners are joined in slices
-    busy = heavy_keys(found, "item", heavy_bucket, 1000)
+    return _jaccard(_with_shared(found, pairs, heavy_bucket), max_distance)
+
+
+def _with_shared(found: DataFrame, pairs: DataFrame, heavy: int) -> DataFrame:
+    """`(item1, item2, n1, n2, n_shared)` of found pairs (item the rarer one, other, n1, n2).
+
+    The users of the rarer item are looked up in the other; only the keys travel with the users, the
+    sizes are joined to the counts afterwards. Items with very many partners are joined in slices.
+    """
+    busy = heavy_keys(found, "item", heavy, 1000)
     shared = (
         spread_join(found.select("item", "other"), pairs, "item", busy)
         .join(pairs.withColumnRenamed("item", "other"), ["other", "user"], "left_semi")
         .groupBy("item", "other")
         .agg(F.count(F.lit(1)).alias("n_shared"))
     )
-    ordered = shared.join(found, ["item", "other"]).select(
+    return shared.join(found, ["item", "other"]).select(
         F.least("item", "other").alias("item1"), F.greatest("item", "other").alias("item2"), "n1", "n2", "n_shared"
     )
-    return _jaccard(ordered, max_distance)
+
+
+def prefixes(pairs: DataFrame, least: float) -> DataFrame:
+    """`(item, user, place, n_users)`: the rarest users of each item, enough of them to meet its like.
+
+    With users in one order, rarest first, two items of n1 and n2 users and similarity `least` or more share
+    one of the first n - ceil(least * n) + 1 users of either. Places count from 1.
+    """
+    rarity = pairs.groupBy("user").agg(F.count(F.lit(1)).alias("n_items"))
+    sized = pairs.join(rarity, "user").join(_sizes(pairs), "item")
+    placed = ranked(sized, ["item"], ["n_items", "user"], "place")
+    length = F.col("n_users") - F.ceil(F.lit(least) * F.col("n_users") - 1e-9) + 1
+    return placed.filter(F.col("place") <= length).select("item", "user", "place", "n_users")
+
+
+def candidates(pairs: DataFrame, least: float, heavy_user: int = 10_000) -> DataFrame:
+    """Pairs (item the rarer one, other, n1, n2) that may have similarity `least` or more, all such among them.
+
+    Items meet at the users of their prefixes. A meeting counts if the sizes allow the similarity, and if enough
+    users are left after it in both, as they are at the first user that a similar pair shares.
+    """
+    first = store(prefixes(pairs, least), "prefixes")
+    hot = heavy_keys(first, "user", heavy_user, 1000)
+    sides = [
+        first.select("user", F.col("item").alias(f"item{i}"), F.col("place").alias(f"p{i}"), F.col("n_users").alias(f"n{i}"))
+        for i in (1, 2)
+    ]
+    needed = F.ceil(F.lit(least / (1 + least)) * (F.col("n1") + F.col("n2")) - 1e-9)
+    left = 1 + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
+    smaller = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("item1") < F.col("item2")))
+    met = spread_join(*sides, "user", hot).filter(
+        smaller & (F.col("n1") >= F.lit(least) * F.col("n2") - 1e-9) & (left >= needed)
+    )
+    return met.select(F.col("item1").alias("item"), F.col("item2").alias("other"), "n1", "n2").distinct()
+
+
+def item_similarity_bounded(ratings: DataFrame, least: float, heavy_user: int = 10_000) -> DataFrame:
+    """All item pairs of similarity `least` (above 0) or more, exact: `(item1 < item2, similarity)`.
+
+    Pairs below the bound are hardly ever formed: see `candidates`. A user with very many items
+    takes part only for items whose users are all as busy.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("the bound must lie above 0, up to 1")
+    pairs = store(ratings.select("user", "item").distinct(), "rated")
+    found = store(candidates(pairs, least, heavy_user), "found")
+    return _jaccard(_with_shared(found, pairs, heavy_user), 2.0).filter(F.col("similarity") >= least - 1e-12)
 
 
 def neighbours(similar: DataFrame, symmetric: bool = True) -> DataFrame:

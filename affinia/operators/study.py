@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.ensembles import AdaBoost, ExtraTrees, forest, gradient_boosting
-from affinia.session import shared_dir, store
+from affinia.operators.boosting import boosted_counts
+from affinia.operators.forests import forest_counts
+from affinia.session import store
 
 # Fixed values of the study: hyper-parameters and the published accuracies (percent)
 # that the best configurations should reproduce.
@@ -133,69 +133,37 @@ def best_config(results: DataFrame, targets: DataFrame, by: Sequence[str], key:
 
 # -- cross validation ---------------------------------------------------------
 
-
-def predictor(algo: str, train: DataFrame, everything: DataFrame, configs: Sequence[dict], seed: int):
-    """Fit what the configurations need on `train`; returns functions from test frame to
-    predictions `(label, prediction)`, one per configuration.
-
-    AdaBoost configurations that differ in their length only share one fit.
-    """
-    if algo == "random_forest":
-        weighted = with_weight(train, "weight")
-        return [forest(weighted, c["n_estimators"], c["max_depth"], seed).transform for c in configs]
-    if algo == "extra_trees":
-        weighted = with_weight(train, "weight")
-        return [ExtraTrees(c["n_estimators"], c["max_depth"], seed).fit(weighted).transform for c in configs]
-    if algo == "xgboost":
-        weighted = with_weight(train, "scale_pos_weight", everything)
-        return [
-            gradient_boosting(weighted, c["n_estimators"], c["max_depth"] or 6, c["learning_rate"], seed, True).transform
-            for c in configs
-        ]
-    if algo == "gradient_boosting":
-        return [
-            gradient_boosting(train, c["n_estimators"], 3, c["learning_rate"], seed, False).transform for c in configs
-        ]
-    if algo == "adaboost":
-        longest = max(c["n_estimators"] for c in configs)
-        model = AdaBoost(longest, configs[0]["learning_rate"], seed).fit(train)
-        return [lambda test, n=c["n_estimators"]: model.transform(test, n) for c in configs]
-    raise ValueError(f"unknown algorithm {algo}")
+XGBOOST_DEPTH = 6  # what "no limit" means to the second-order booster
+BOOSTING_DEPTH = 3  # of first-order boosting
+OBJECTIVE = {"xgboost": "second_order", "gradient_boosting": "first_order", "adaboost": "vote"}
 
 
 def cross_validate(
-    df: DataFrame, algo: str, configs: Sequence[dict], seed: int = 42, parallelism: int = 3
+    df: DataFrame, algo: str, configs: Sequence[dict], seed: int = 42
 ) -> DataFrame:
     """Confusion counts of each configuration and fold: `(algo, …parameters, fold, tp, fp, fn, tn)`.
 
-    `df` is `(id, label, features vector, fold)`. Every configuration is fitted once per
-    fold and all metrics come from one pass over its predictions. Independent fits are
-    submitted side by side; only the four counts of a fit come back.
+    `df` is `(id, label, features vector, fold)`. Configurations that differ in their length share
+    one fit, and so do forests that differ in their depth; all folds and settings of a study advance together. Only the four counts of a configuration and fold come back.
     """
     spark = df.sparkSession
-    shared_dir(spark)  # tree ensembles checkpoint their node ids
     data = store(df.select("id", "label", "features", "fold"), "study")
-    folds = [r[0] for r in data.select("fold").distinct().orderBy("fold").collect()]
-    if algo == "adaboost":  # one fit serves all lengths of a learning rate
-        rates = sorted({c["learning_rate"] for c in configs})
-        jobs = [[c for c in configs if c["learning_rate"] == rate] for rate in rates]
+    lengths = sorted({c["n_estimators"] for c in configs})
+    if algo in ("random_forest", "extra_trees"):
+        depths = list(dict.fromkeys(c["max_depth"] for c in configs))
+        found = forest_counts(data, lengths, depths, algo == "random_forest", seed)
+        rows = [(n, d, None, fold, counts) for n, d, fold, counts in found]
+    elif algo in OBJECTIVE:
+        fixed = {"gradient_boosting": BOOSTING_DEPTH, "adaboost": 1}.get(algo)
+        settings = list(dict.fromkeys((c["learning_rate"], c.get("max_depth")) for c in configs))
+        fits = [{"rate": rate, "depth": fixed or depth or XGBOOST_DEPTH, "asked": depth} for rate, depth in settings]
+        found = boosted_counts(data, OBJECTIVE[algo], fits, lengths)
+        rows = [(n, c["asked"], c["rate"], fold, counts) for c, n, fold, counts in found]
     else:
-        jobs = [[c] for c in configs]
-
-    def run(job):
-        group, fold = job
-        train, test = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
-        rows = []
-        for config, predict in zip(group, predictor(algo, train, data, group, seed)):
-            counts = confusion(predict(test), []).first()
-            rows.append(
-                (algo, config["n_estimators"], config.get("max_depth"), config.get("learning_rate"), fold, *counts)
-            )
-        return rows
-
-    with ThreadPool(parallelism) as pool:
-        results = pool.map(run, list(itertools.product(jobs, folds)), chunksize=1)
-    return spark.createDataFrame([row for rows in results for row in rows], COUNTS)
+        raise ValueError(f"unknown algorithm {algo}")
+    asked = {(c["n_estimators"], c.get("max_depth"), c.get("learning_rate")) for c in configs}
+    wanted = [(algo, *key, fold, *map(int, counts)) for *key, fold, counts in rows if tuple(key) in asked]
+    return spark.createDataFrame(wanted, COUNTS)
 
 
 def run_study(df: DataFrame, algo: str, configs: Sequence[dict] | None = None, **options) -> DataFrame:

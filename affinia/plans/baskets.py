@@ -56,6 +56,16 @@ def itemsets_median(spark, sf_dir):
     return itemsets.select("size", _joined("items").alias("items"), "support")
 
 
+def itemsets_past_long_baskets(spark, sf_dir):
+    """The same with one basket that holds every item, and long baskets from five items on."""
+    every = table(spark, sf_dir, "part").select(F.lit("every").alias("basket"), F.col("p_brand").alias("item"))
+    tx = store(transactions(spark, sf_dir).union(every.distinct()), "transactions")
+    n = tx.select("basket").distinct().count()
+    support = max(2, math.ceil(SUPPORT_SHARE * n))
+    itemsets = ops.frequent_itemsets(tx, support, heavy_basket=4, distinct=True)
+    return itemsets.select("size", _joined("items").alias("items"), "support")
+
+
 def itemset_counts(spark, sf_dir):
     return ops.itemset_counts(_mined(spark, sf_dir)[0])
 
@@ -170,6 +180,7 @@ QUERIES = {
     "itemsets_2": _itemsets_of(2),
     "itemsets_3": _itemsets_of(3),
     "itemsets_median": itemsets_median,
+    "itemsets_past_long_baskets": itemsets_past_long_baskets,
     "itemset_counts": itemset_counts,
     "itemsets_top10": itemsets_top10,
     "itemset_report": itemset_report,
@@ -183,6 +194,9 @@ ORACLES = {
     "SELECT tx.basket, item, n_items FROM tx JOIN sizes ON tx.basket = sizes.basket",
     "item_dictionary": f"WITH {_DICT} SELECT item, description FROM dict",
     **{f"itemsets_{k}": f"WITH {_ITEMSETS} SELECT items, support FROM s{k}" for k in (1, 2, 3)},
+    "itemsets_past_long_baskets": "WITH "
+    + _ITEMSETS.replace("l_partkey = p_partkey)", "l_partkey = p_partkey UNION SELECT 'every', p_brand FROM part)", 1)
+    + " SELECT size, items, support FROM sets",
     "itemsets_median": f"""WITH {_ITEMSETS},
 high AS (SELECT ceil(median(support)) AS s FROM s2)
 SELECT size, items, support FROM sets WHERE support >= (SELECT s FROM high)""",

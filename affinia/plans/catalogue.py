@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from affinia.plans import baskets, chunked, clusters, formats, graph, recommend, study
+from affinia.plans import baskets, chunked, clusters, formats, graph, recommend, study, trees
 
-AREAS = [graph, baskets, clusters, chunked, recommend, study, formats]
+AREAS = [graph, baskets, clusters, chunked, recommend, study, trees, formats]
 
 
 def queries() -> dict:

@@ -6,14 +6,14 @@ import math
 
 from pyspark.sql import functions as F
 
-from affinia.operators.bfr import BfrSettings, run_chunks, set_sizes
+from affinia.operators.bfr import BfrSettings, chunk_rows, run_chunks, set_sizes
 from affinia.operators.summaries import cluster_stats, stats_report, summarise
 from affinia.operators.ward import ward_clusters
 from affinia.plans.tables import points
 from affinia.session import scratch_path, store
 from affinia.streaming.bfr_stream import cluster_stream
 
-CHUNK_ROWS = 250  # points of a chunk, whatever the table's size; the operator's default is larger
+CHUNKS, LEAST = 4, 250  # chunks of a run, and the points one has at least
 # with 64 noisy dimensions alpha 2 would take in every point; this keeps all three sets busy
 SETTINGS = BfrSettings(alpha=1.2)
 
@@ -23,7 +23,8 @@ def _points(spark, sf_dir):
 
 
 def _run(spark, sf_dir):
-    return run_chunks(_points(spark, sf_dir), CHUNK_ROWS, SETTINGS)
+    df = _points(spark, sf_dir)
+    return run_chunks(df, chunk_rows(df.count(), CHUNKS, LEAST), SETTINGS)
 
 
 def bfr_run(spark, sf_dir):
@@ -43,9 +44,11 @@ def bfr_totals(spark, sf_dir):
     return bfr_log(spark, sf_dir).select("chunk", "n_points", total)
 
 
-def bfr_conserved(spark, sf_dir):
-    """N, SUM and SUMSQ of all clusters and of the points left over, added up by dimension."""
-    bfr, version = _run(spark, sf_dir)
+def _conserved(spark, sf_dir, bfr, version):
+    """N, SUM and SUMSQ of all clusters and of the points left over, added up by dimension.
+
+    n_wrong counts clusters whose N is not the number of points assigned to them.
+    """
     clusters, assigned, retained = bfr.finish(version)
     kept = clusters.select("n", F.posexplode(F.arrays_zip("sum", "sumsq")).alias("pos", "v"))
     kept = kept.select("pos", "n", F.col("v.sum").alias("sum"), F.col("v.sumsq").alias("sumsq"))
@@ -60,16 +63,34 @@ def bfr_conserved(spark, sf_dir):
     )
 
 
-def bfr_stream(spark, sf_dir):
+def bfr_conserved(spark, sf_dir):
+    return _conserved(spark, sf_dir, *_run(spark, sf_dir))
+
+
+def _streamed(spark, sf_dir):
     """The points as a stream of files, in as many micro-batches."""
     path, df = scratch_path(spark, "arriving"), _points(spark, sf_dir)
-    files = math.ceil(df.count() / CHUNK_ROWS)
-    df.repartition(files, "id").write.parquet(path)
-    bfr, version = cluster_stream(spark, path, SETTINGS)
+    n = df.count()
+    df.repartition(math.ceil(n / chunk_rows(n, CHUNKS, LEAST)), "id").write.parquet(path)
+    return cluster_stream(spark, path, SETTINGS)
+
+
+def bfr_stream(spark, sf_dir):
+    bfr, version = _streamed(spark, sf_dir)
     clusters, _, retained = bfr.finish(version)
     return set_sizes(clusters, retained)
 
 
+def bfr_stream_conserved(spark, sf_dir):
+    return _conserved(spark, sf_dir, *_streamed(spark, sf_dir))
+
+
+def bfr_bounded(spark, sf_dir):
+    """For each chunk whether the compressed set stayed within its bound."""
+    bounded = (F.col("cs_clusters") <= SETTINGS.most).alias("cs_bounded")
+    return bfr_log(spark, sf_dir).select("chunk", "n_points", bounded)
+
+
 KS = range(8, 17)
 
 
@@ -102,18 +123,25 @@ QUERIES = {
     "bfr_totals": bfr_totals,
     "bfr_conserved": bfr_conserved,
     "bfr_stream": bfr_stream,
+    "bfr_stream_conserved": bfr_stream_conserved,
+    "bfr_bounded": bfr_bounded,
     "ward_nested": ward_nested,
     "ward_stats": ward_stats,
     "ward_check": ward_check,
 }
-ORACLES = {
-    "bfr_totals": f"""WITH r AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r FROM embeddings),
-c AS (SELECT CAST(floor(r / {CHUNK_ROWS}) AS BIGINT) AS chunk, count(*) AS n_points FROM r GROUP BY 1)
-SELECT chunk, n_points, CAST(sum(n_points) OVER (ORDER BY chunk) AS BIGINT) AS n_total FROM c""",
-    "bfr_conserved": """WITH flat AS (
+_CHUNKED = f"""r AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, greatest({LEAST}, ceil(count(*) OVER () / {CHUNKS})) AS size FROM embeddings),
+c AS (SELECT CAST(floor(r / size) AS BIGINT) AS chunk, count(*) AS n_points FROM r GROUP BY 1)"""
+_CONSERVED = """WITH flat AS (
   SELECT unnest(range(64)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
 SELECT CAST(pos AS INTEGER) AS pos, count(*) AS n, round(sum(x), 6) AS sum, round(sum(x * x), 6) AS sumsq,
-  CAST(0 AS BIGINT) AS n_wrong FROM flat GROUP BY 1""",
+  CAST(0 AS BIGINT) AS n_wrong FROM flat GROUP BY 1"""
+
+ORACLES = {
+    "bfr_totals": f"""WITH {_CHUNKED}
+SELECT chunk, n_points, CAST(sum(n_points) OVER (ORDER BY chunk) AS BIGINT) AS n_total FROM c""",
+    "bfr_bounded": f"WITH {_CHUNKED} SELECT chunk, n_points, true AS cs_bounded FROM c",
+    "bfr_conserved": _CONSERVED,
+    "bfr_stream_conserved": _CONSERVED,
     "ward_check": f"""SELECT CAST(k AS INTEGER) AS k, k AS n_clusters, (SELECT count(*) FROM embeddings) AS n_points,
   CAST(0 AS BIGINT) AS n_split FROM (SELECT unnest(range({KS.start}, {KS.stop})) AS k)""",
 }

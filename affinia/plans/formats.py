@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from affinia.operators import profile as prof
+from affinia.operators.bfr import Bfr
 from affinia.operators.graph import recommend_friends
 from affinia.operators.recommend import predict_pairs, recommend_items
 from affinia.operators.skew import ranked
@@ -16,6 +17,8 @@ from affinia.plans.clusters import QUERIES as CLUSTER_QUERIES
 from affinia.plans.clusters import members
 from affinia.plans.recommend import NEAR_SQL, near_items, raw_ratings, split_ratings, titles
 from affinia.plans.graph import ORACLES as GRAPH_ORACLES
+from affinia.plans.study import ORACLES as STUDY_ORACLES
+from affinia.plans.study import QUERIES as STUDY_QUERIES
 from affinia.plans.tables import GRAPH_SQL, graph, points, table
 from affinia.session import scratch_path
 from affinia.sources import readers, writers
@@ -87,10 +90,10 @@ def src_items(spark, sf_dir):
 
 
 def src_labels(spark, sf_dir):
-    """Documents as a table with a two-line header: group and name of each column."""
+    """Documents as a table with a two-line header, their titles broken over three lines."""
     path = scratch_path(spark, "labels")
     rows = table(spark, sf_dir, "documents").select(
-        F.concat_ws(",", F.col("doc_id").cast("string"), F.lit('"a, b"'), F.col("lang"), F.col("source")).alias("value")
+        F.concat_ws(",", F.col("doc_id").cast("string"), F.lit('"a, ""b""\n\nc"'), F.col("lang"), F.col("source")).alias("value")
     )
     heads = [(",album,set,track",), (",title,subset,genre_top",), ("track_id,,,",)]
     head = spark.createDataFrame(heads, "value string").coalesce(1)
@@ -165,6 +168,39 @@ def sink_profile(spark, sf_dir):
     return _lines_in_order(spark, path)
 
 
+def sink_run_log(spark, sf_dir):
+    """The log of a run that begins with given sets: embeddings in whole numbers, five labels a kind."""
+    path = scratch_path(spark, "run_log")
+    whole = F.transform("features", lambda x: F.floor(x * 100).cast("double"))
+    members = points(spark, sf_dir).select(
+        "id", whole.alias("features"), F.when(F.col("label") < 5, F.lit("DS")).otherwise(F.lit("CS")).alias("kind"),
+        F.col("label").cast("string").alias("cluster"),
+    )
+    bfr = Bfr(spark)
+    bfr.restore(members)
+    clusters, retained = bfr.tables(0)
+    writers.write_run_log(bfr.report(0), clusters, retained, path)
+    return _lines_in_order(spark, path)
+
+
+def sink_study(spark, sf_dir):
+    """The metrics of each fold as a table of rows."""
+    path = scratch_path(spark, "study")
+    writers.write_study(STUDY_QUERIES["cv_metrics"](spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def sink_csv(spark, sf_dir):
+    """Parts as sorted CSV, read back in the order of the files."""
+    path = scratch_path(spark, "csv")
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(', "x"')).alias("name"), "p_size")
+    writers.write_csv(parts, path, [F.desc("p_size"), "p_partkey"])
+    rows = spark.read.csv(path, header=True, escape='"', schema="p_partkey long, name string, p_size int")
+    rows = rows.select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place"))
+    placed = ranked(rows, [], ["file", "place"], "position")
+    return placed.select(F.col("position").cast("long").alias("position"), "p_partkey", "name", "p_size")
+
+
 def src_rejects(spark, sf_dir):
     """Rows and rejected lines of each reader where bad lines stand among good ones."""
     ids = points(spark, sf_dir).select("id")
@@ -205,6 +241,9 @@ def src_rejects(spark, sf_dir):
 
 QUERIES = {
     "src_rejects": src_rejects,
+    "sink_run_log": sink_run_log,
+    "sink_study": sink_study,
+    "sink_csv": sink_csv,
     "sink_itemsets": sink_itemsets,
     "sink_stats": sink_stats,
     "sink_profile": sink_profile,
@@ -233,6 +272,25 @@ ORACLES = {
         f"SELECT '{name}' AS reader, count(*) AS n_rows, CAST({bad} AS BIGINT) AS n_rejects FROM embeddings"
         for name, bad in (("adjacency", 3), ("features", 3), ("labels", 2), ("labelled", 4), ("ratings", 2))
     ),
+    "sink_run_log": """WITH x AS (
+  SELECT label, CASE WHEN label < 5 THEN 2 ELSE 3 END AS part, list_transform(embedding[1:3], lambda v: floor(v::DOUBLE * 100)) AS f FROM embeddings),
+s AS (SELECT part, label::VARCHAR AS name, count(*) AS n, [sum(f[1]), sum(f[2]), sum(f[3])] AS s,
+  [sum(f[1] * f[1]), sum(f[2] * f[2]), sum(f[3] * f[3])] AS q FROM x GROUP BY part, label),
+c AS (SELECT count(*) FILTER (part = 2) AS ds, coalesce(sum(n) FILTER (part = 2), 0)::BIGINT AS dp, count(*) FILTER (part = 3) AS cs,
+  coalesce(sum(n) FILTER (part = 3), 0)::BIGINT AS cp FROM s),
+fixed AS (SELECT unnest([
+  {'part': 0, 'place': 0, 'line': ''}, {'part': 0, 'place': 1, 'line': '=== Initialization ==='},
+  {'part': 0, 'place': 2, 'line': 'Points in this chunk: ' || (dp + cp)}, {'part': 0, 'place': 3, 'line': 'DS clusters: ' || ds || ' (' || dp || ' points)'},
+  {'part': 0, 'place': 4, 'line': 'CS clusters: ' || cs || ' (' || cp || ' points)'}, {'part': 0, 'place': 5, 'line': 'RS points: 0'},
+  {'part': 1, 'place': 0, 'line': ''}, {'part': 1, 'place': 1, 'line': '=== FINAL REPORT ==='}, {'part': 1, 'place': 2, 'line': 'DS clusters: ' || ds},
+  {'part': 1, 'place': 3, 'line': 'CS clusters: ' || cs}, {'part': 1, 'place': 4, 'line': 'RS points: 0'},
+  {'part': 2, 'place': -1, 'line': ''}, {'part': 2, 'place': 0, 'line': 'Discard Set (DS) contains ' || ds || ' clusters:'},
+  {'part': 3, 'place': -1, 'line': ''}, {'part': 3, 'place': 0, 'line': 'Compression Set (CS) contains ' || cs || ' clusters:'}]) AS r FROM c),
+every AS (SELECT r.part AS part, r.place AS place, '' AS name, r.line AS line FROM fixed UNION ALL
+  SELECT part, 1, name, '  Cluster ' || name || ': N=' || n || ', SUM[:3]=[' || array_to_string(s, ' ') || '], SUMSQ[:3]=[' || array_to_string(q, ' ') || ']' FROM s)
+SELECT row_number() OVER (ORDER BY part, place, name) AS position, line FROM every""",
+    "sink_study": STUDY_ORACLES["cv_metrics"],
+    "sink_csv": """SELECT row_number() OVER (ORDER BY p_size DESC, p_partkey) AS position, p_partkey, p_name || ', "x"' AS name, p_size FROM part""",
     "sink_itemsets": f"""WITH r AS (
   SELECT section, rank, line FROM ({BASKET_ORACLES["itemset_report"]})
   UNION ALL SELECT * FROM (VALUES {_HEADS}) h(section, rank, line))

@@ -19,6 +19,13 @@ def friend_recommendations(spark, sf_dir):
     return recs.select("id", F.concat_ws(",", F.col("recs").cast("array<string>")).alias("recs"))
 
 
+def friends_past_hubs(spark, sf_dir):
+    """The same lists where every part with more than a hundred paths counts as a hub: hundreds of them."""
+    vertices, edges = graph(spark, sf_dir)
+    recs = recommend_friends(vertices, edges, hub_paths=100, block_bytes=1 << 16)
+    return recs.select("id", F.concat_ws(",", F.col("recs").cast("array<string>")).alias("recs"))
+
+
 _TOP = f"""WITH {GRAPH_SQL},
 paths AS (
   SELECT f.src, g.dst AS candidate, count(*) AS n_mutual
@@ -33,14 +40,20 @@ best AS (
   WHERE rank <= 10)
 """
 
-QUERIES = {"mutual_friends": mutual_friends, "friend_recommendations": friend_recommendations}
-
-ORACLES = {
-    "mutual_friends": _TOP + "SELECT src, candidate, n_mutual, rank FROM best",
-    "friend_recommendations": _TOP
-    + """
+_RECS = _TOP + """
 SELECT p_partkey AS id, coalesce(recs, '') AS recs
 FROM part LEFT JOIN (
   SELECT src, string_agg(CAST(candidate AS VARCHAR), ',' ORDER BY rank) AS recs FROM best GROUP BY src)
-  ON src = p_partkey""",
+  ON src = p_partkey"""
+
+QUERIES = {
+    "mutual_friends": mutual_friends,
+    "friend_recommendations": friend_recommendations,
+    "friends_past_hubs": friends_past_hubs,
+}
+
+ORACLES = {
+    "mutual_friends": _TOP + "SELECT src, candidate, n_mutual, rank FROM best",
+    "friend_recommendations": _RECS,
+    "friends_past_hubs": _RECS,
 }

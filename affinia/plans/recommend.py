@@ -72,6 +72,14 @@ def item_similarity_exact(spark, sf_dir):
     return similar.withColumn("similarity", F.round("similarity", 9))
 
 
+LEAST = 0.05  # about one pair in thirty at the middle scale
+
+
+def item_similarity_bounded(spark, sf_dir):
+    similar = sim.item_similarity_bounded(store(ratings(spark, sf_dir, "l_partkey"), "ratings"), LEAST)
+    return similar.withColumn("similarity", F.round("similarity", 9))
+
+
 def item_similarity_lsh(spark, sf_dir):
     similar = sim.item_similarity_lsh(
         store(ratings(spark, sf_dir, "l_partkey"), "ratings"), TABLES, seed=SEED
@@ -262,6 +270,7 @@ QUERIES = {
     "cf_user_sample": cf_user_sample,
     "item_users": item_users,
     "item_similarity_exact": item_similarity_exact,
+    "item_similarity_bounded": item_similarity_bounded,
     "item_similarity_lsh": item_similarity_lsh,
     "unseen_pairs": unseen_pairs,
     "cf_predict": cf_predict,
@@ -300,6 +309,8 @@ errs AS (SELECT v.u, v.i, error FROM val v LEFT JOIN scored s ON v.u = s.u AND v
 SELECT item, u AS "user", count(*) OVER (PARTITION BY item) AS n_users FROM p""",
     "item_similarity_exact": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")}
 SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM every""",
+    "item_similarity_bounded": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")}
+SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM every WHERE s >= {LEAST}""",
     "item_similarity_lsh": f"""WITH {_ratings_sql("l_partkey")}, {_similarity_sql("ratings")}
 SELECT i1 AS item1, i2 AS item2, round(s, 9) AS similarity FROM sims""",
     "unseen_pairs": f'WITH {_UNSEEN} SELECT u AS "user", i AS item FROM unseen',

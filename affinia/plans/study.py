@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.operators import study
@@ -100,7 +103,7 @@ def adaboost_round(spark, sf_dir):
     return df.select("doc_id", F.round(weight, 9).alias("weight"))
 
 
-def _study_frame(spark, sf_dir, folds=3):
+def study_frame(spark, sf_dir, folds=10):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     df = _folded(spark, sf_dir, folds).join(docs, "doc_id")
     df = store(df, "labelled")
@@ -112,24 +115,46 @@ def _study_frame(spark, sf_dir, folds=3):
     return df.select(F.col("doc_id").alias("id"), F.col("label").cast("double").alias("label"), "features", "fold")
 
 
-# Two configurations and three folds each; `run_study` without `configs` runs the full grid.
-SMALL = {
-    "random_forest": [{"n_estimators": 10, "max_depth": d} for d in (5, 10)],
-    "extra_trees": [{"n_estimators": 10, "max_depth": d} for d in (5, 10)],
-    "xgboost": [{"n_estimators": 5, "max_depth": 5, "learning_rate": r} for r in (0.1, 0.3)],
-    "adaboost": [{"n_estimators": n, "learning_rate": 0.3} for n in (3, 6)],
-    "gradient_boosting": [{"n_estimators": 5, "learning_rate": r} for r in (0.1, 0.3)],
-}
+@functools.cache
+def _counted(application, sf_dir, algo):
+    """The confusion counts of the whole study of an algorithm, written once a session."""
+    spark = SparkSession.active()
+    return store(study.cross_validate(study_frame(spark, sf_dir), algo, study.param_grid(algo)), "study_counts")
+
+
+def counts_of(spark, sf_dir, algo):
+    return _counted(spark.sparkContext.applicationId, sf_dir, algo)
 
 
 def _study_of(algo):
+    """All configurations of an algorithm over ten folds: the mean of each metric."""
+
+    def query(spark, sf_dir):
+        per_fold = study.fold_metrics(counts_of(spark, sf_dir, algo))
+        return study.study_table(per_fold, ["algo", "n_estimators", "max_depth", "learning_rate"])
+
+    return query
+
+
+def _coverage_of(algo):
+    """How many rows each configuration and fold was tested on."""
+
     def query(spark, sf_dir):
-        return study.run_study(_study_frame(spark, sf_dir), algo, SMALL[algo])
+        tested = counts_of(spark, sf_dir, algo).withColumn("n_test", F.expr("tp + fp + fn + tn"))
+        return tested.select("algo", "n_estimators", "max_depth", "learning_rate", "fold", "n_test", F.expr("tp + fn").alias("n_positive"))
 
     return query
 
 
-_FOLDS = """folded AS (
+def study_best(spark, sf_dir):
+    """Of each algorithm the configuration whose accuracy is closest to the published one."""
+    tables = [_study_of(algo)(spark, sf_dir) for algo in study.USES]
+    results = functools.reduce(DataFrame.unionByName, tables)
+    targets = spark.createDataFrame(list(study.TARGET_ACCURACY.items()), "algo string, target double")
+    return study.best_config(results, targets, ["n_estimators", "max_depth", "learning_rate"])
+
+
+FOLDS_SQL = """folded AS (
   SELECT doc_id, quality AS label, toxic, CAST((row_number() OVER (
     PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) - 1) % 10 AS INTEGER) AS fold FROM labels)"""
 _METRICS = """{0}, {1},
@@ -143,6 +168,23 @@ _GRID = ", ".join(
     for c in study.param_grid(algo)
 )
 
+NAMES = {
+    "random_forest": "random_forest",
+    "extra_trees": "extra_trees",
+    "weighted_gbt": "xgboost",
+    "adaboost": "adaboost",
+    "gbt": "gradient_boosting",
+}
+
+
+def _coverage_sql(algo):
+    """Fold sizes beside every configuration of the grid."""
+    return f"""WITH {FOLDS_SQL},
+grid AS (SELECT * FROM (VALUES {_GRID}) g(algo, n_estimators, max_depth, learning_rate) WHERE algo = '{algo}'),
+tests AS (SELECT fold, count(*) AS n_test, count(*) FILTER (label = 1) AS n_positive FROM folded GROUP BY 1)
+SELECT algo, n_estimators, max_depth, CAST(learning_rate AS DOUBLE) AS learning_rate, fold, n_test, n_positive FROM grid, tests"""
+
+
 QUERIES = {
     "class_distribution": class_distribution,
     "class_weights": class_weights,
@@ -151,32 +193,31 @@ QUERIES = {
     "cv_metrics": cv_metrics,
     "cv_best_config": cv_best_config,
     "adaboost_round": adaboost_round,
-    "study_random_forest": _study_of("random_forest"),
-    "study_extra_trees": _study_of("extra_trees"),
-    "study_weighted_gbt": _study_of("xgboost"),
-    "study_adaboost": _study_of("adaboost"),
-    "study_gbt": _study_of("gradient_boosting"),
+    **{f"study_{name}": _study_of(algo) for name, algo in NAMES.items()},
+    **{f"study_{name}_tested": _coverage_of(algo) for name, algo in NAMES.items()},
+    "study_best": study_best,
 }
 
 ORACLES = {
+    **{f"study_{name}_tested": _coverage_sql(algo) for name, algo in NAMES.items()},
     "class_distribution": "SELECT quality AS label, count(*) AS n FROM labels GROUP BY 1",
     "class_weights": """WITH c AS (
   SELECT count(*) FILTER (quality = 0) AS n0, count(*) FILTER (quality = 1) AS n1 FROM labels)
 SELECT 0 AS label, round((n0 + n1) / (2 * n0), 9) AS weight, 1.0::DOUBLE AS scale_pos_weight FROM c
 UNION ALL SELECT 1, round((n0 + n1) / (2 * n1), 9), round(n0 / n1, 9) FROM c""",
-    "stratified_folds": f"WITH {_FOLDS} SELECT doc_id, label, fold FROM folded",
-    "study_plan": f"""WITH {_FOLDS},
+    "stratified_folds": f"WITH {FOLDS_SQL} SELECT doc_id, label, fold FROM folded",
+    "study_plan": f"""WITH {FOLDS_SQL},
 grid AS (SELECT * FROM (VALUES {_GRID}) g(algo, n_estimators, max_depth, learning_rate)),
 c AS (SELECT count(*) AS n, count(*) FILTER (label = 0) / count(*) FILTER (label = 1) AS w FROM folded),
 tests AS (SELECT fold, count(*) AS n_test FROM folded GROUP BY 1)
 SELECT algo, n_estimators, max_depth, CAST(learning_rate AS DOUBLE) AS learning_rate, fold,
   n - n_test AS n_train, n_test, CASE WHEN algo = 'xgboost' THEN round(w, 9) END AS scale_pos_weight
 FROM grid, tests, c""",
-    "cv_metrics": f"""WITH {_FOLDS},
+    "cv_metrics": f"""WITH {FOLDS_SQL},
 counts AS (SELECT fold, {_CONFUSION} FROM (SELECT *, 1 - toxic AS p FROM folded) GROUP BY 1),
 m AS (SELECT {_METRICS.format("fold", "tp")} FROM counts)
 SELECT fold, {", ".join(f"round({x}, 9) AS {x}" for x in study.METRICS)} FROM m""",
-    "cv_best_config": f"""WITH {_FOLDS},
+    "cv_best_config": f"""WITH {FOLDS_SQL},
 guesses AS (
   SELECT algo, threshold, fold, label,
     CASE WHEN algo = 'longer' THEN (n_chars >= threshold)::INT ELSE (n_chars < threshold)::INT END AS p

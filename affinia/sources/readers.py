@@ -12,9 +12,14 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from affinia.session import store
+
+LONGEST = 10_000  # lines of a record
+FEW_BLOCKS = 100_000  # blocks of files that are copied to all tasks; more are joined
+
 # Fixed column layout of the conditions file: patient, code and description stand at 2, 4 and 5.
 CONDITION_COLUMNS = ("START", "STOP", "PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION")
 
@@ -166,8 +171,8 @@ def read_labels(
     """`(id, subset, label)` of a table with a two-line column header; empty fields are null.
 
     The two header lines name each column's group and name; a third one may name the id
-    only. Records may hold quoted line breaks, which makes a file one task. `multi_line=False`
-    reads large files in parallel and rejects lines that leave a quote open.
+    only. Records may hold quoted line breaks, see `quoted_records`; `multi_line=False`
+    spares the count of quotes and rejects lines that leave a quote open.
     """
     def positions(row: str) -> list[str]:
         return next(csv.reader([row]))
@@ -180,13 +185,12 @@ def read_labels(
     columns = [f"c{i}" for i in range(len(names))]
     schema = ", ".join(f"{c} string" for c in columns)
     if multi_line:
-        records = spark.read.csv(path, schema=schema, quote='"', escape='"', multiLine=True)
-        table = records.select(F.to_csv(F.struct(*columns)).alias("line"), *columns, F.lit(False).alias("open"))
+        records = quoted_records(spark, path)
     else:
         quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        row = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
-        table = spark.read.text(path).select(F.col("value").alias("line"), row.alias("row"), (quotes % 2 == 1).alias("open"))
-        table = table.select("line", "row.*", "open")
+        records = spark.read.text(path).select(F.col("value").alias("line"), (quotes % 2 == 1).alias("open"))
+    row = F.from_csv("line", schema, {"quote": '"', "escape": '"', "multiLine": "true"})
+    table = records.select("line", row.alias("row"), "open").select("line", "row.*", "open")
     fields = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
     alone = F.array(F.lit("track_id"), *[F.lit("")] * (len(columns) - 1))
     heads = [F.array(*map(F.lit, groups)), F.array(*map(F.lit, names)), alone]
@@ -200,6 +204,51 @@ def read_labels(
     return Rows(rows, data.filter(~good).select("line"))
 
 
+def quoted_records(spark: SparkSession, path: str, longest: int = LONGEST) -> DataFrame:
+    """`(line, open)`: the records of text files whose quoted fields may hold line breaks.
+
+    A line begins a record if the number of quotes before it in its file is even. Each block of a file is
+    counted by itself; sums over the blocks before it, of which there are few, then say where its records begin.
+    Lines that are a record of their own never leave their task, only the lines of longer ones are gathered. A record of
+    more than `longest` lines, as an unclosed quote makes of the rest of a file, comes line by line and as `open`.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+    )
+    lines = store(lines, "lines")  # keeps the places
+    before = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    # a line begins a record where the quotes before it in the block are as odd as those before the block
+    blocks = lines.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"), *[F.count_if(F.col("inside") == odd).alias(f"begin{odd}") for odd in (0, 1)]
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("odd") == 0, F.col("begin0")).otherwise(F.col("begin1"))
+    blocks = store(blocks.select("file", "block", "odd", F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("begun")), "blocks")
+    so_far = Window.partitionBy("file", "block").orderBy("place")
+    lines = lines.join(F.broadcast(blocks) if blocks.count() <= FEW_BLOCKS else blocks, ["file", "block"])
+    begins = F.col("inside") == F.col("odd")
+    lines = lines.withColumn("record", F.col("begun") + F.count_if(begins).over(so_far)).withColumn("begins", begins)
+    lines = lines.select("file", "place", "line", "quotes", "record", "begins")
+    alone = F.col("begins") & (F.col("quotes") % 2 == 0)
+    several = store(lines.filter(~alone), "broken_lines")
+    sizes = several.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"), (F.sum("quotes") % 2 == 1).alias("open"))
+    sized = several.join(sizes, ["file", "record"])
+    whole = (
+        sized.filter(F.col("n") <= longest)
+        .groupBy("file", "record")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("all"), F.first("open").alias("open"))
+        .select(F.array_join(F.transform("all", lambda x: x.line), "\n").alias("line"), "open")
+    )
+    too_long = sized.filter(F.col("n") > longest).select("line", F.lit(True).alias("open"))
+    return lines.filter(alone).select("line", F.lit(False).alias("open")).union(whole).union(too_long)
+
+
 ASSIGNMENTS = "id bigint, kind string, cluster string"
 
 

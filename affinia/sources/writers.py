@@ -156,8 +156,11 @@ def run_log_lines(report: DataFrame, clusters: DataFrame, retained_points: int)
     return chunks.unionByName(final).unionByName(listed)
 
 
-def write_run_log(report: DataFrame, clusters: DataFrame, retained: DataFrame, path: str) -> None:
-    write_lines(run_log_lines(report, clusters, retained.count()), path, ["part", "place", "name"], single=True)
+def write_run_log(
+    report: DataFrame, clusters: DataFrame, retained: DataFrame, path: str, single: bool = False
+) -> None:
+    """Chunk by chunk, then the final sets; a run of very many chunks is sorted and written by several tasks."""
+    write_lines(run_log_lines(report, clusters, retained.count()), path, ["part", "place", "name"], single)
 
 
 def write_profile_report(report: DataFrame, path: str, single: bool = False) -> None:

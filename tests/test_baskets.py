@@ -35,6 +35,11 @@ def test_itemsets_equal_brute_force_with_long_baskets_set_aside(spark, seed, min
     assert mined(spark, tx, min_support, heavy_basket=heavy) == brute_force(tx, min_support)
 
 
+def test_one_basket_with_every_item_and_hundreds_of_long_ones(spark):
+    tx = random_tx(7, n=60, items=14, long=150) + [("all", f"i{i}") for i in range(14)]
+    assert mined(spark, tx, 90, heavy_basket=5) == brute_force(tx, 90)
+
+
 def test_fpgrowth_agrees(spark):
     tx = spark.createDataFrame(random_tx(9), "basket string, item string").distinct()
     n = tx.select("basket").distinct().count()

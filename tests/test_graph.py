@@ -43,11 +43,11 @@ def random_edges(seed, n=60, m=150, hubs=2):
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-@pytest.mark.parametrize("seed,hub_paths,max_hubs", [(1, 10**9, 6), (2, 400, 6), (3, 400, 1), (4, 30, 6), (5, 0, 6)])
+@pytest.mark.parametrize("seed,hub_paths,max_hubs", [(1, 10**9, 6), (2, 400, 6), (3, 400, 1), (4, 30, 6), (5, 0, 6), (6, 3, 4096), (7, 0, 4096)])
 def test_hubs_give_the_same_candidates(spark, seed, hub_paths, max_hubs, broadcast_rows):
-    edges = random_edges(seed)
+    edges = random_edges(seed, hubs=2 if seed < 6 else 5, n=60 if seed < 6 else 110)
     df = spark.createDataFrame(edges, "src long, dst long")
-    got = mutual_neighbours(df, n=3, hub_paths=hub_paths, busy_paths=20, max_hubs=max_hubs, broadcast_rows=broadcast_rows)
+    got = mutual_neighbours(df, n=3, hub_paths=hub_paths, busy_paths=20, max_hubs=max_hubs, broadcast_rows=broadcast_rows, block_bytes=400)
     assert collected(got) == brute_force(edges, 3)
 
 

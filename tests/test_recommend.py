@@ -50,6 +50,24 @@ def test_distance_limit(spark):
     assert got == {p: s for p, s in jaccard(rows).items() if 1 - s < 0.7}
 
 
+@pytest.mark.parametrize("least,heavy", [(0.2, 10_000), (0.5, 2), (1.0, 10_000)])
+def test_bounded_similarity_has_all_pairs_above_the_bound(spark, least, heavy):
+    rows = random_ratings(6, users=40, items=30)
+    rows |= {(u, 100 + k): 1.0 for u in (3, 5, 8) for k in range(4)}  # items with equal users
+    rows |= {(u, 200 + k): 1.0 for u in range(k, k + 6) for k in range(6)}
+    got = similarities(sim.item_similarity_bounded(frame(spark, rows), least, heavy))
+    assert got == {p: s for p, s in jaccard(rows).items() if s >= least} and got
+
+
+def test_few_pairs_below_the_bound_are_formed(spark):
+    rng = random.Random(9)
+    rows = {(rng.randrange(300), i): 1.0 for i in range(200) for _ in range(rng.randrange(2, 30))}
+    rows |= {(0, i): 1.0 for i in range(200)}  # a user of everything
+    pairs = frame(spark, rows).select("user", "item")
+    formed = sim.candidates(pairs, 0.3).count()
+    assert formed < 0.05 * len(jaccard(rows))
+
+
 @pytest.mark.parametrize("heavy", [10_000, 1])
 def test_lsh_pairs_are_exact_pairs_and_recall_grows(spark, heavy):
     rows = random_ratings(3, users=60, items=25)

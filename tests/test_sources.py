@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -91,6 +93,34 @@ def test_labels_with_quoted_line_breaks_and_open_quotes(spark, place):
     assert sorted(r[0] for r in rejects.collect()) == [",x,y,z", '2,"a', 'b",small,Rock']
 
 
+@pytest.mark.parametrize("longest", [10_000, 2])
+def test_quoted_records_of_a_file_in_many_splits(spark, place, longest):
+    rng = random.Random(5)
+    records = [f'{i},"{"".join(rng.choice(["a", ",", chr(10), chr(34) * 2, "é"]) for _ in range(rng.randrange(9)))}",z' for i in range(300)]
+    path = place("quoted", "\n".join(records) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "301")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert spark.read.text(path).rdd.getNumPartitions() > 8
+        found = readers.quoted_records(spark, path, longest).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    want = [r for r in records if r.count("\n") < longest]
+    assert sorted(r.line for r in found if not r.open) == sorted(want)
+    broken = sorted(x for r in records if r.count("\n") >= longest for x in r.split("\n"))
+    assert sorted(r.line for r in found if r.open) == broken
+
+
+def test_an_unclosed_quote_ends_with_its_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,"x\n2,y\n')
+    (tmp_path / "b.csv").write_text('3,"p\nq"\n4,r\n')
+    found = {(r.line, r.open) for r in readers.quoted_records(spark, str(tmp_path)).collect()}
+    assert found == {('1,"x\n2,y', True), ('3,"p\nq"', False), ("4,r", False)}
+
+
 def test_labelled(spark, place):
     path = place("m", "p1,p2,Label\n0,1,1\n1,1,0\n1,oops,0\n1,,0\n")
     rows, rejects = readers.read_labelled(spark, path)
