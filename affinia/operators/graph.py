@@ -123,13 +123,13 @@ def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, bl
     state = store(reach.join(lists, "src").withColumns(none), "sources")
     schema, done = state.schema, []
     for block in range(len(ends)):
-        rows = targets.filter(F.col("block") == block).orderBy("place").select("dst", "total", "reached").toArrow()
-        ids, totals = rows["dst"].to_numpy(), rows["total"].to_numpy()
-        bits = rows["reached"].combine_chunks().flatten().to_numpy().reshape(len(ids), words)
+        rows = targets.filter(F.col("block") == block).orderBy("place").select("dst", "reached").toArrow()
+        ids = rows["dst"].to_numpy()
+        bits = rows["reached"].combine_chunks().flatten().to_numpy().reshape(len(ids), words).view(np.uint64)
 
         def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                reaches = batch.column("reach").flatten().to_numpy().reshape(len(batch), words)
+                reaches = batch.column("reach").flatten().to_numpy().reshape(len(batch), words).view(np.uint64)
                 out_scores, out_ids, open_ = [], [], []
                 for own, linked, scores, best in zip(reaches, batch.column("linked"), batch.column("scores"), batch.column("ids")):
                     found = np.bitwise_count(bits & own).sum(axis=1, dtype=np.int64)

@@ -180,7 +180,13 @@ def sink_run_log(spark, sf_dir):
     bfr.restore(members)
     clusters, retained = bfr.tables(0)
     writers.write_run_log(bfr.report(0), clusters, retained, path)
-    return _lines_in_order(spark, path)
+    # sums are whole numbers but for their last bits
+    pattern = r"^(  Cluster .*SUM\[:3\]=\[)(.*)(\], SUMSQ\[:3\]=\[)(.*)(\])$"
+    groups = [F.regexp_extract("line", pattern, i) for i in range(1, 6)]
+    whole = [F.concat_ws(" ", F.transform(F.split(g, " "), lambda x: F.round(x.try_cast("double")).cast("long").cast("string"))) for g in groups]
+    line = F.concat(groups[0], whole[1], groups[2], whole[3], groups[4])
+    lines = _lines_in_order(spark, path)
+    return lines.withColumn("line", F.when(F.col("line").rlike(pattern), line).otherwise(F.col("line")))
 
 
 def sink_study(spark, sf_dir):
@@ -274,8 +280,8 @@ ORACLES = {
     ),
     "sink_run_log": """WITH x AS (
   SELECT label, CASE WHEN label < 5 THEN 2 ELSE 3 END AS part, list_transform(embedding[1:3], lambda v: floor(v::DOUBLE * 100)) AS f FROM embeddings),
-s AS (SELECT part, label::VARCHAR AS name, count(*) AS n, [sum(f[1]), sum(f[2]), sum(f[3])] AS s,
-  [sum(f[1] * f[1]), sum(f[2] * f[2]), sum(f[3] * f[3])] AS q FROM x GROUP BY part, label),
+s AS (SELECT part, label::VARCHAR AS name, count(*) AS n, [sum(f[1]), sum(f[2]), sum(f[3])]::BIGINT[] AS s,
+  [sum(f[1] * f[1]), sum(f[2] * f[2]), sum(f[3] * f[3])]::BIGINT[] AS q FROM x GROUP BY part, label),
 c AS (SELECT count(*) FILTER (part = 2) AS ds, coalesce(sum(n) FILTER (part = 2), 0)::BIGINT AS dp, count(*) FILTER (part = 3) AS cs,
   coalesce(sum(n) FILTER (part = 3), 0)::BIGINT AS cp FROM s),
 fixed AS (SELECT unnest([
