@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from affinia.functions.vectors import centroid, mahalanobis, spread
 from affinia.operators import profile as prof
 from affinia.operators import summaries as summ
-from affinia.operators.bfr import Bfr, BfrSettings, final_report, run_chunks, set_sizes
+from affinia.operators.bfr import Bfr, BfrSettings, chunk_rows, final_report, merge_compressed, run_chunks, set_sizes
 from affinia.operators.ward import ward_clusters
 from affinia.streaming.bfr_stream import cluster_stream
 
@@ -246,3 +246,33 @@ def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1, float("nan"), [1.0]), (2, 1.0, [float("nan")]), (3, 1.0, [2.0])], "id long, x double, f array<double>")
     assert [r["id"] for r in prof.complete_rows(df).collect()] == [3]
     assert {r["column"]: r["n_non_null"] for r in prof.table_profile(df).collect()} == {"id": 3, "x": 2, "f": 3}
+
+
+def summary(kind, name, points):
+    mean = [sum(x) / len(points) for x in zip(*points)]
+    m2 = [sum((p[d] - mean[d]) ** 2 for p in points) for d in range(len(mean))]
+    return kind, name, len(points), [sum(x) for x in zip(*points)], m2
+
+
+def test_compressed_clusters_merge_while_they_stay_tight():
+    rng = random.Random(3)
+    around = lambda x, y, s, n=8: [(x + rng.gauss(0, s), y + rng.gauss(0, s)) for _ in range(n)]
+    rows = [summary("DS", "0", around(0, 0, 1.0, 40))]
+    rows += [summary("CS", f"CS_{i}", around(20 + 0.2 * i, 5, 0.1)) for i in range(3)]  # one place
+    rows += [summary("CS", f"CS_{3 + i}", around(-30 * (i + 1), 9 * i, 0.1)) for i in range(4)]  # far apart
+    assert merge_compressed(rows, BfrSettings()) == {"CS_1": "CS_0", "CS_2": "CS_0"}
+    few = merge_compressed(rows, BfrSettings(most=2))
+    assert len(few) == 5 and not set(few.values()) & set(few)  # names lead straight to those that are left
+    assert merge_compressed(rows[:1], BfrSettings()) == {} == merge_compressed([], BfrSettings())
+
+
+def test_many_compressed_clusters_stay_within_their_bound():
+    rng = random.Random(8)
+    rows = [summary("CS", f"CS_{i}", [(rng.uniform(0, 900), rng.uniform(0, 900))] * 2) for i in range(140)]
+    into = merge_compressed(rows, BfrSettings(most=50))
+    assert 140 - len(into) == 50
+    assert {r[1] for r in rows} >= set(into.values()) and not set(into) & set(into.values())
+
+
+def test_the_number_of_chunks_does_not_grow():
+    assert [chunk_rows(n) for n in (0, 10, 1000, 10_001)] == [250, 250, 250, 2501]

@@ -180,7 +180,7 @@ def test_stats_profile_and_log_reports(spark, place):
 
     bfr, version = run_chunks(df, 30, BfrSettings(k=3, over=2, rows_per_task=30))
     clusters, assigned, retained = bfr.finish(version)
-    writers.write_run_log(bfr.report(version), clusters, retained, place.out("log"))
+    writers.write_run_log(bfr.report(version), clusters, retained, place.out("log"), single=True)
     log = written(spark, place.out("log"))
     assert log[1] == "=== Initialization ===" and "--- Processing chunk 2 ---" in log and "=== FINAL REPORT ===" in log
     assert any(line.startswith("  Cluster 0: N=") for line in log)
