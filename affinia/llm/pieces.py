@@ -185,15 +185,16 @@ class Codec:
     Where no piece reaches across the words of a text (`_words_apart`) or from punctuation to
     letters (`_apart`), both read off the vocabulary, the ids of a text are those of its runs
     one after the other. Then the library gets each new run once. Two tables of about CACHE runs
-    are kept: when the younger one is full it takes the place of the older. Each run is verified
+    (CACHE_UNCHECKED without checks) are kept: when the younger one is full it takes the place of the older. Each run is verified
     when it is new: `odd` has those to which SentencePiece gives other ids, `lost` those that
     decoding does not give back. Models without that property encode whole texts.
     """
 
-    CACHE = 150_000
+    CACHE, CACHE_UNCHECKED = 150_000, 30_000
 
     def __init__(self, data: bytes, check: bool = True):
         self.check = check
+        self.cache = self.CACHE if check else self.CACHE_UNCHECKED  # a new run costs far less without its check
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         self.spec = parse(data)
         self.whole = rebuild(self.spec)
@@ -255,7 +256,7 @@ class Codec:
 
     def _looked_up(self, texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         """(ids, runs) of each text."""
-        if len(self._young) > self.CACHE:
+        if len(self._young) > self.cache:
             self._old, self._young = self._young, {}
         split = [self.runs(t) for t in texts]
         new = set().union(*split).difference(self._young)

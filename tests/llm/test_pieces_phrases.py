@@ -38,7 +38,7 @@ def test_codec_gives_the_ids_of_the_library():
 
 def test_the_word_table_begins_anew():
     codec = pieces.Codec(pieces.load())
-    codec.CACHE = 5
+    codec.cache = 5
     texts = random_texts(40)
     first = [codec.encode([t])[0] for t in texts]
     assert first == codec.reference(texts)
