@@ -2,11 +2,13 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from affinia.llm import language, quality
+from affinia.llm.samples import labelled_sample
 
 SYLLABLES = {"xx": "ba ro ti lu ne".split(), "yy": "schen gru pft oß ein".split(), "zz": "ção nha lhe ões um".split()}
 
@@ -95,3 +97,64 @@ def test_quality_without_both_labels(spark, labels):
     known = spark.createDataFrame(labels, "doc_id long, quality int, text int")
     assert [(r.score, r.predicted) for r in quality.quality_scores(docs, known).collect()] == [(0.5, 0)]
     assert quality.quality_scores(docs.limit(0), known).collect() == []
+
+
+def sampled(langs, n=80):
+    rng = random.Random(5)
+    return [(lang, prose(lang, rng, 40), i) for i in range(n) for lang in langs]
+
+
+def test_texts_in_no_learned_language_are_rejected():
+    model = language.fit(sampled(SYLLABLES))
+    foreign = [
+        "это предложение написано на языке, которого модель никогда не видела", "这是一个模型从未见过的语言写成的句子" * 3,
+        "xkcd qwrtp zxcvb mnbvq plkjh wrtzx qqkzv bdfgh jklmn", prose("xx", random.Random(6), 40)[::-1].replace("a", "w").replace("o", "k"),
+    ]
+    for text in foreign:
+        lang, score, rejected = model.predict(text)
+        assert lang in SYLLABLES and score < 0.05 and rejected
+    rng = random.Random(7)
+    for lang in SYLLABLES:
+        answers = [model.predict(prose(lang, rng, 40)) for _ in range(50)]
+        assert all(a[0] == lang and a[1] > 0.5 and not a[2] for a in answers)
+
+
+def test_a_left_out_language_is_rejected():
+    for left in SYLLABLES:
+        model = language.fit(sampled([lang for lang in SYLLABLES if lang != left]))
+        rng = random.Random(8)
+        assert all(model.predict(prose(left, rng, 40))[2] for _ in range(20))
+
+
+def test_score_equals_a_plain_loop():
+    model = language.fit(sampled(SYLLABLES, 30))
+    text = "baro schen, ção"
+    code = [0] + [ord(c) if c.isalpha() else 0 for c in text] + [0]
+    total, n = np.zeros(language.DIMENSIONS + 1), 0
+    for size in language.GRAMS:
+        for at in range(len(code) - size + 1):
+            run = code[at : at + size]
+            if not (all(run[1:-1]) if size > 2 else any(run)):
+                continue
+            h = size
+            for c, factor in zip(run, (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)):
+                h = ((h ^ c) * factor) & 0xFFFFFFFF
+                h ^= h >> 15
+            total += model.table[h >> 17]
+            n += 1
+    mean = total / n
+    z = [float(mean[:-1] @ model.weight[:, i] + model.bias[i]) / model.temperature for i in range(3)]
+    p = np.exp(z) / np.exp(z).sum()
+    best = int(p.argmax())
+    x = (mean[-1] - model.usual[best]) * n / (n + language.SHORT)
+    known = 1 / (1 + np.exp(-(model.familiar[0] * x + model.familiar[1])))
+    assert model.predict(text)[:2] == (model.languages[best], pytest.approx(p[best] * known))
+
+
+def test_every_language_is_learned_from(spark):
+    rows = [(i, f"w{i} text", f"l{i % 300}") for i in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("lang", "text")
+    got = labelled_sample(frame, "lang", 1000, 600)
+    counts = Counter(lang for lang, _, _ in got)
+    assert len(counts) == 300 and set(counts.values()) == {2}
+    assert sorted(labelled_sample(frame.repartition(7), "lang", 1000, 600)) == sorted(got)
