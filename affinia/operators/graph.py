@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.operators.bitmaps import bitmaps, n_common, numbered
-from affinia.operators.skew import heavy_keys, ranked, spread_join
+from affinia.operators.skew import heavy_keys, n_parts, n_slices, ranked, spread_join
 from affinia.session import store
 
 BROADCAST_ROWS = 2_000_000  # links of 16 bytes, 32 MB
+ROUND = 16  # slices of links that one job copies to all tasks
+PATHS = 2_000_000  # paths that a task counts and ranks
 HUB_LIMIT = 4096  # hubs have bits in blocks of 64, so a vertex has at most this many bits
 BLOCK_BYTES = 8 << 20  # vertices that one round of `_hub_best` compares all open sources with
 
@@ -34,18 +36,23 @@ def mutual_neighbours(
     already its neighbour. Edges `(src, dst)` are directed, so a friend's own list
     decides. Order: most mutual neighbours first, then the smaller id.
 
-    Two-step paths through ordinary vertices are joined and counted. Paths through
+    Two-step paths through ordinary vertices are counted where they arise: the first links are laid out by
+    source, and the second ones are copied to all tasks, `broadcast_rows` of them at a time. Paths through
     hubs (in-degree times out-degree above `hub_paths`) are never
     written out, since they grow with the square of the degree: each vertex keeps
     bitmaps of the hubs it reaches and is reached from, and a pair's mutual hubs
     are the common bits. Middles above `busy_paths` are joined in slices.
     """
     links = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "links")
-    hubs, busy = _large_middles(links, hub_paths, busy_paths, max_hubs)
-    small = links.count() <= broadcast_rows
-    by_path = _count_paths(links, hubs, busy, small)
+    hubs, busy, total = _large_middles(links, hub_paths, busy_paths, max_hubs)
+    rounds = _count_paths(links, hubs, busy, total, broadcast_rows)
     if not hubs:
-        return _best(by_path, n)
+        if len(rounds) > 1:  # each round keeps its best, so that few copies are held at a time
+            rounds = [store(_best(r, n).select("src", F.col("candidate").alias("dst"), "n_mutual"), "best") for r in rounds]
+        return _best(functools.reduce(DataFrame.union, rounds), n)
+    if len(rounds) > 1:
+        rounds = [store(r, "round") for r in rounds]
+    by_path = functools.reduce(DataFrame.union, rounds)
     into = numbered(links.select(F.col("src"), "dst"), "dst", hubs)
     out_of = numbered(links.select(F.col("dst"), "src"), "src", hubs)
     reach = store(bitmaps(into, "src", len(hubs)).withColumnRenamed("bits", "reach"), "reach")
@@ -71,25 +78,36 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
     degree = store(degree, "degrees")
     hubs = heavy_keys(degree, "v", hub_paths, max_hubs, F.col("paths"))
     large = heavy_keys(degree, "v", min(hub_paths, busy_paths), max_hubs + 1000, F.col("paths"))
-    return hubs, [v for v in large if v not in set(hubs)]
+    total = degree.agg(F.sum("paths")).first()[0] or 0
+    return hubs, [v for v in large if v not in set(hubs)], int(total)
 
 
-def _count_paths(links: DataFrame, hubs: list, busy: list, small: bool) -> DataFrame:
-    """`(src, dst, n_mutual)` for pairs that are not linked, from paths past the hubs.
+def _count_paths(links: DataFrame, hubs: list, busy: list, total: int, broadcast_rows: int) -> list[DataFrame]:
+    """`(src, dst, n_mutual)` for pairs that are not linked, from paths past the hubs, in disjoint rounds.
 
     Every vertex also counts as its own neighbour, without a score: a path that ends in
-    its middle tells that the pair is linked, which spares an anti-join. While the links are few enough to copy
-    them to all tasks, the paths are laid out by source and never leave their task; a
-    source has at most as many paths as there are links.
+    its middle tells that the pair is linked, which spares an anti-join. The first links are laid out by source, in
+    parts of about PATHS of the `total` paths; the second ones are cut by target into slices of `broadcast_rows`
+    links and copied to all tasks, ROUND slices a round, so that paths never leave their task. Without a
+    broadcast the links are joined, with busy middles in slices.
     """
     first = links.withColumnRenamed("dst", "mid")
     onward = links.filter(~F.col("src").isin(hubs)) if hubs else links
-    own = links.select(F.col("dst").alias("src"), "dst").distinct()
+    own = links.select("dst").distinct().select(F.col("dst").alias("src"), "dst")
     second = onward.unionByName(own).withColumnRenamed("src", "mid")
-    if small:
-        paths = first.repartition("src").join(F.broadcast(second), "mid")
-    else:
-        paths = spread_join(first, second, "mid", busy)
+    if not broadcast_rows:
+        return [_unlinked(spread_join(first, second, "mid", busy))]
+    slices = n_slices(links.count(), broadcast_rows)
+    first = first.repartition(n_parts(links.sparkSession, total // n_slices(slices, ROUND), PATHS), "src")
+    found = []
+    for k in range(slices):
+        some = second if slices == 1 else second.filter(F.pmod(F.xxhash64("dst"), F.lit(slices)) == k)
+        lists = some.groupBy("mid").agg(F.collect_list("dst").alias("_ends"))
+        found.append(_unlinked(first.join(F.broadcast(lists), "mid").select("src", "mid", F.explode("_ends").alias("dst"))))
+    return [functools.reduce(DataFrame.union, found[k : k + ROUND]) for k in range(0, slices, ROUND)]
+
+
+def _unlinked(paths: DataFrame) -> DataFrame:
     linked = F.col("mid") == F.col("dst")
     return (
         paths.filter(F.col("src") != F.col("dst"))
