@@ -11,7 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm.samples import SCALE
 from affinia.session import store
 
 # Public licence notices, by family.
@@ -74,8 +73,7 @@ TEMPLATES = {
 COMMON = "a all an and any are as at be by can for from in is it may not of on or that the this to under use with you".split()
 UNKNOWN = "unknown"
 
-SAMPLE_TEXTS = 1000  # documents whose lines are learned from as unknown, at most
-SAMPLE_CHARS = 1 << 15  # documents up to this length are sampled
+UNKNOWN_WEIGHT = 10  # of the unknown lines together, in weights of the templates' pieces together, at most
 LEAST_WORDS, CUT_WORDS = 3, (5, 8, 12)  # training pieces of a template
 FALSE_ALARMS = 0.999  # share of held-out unknown lines that stay below the threshold
 LEAST_PROBABILITY = 0.5
@@ -139,9 +137,13 @@ def candidates(numbered: DataFrame, known: list[str]) -> DataFrame:
 
 def featured(split: DataFrame, known: list[str]) -> DataFrame:
     """Adds the sparse vector of the vocabulary's runs that a line contains."""
-    model = CountVectorizerModel.from_vocabulary(known, "_grams", "features")
     both = F.concat(grams(F.col("words"), 2), grams(F.col("words"), 3))
-    return model.setBinary(True).transform(split.withColumn("_grams", both)).drop("_grams")
+    return vectors(split.withColumn("_grams", both), known).drop("_grams")
+
+
+def vectors(split: DataFrame, known: list[str]) -> DataFrame:
+    """Adds the sparse vector of the vocabulary's runs in `_grams`."""
+    return CountVectorizerModel.from_vocabulary(known, "_grams", "features").setBinary(True).transform(split)
 
 
 def training_pieces(spark: SparkSession) -> DataFrame:
@@ -155,34 +157,38 @@ def training_pieces(spark: SparkSession) -> DataFrame:
     return t.select("family", F.explode(F.concat(*cuts)).alias("words"))
 
 
-def train(docs: DataFrame, known: list[str]) -> tuple[LogisticRegressionModel, list[str], float]:
-    """(model, classes, threshold).
+def train(rows: DataFrame, known: list[str]) -> tuple[LogisticRegressionModel, list[str], float]:
+    """(model, classes, threshold), learned from all `candidates`.
 
-    The unknown class are the lines of a bounded sample of documents that share no run of
-    three words with a template, and an empty line. A fifth of them is held out: FALSE_ALARMS
-    of these stay below the threshold on the probability of a family.
+    The unknown class are the lines that share no run of three words with a template, each once, and an empty
+    line. Lines with the same runs of the vocabulary are one row with a weight. All of them weigh
+    UNKNOWN_WEIGHT times as much as the pieces of templates at most, so that families do not fade as the table grows. A
+    fifth is held out: FALSE_ALARMS of these stay below the threshold on the probability of a family.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     families = sorted(TEMPLATES)
-    fit = docs.filter(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    # A count sets the share of texts that are drawn by their hash, each once, before any sort.
-    share = min(1.0, 2 * SAMPLE_TEXTS / max(1, fit.count()))
-    draw = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(SCALE))
-    drawn = fit.select("text", draw.alias("draw")).filter(F.col("draw") <= int(share * SCALE)).distinct()
-    drawn = drawn.orderBy("draw", "text").limit(SAMPLE_TEXTS).select(F.lit(0).alias("doc_id"), "text")
     triples = F.array(*(F.lit(g) for g in known if g.count(" ") == 2))
-    unknown = candidates(lines(drawn), known).filter(~F.arrays_overlap(grams(F.col("words"), 3), triples))
-    unknown = unknown.select("words", F.pmod(F.xxhash64("words"), F.lit(5)).alias("fold")).distinct()
-    blank = spark.range(20).select(F.array().cast("array<string>").alias("words"), F.lit(1).cast("long").alias("fold"))
+    unknown = rows.select("words").filter(~F.arrays_overlap(grams(F.col("words"), 3), triples)).distinct()
+    vocab = F.array(*map(F.lit, known))
+    both = F.concat(grams(F.col("words"), 2), grams(F.col("words"), 3))
+    unknown = unknown.select(F.sort_array(F.array_intersect(both, vocab)).alias("_grams"), F.pmod(F.xxhash64("words"), F.lit(5)).alias("fold"))
+    unknown = unknown.groupBy("_grams", "fold").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    blank = spark.range(1).select(F.array().cast("array<string>").alias("_grams"), F.lit(1).cast("long").alias("fold"), F.lit(20.0).alias("weight"))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double")
-    pieces = training_pieces(spark).select("words", F.lit(1).cast("long").alias("fold"), label.alias("label"))
-    rows = pieces.union(unknown.union(blank).withColumn("label", F.lit(0.0)))
-    rows = store(featured(rows.coalesce(1), known), "licence_lines")
-    learner = LogisticRegression(maxIter=60, regParam=1e-3, elasticNetParam=0.3, standardization=False)
-    model = learner.fit(rows.filter("fold <> 0 OR label > 0").coalesce(1))
-    held = model.transform(rows.filter("fold = 0 AND label = 0"))
-    alarm = held.select((1 - vector_to_array("probability")[0]).alias("p"))
-    limit = alarm.select(F.percentile("p", F.lit(FALSE_ALARMS))).first()[0] or 0.0
+    pieces = training_pieces(spark).select(
+        F.concat(grams(F.col("words"), 2), grams(F.col("words"), 3)).alias("_grams"), F.lit(1).cast("long").alias("fold"), F.lit(1.0).alias("weight"), label.alias("label")
+    )
+    learned = vectors(pieces.unionByName(unknown.union(blank).withColumn("label", F.lit(0.0))), known)
+    learned = store(learned.drop("_grams"), "licence_lines")
+    weighed = learned.filter("fold <> 0 OR label > 0")
+    total = {r["of_unknown"]: r["weight"] for r in weighed.groupBy((F.col("label") == 0).alias("of_unknown")).agg(F.sum("weight").alias("weight")).collect()}
+    scale = min(1.0, UNKNOWN_WEIGHT * total[False] / total[True])
+    weighed = weighed.withColumn("weight", F.when(F.col("label") == 0, F.col("weight") * scale).otherwise(F.col("weight")))
+    learner = LogisticRegression(maxIter=60, regParam=1e-3, elasticNetParam=0.3, standardization=False, weightCol="weight")
+    model = learner.fit(weighed)
+    held = model.transform(learned.filter("fold = 0 AND label = 0"))
+    alarm = held.select((1 - vector_to_array("probability")[0]).alias("p"), F.col("weight").cast("long").alias("n"))
+    limit = alarm.select(F.percentile("p", F.lit(FALSE_ALARMS), F.col("n"))).first()[0] or 0.0
     return model, [UNKNOWN, *families], max(LEAST_PROBABILITY, float(limit))
 
 
@@ -197,8 +203,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     known = vocabulary(spark)
-    model, classes, threshold = train(docs.select("doc_id", "text"), known)
-    scored = model.transform(featured(candidates(lines(docs), known), known))
+    rows = store(candidates(lines(docs), known).select("doc_id", "line_no", "words"), "licence_candidates")
+    model, classes, threshold = train(rows, known)
+    scored = model.transform(featured(rows, known))
     p = vector_to_array("probability")
     found = scored.select("doc_id", "line_no", "words", F.slice(p, 2, len(classes)).alias("p"))
     found = found.withColumn("probability", F.array_max("p")).filter(F.col("probability") >= threshold)
