@@ -25,6 +25,7 @@ from affinia.llm.batches import bounded, lean
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # the metaspace
 BATCH = 64  # texts that are encoded at once
+ENCODE_CACHE = 30_000  # runs in each table of a task that only encodes, whose memory other stages have used before
 NEW_WORDS = 4096  # words that the library gets at once
 
 # Fixed numbers of the published model format: kinds of model and kinds of piece.
@@ -185,16 +186,15 @@ class Codec:
     Where no piece reaches across the words of a text (`_words_apart`) or from punctuation to
     letters (`_apart`), both read off the vocabulary, the ids of a text are those of its runs
     one after the other. Then the library gets each new run once. Two tables of about CACHE runs
-    (CACHE_UNCHECKED without checks) are kept: when the younger one is full it takes the place of the older. Each run is verified
+    are kept: when the younger one is full it takes the place of the older. Each run is verified
     when it is new: `odd` has those to which SentencePiece gives other ids, `lost` those that
     decoding does not give back. Models without that property encode whole texts.
     """
 
-    CACHE, CACHE_UNCHECKED = 150_000, 30_000
+    CACHE = 150_000
 
-    def __init__(self, data: bytes, check: bool = True):
-        self.check = check
-        self.cache = self.CACHE if check else self.CACHE_UNCHECKED  # a new run costs far less without its check
+    def __init__(self, data: bytes, cache: int | None = None):
+        self.cache = cache or self.CACHE
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         self.spec = parse(data)
         self.whole = rebuild(self.spec)
@@ -223,8 +223,6 @@ class Codec:
         shared = self._numbers
         ids = [[shared[i] for i in e.ids] for e in self.rest.encode_batch_fast(words, add_special_tokens=False)]
         self._young.update(zip(words, ids))
-        if not self.check:
-            return
         # SentencePiece puts a mark first: it stands for the run's own, or before a line break.
         asked = [w[1:] if w[0] == MARK else self._lead + w for w in words]
         before = len(self.original.encode(self._lead))
@@ -293,8 +291,8 @@ class Codec:
 
 
 @functools.lru_cache(2)
-def _codec(data: bytes, check: bool = True) -> Codec:
-    return Codec(data, check)
+def _codec(data: bytes, cache: int | None = None) -> Codec:
+    return Codec(data, cache)
 
 
 def load(path: str = MODEL) -> bytes:
@@ -335,20 +333,26 @@ def token_digest(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     return bounded(docs).select("doc_id", "text").mapInArrow(lean(run), schema)
 
 
+def encode_verified(codec: Codec, texts: list[str]) -> list[list[int]]:
+    """The ids of each text; those of SentencePiece where the rebuilt tokenizer gives others."""
+    checked = zip(texts, codec.verified(texts))
+    return [ids if same else codec.reference([text])[0] for text, (ids, _, same) in checked]
+
+
 def encode(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     """`docs` with its text as `ids` and `n_tokens` in place of `text`.
 
-    A null text has no ids. Clashing columns of the same names are replaced. The runs are not verified
-    here (`token_digest` does that), and a task keeps none of them when it ends.
+    A null text has no ids. Clashing columns of the same names are replaced. Each new run is verified as in
+    `token_digest`; a text to which SentencePiece gives other ids gets those. A task keeps no runs when it ends.
     """
     data = model or load()
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
     kept = bounded(docs).select(*others, "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(data, check=False)
+        codec = _codec(data, ENCODE_CACHE)
         for batch in batches:
-            ids = [x for texts in _batches(batch.column(batch.num_columns - 1)) for x in codec.encode(texts)]
+            ids = [x for texts in _batches(batch.column(batch.num_columns - 1)) for x in encode_verified(codec, texts)]
             column = pa.array(ids, pa.list_(pa.int32()))
             yield batch.set_column(batch.num_columns - 1, "ids", column)
         codec.forget()
