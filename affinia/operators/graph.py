@@ -17,8 +17,11 @@ from affinia.session import store
 BROADCAST_ROWS = 2_000_000  # links of 16 bytes, 32 MB
 ROUND = 16  # slices of links that one job copies to all tasks
 PATHS = 2_000_000  # paths that a task counts and ranks
+COPY_BYTES = 64 << 20  # bitmaps of a slice that are copied to all tasks
+ROUND_BYTES = 32 << 20  # vertices that one job of `_hub_best` compares all open sources with, at most
+PIECE_BYTES = 1 << 20  # vertices that a source is compared with at once
 HUB_LIMIT = 4096  # hubs have bits in blocks of 64, so a vertex has at most this many bits
-BLOCK_BYTES = 8 << 20  # vertices that one round of `_hub_best` compares all open sources with
+BLOCK_BYTES = 8 << 20  # vertices that the first round of `_hub_best` compares all sources with
 
 
 def mutual_neighbours(
@@ -45,25 +48,20 @@ def mutual_neighbours(
     """
     links = store(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct(), "links")
     hubs, busy, total = _large_middles(links, hub_paths, busy_paths, max_hubs)
-    rounds = _count_paths(links, hubs, busy, total, broadcast_rows)
-    if not hubs:
-        if len(rounds) > 1:  # each round keeps its best, so that few copies are held at a time
-            rounds = [store(_best(r, n).select("src", F.col("candidate").alias("dst"), "n_mutual"), "best") for r in rounds]
-        return _best(functools.reduce(DataFrame.union, rounds), n)
-    if len(rounds) > 1:
-        rounds = [store(r, "round") for r in rounds]
+    reach = reached = None
+    if hubs:
+        into = numbered(links.select(F.col("src"), "dst"), "dst", hubs)
+        out_of = numbered(links.select(F.col("dst"), "src"), "src", hubs)
+        reach = store(bitmaps(into, "src", len(hubs)).withColumnRenamed("bits", "reach"), "reach")
+        reached = store(bitmaps(out_of, "dst", len(hubs)).withColumnRenamed("bits", "reached"), "reached")
+    rounds = _count_paths(links, hubs, busy, total, broadcast_rows, reach, reached)
+    if hubs or len(rounds) > 1:  # each round keeps its best, so that few copies are held at a time
+        rounds = [store(_best(r, n).select("src", F.col("candidate").alias("dst"), "n_mutual"), "best") for r in rounds]
     by_path = functools.reduce(DataFrame.union, rounds)
-    into = numbered(links.select(F.col("src"), "dst"), "dst", hubs)
-    out_of = numbered(links.select(F.col("dst"), "src"), "src", hubs)
-    reach = store(bitmaps(into, "src", len(hubs)).withColumnRenamed("bits", "reach"), "reach")
-    reached = store(bitmaps(out_of, "dst", len(hubs)).withColumnRenamed("bits", "reached"), "reached")
-    by_path = store(
-        by_path.join(reach, "src", "left")
-        .join(reached, "dst", "left")
-        .select("src", "dst", (F.col("n_mutual") + F.coalesce(n_common("reach", "reached"), F.lit(0).cast("long"))).alias("n_mutual")),
-        "paths",
-    )
-    # A vertex that no path reaches is among the best only if it is among the best by hubs alone.
+    if not hubs:
+        return _best(by_path, n)
+    # A vertex that no path reaches is among the best only if it is among the best by hubs alone. One that paths
+    # reach too, but that is not kept above, has n better ones there.
     by_hub = _hub_best(links, reach, reached, n, block_bytes).join(by_path, ["src", "dst"], "left_anti")
     return _best(by_path.unionByName(by_hub), n)
 
@@ -82,8 +80,12 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
     return hubs, [v for v in large if v not in set(hubs)], int(total)
 
 
-def _count_paths(links: DataFrame, hubs: list, busy: list, total: int, broadcast_rows: int) -> list[DataFrame]:
-    """`(src, dst, n_mutual)` for pairs that are not linked, from paths past the hubs, in disjoint rounds.
+def _count_paths(
+    links: DataFrame, hubs: list, busy: list, total: int, broadcast_rows: int, reach: DataFrame | None, reached: DataFrame | None
+) -> list[DataFrame]:
+    """`(src, dst, n_mutual)` for pairs that are not linked but on paths past the hubs, in disjoint rounds.
+
+    The mutual hubs of these pairs are counted as well, by their bitmaps.
 
     Every vertex also counts as its own neighbour, without a score: a path that ends in
     its middle tells that the pair is linked, which spares an anti-join. The first links are laid out by source, in
@@ -96,17 +98,33 @@ def _count_paths(links: DataFrame, hubs: list, busy: list, total: int, broadcast
     own = links.select("dst").distinct().select(F.col("dst").alias("src"), "dst")
     second = onward.unionByName(own).withColumnRenamed("src", "mid")
     if not broadcast_rows:
-        return [_unlinked(spread_join(first, second, "mid", busy))]
+        return [_with_hubs(_unlinked(spread_join(first, second, "mid", busy)), reach, reached)]
     slices = n_slices(links.count(), broadcast_rows)
-    first = first.repartition(n_parts(links.sparkSession, total // n_slices(slices, ROUND), PATHS), "src")
+    n = n_parts(links.sparkSession, total // n_slices(slices, ROUND), PATHS)
+    first = first.repartition(n, "src")
+    if hubs:
+        reach = reach.repartition(n, "src")
+        copied = reached.count() * 8 * n_slices(len(hubs), 64) <= slices * COPY_BYTES
     found = []
     for k in range(slices):
         some = second if slices == 1 else second.filter(F.pmod(F.xxhash64("dst"), F.lit(slices)) == k)
         lists = some.groupBy("mid").agg(F.collect_list("dst").alias("_ends"))
-        found.append(_unlinked(first.join(F.broadcast(lists), "mid").select("src", "mid", F.explode("_ends").alias("dst"))))
+        pairs = _unlinked(first.join(F.broadcast(lists), "mid").select("src", "mid", F.explode("_ends").alias("dst")))
+        if hubs:
+            bits = reached.filter(F.pmod(F.xxhash64("dst"), F.lit(slices)) == k)
+            pairs = _with_hubs(pairs, reach, F.broadcast(bits) if copied else bits)
+        found.append(pairs)
     return [functools.reduce(DataFrame.union, found[k : k + ROUND]) for k in range(0, slices, ROUND)]
 
 
+def _with_hubs(pairs: DataFrame, reach: DataFrame | None, reached: DataFrame | None) -> DataFrame:
+    if reach is None:
+        return pairs
+    mutual = F.coalesce(n_common("reach", "reached"), F.lit(0).cast("long"))
+    both = pairs.join(reach, "src", "left").join(reached, "dst", "left")
+    return both.select("src", "dst", (F.col("n_mutual") + mutual).alias("n_mutual"))
+
+
 def _unlinked(paths: DataFrame) -> DataFrame:
     linked = F.col("mid") == F.col("dst")
     return (
@@ -124,7 +142,8 @@ def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, bl
     A threshold algorithm. Targets are ranked by the number of hubs that lead to them, then by id, and cut into
     blocks of bounded size. A source is compared with block after block until no later block can
     change its list: a later target shares at most as many hubs as lead to it, and among equals the smaller
-    id wins. Sources that are done leave the table.
+    id wins. Sources that are done leave the table. Each round takes twice as many blocks, up to ROUND_BYTES, so that
+    small blocks do not make many jobs.
     """
     total = F.aggregate("reached", F.lit(0), lambda n, w: n + F.bit_count(w)).cast("int")
     counted = reached.select("dst", "reached", total.alias("total"), (-total).alias("order"))
@@ -140,29 +159,39 @@ def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, bl
     none = {"scores": F.array().cast("array<int>"), "ids": F.array().cast("array<long>"), "open": F.lit(True)}
     state = store(reach.join(lists, "src").withColumns(none), "sources")
     schema, done = state.schema, []
-    for block in range(len(ends)):
-        rows = targets.filter(F.col("block") == block).orderBy("place").select("dst", "reached").toArrow()
+    start, step, piece = 0, 1, max(1, PIECE_BYTES // max(1, block_bytes))
+    while start < len(ends):
+        stop = min(len(ends), start + step)
+        rows = targets.filter(F.col("block").between(start, stop - 1)).orderBy("place").select("dst", "reached").toArrow()
         ids = rows["dst"].to_numpy()
         bits = rows["reached"].combine_chunks().flatten().to_numpy().reshape(len(ids), words).view(np.uint64)
+        # (first row, row after the last, block after the last) of what is compared at once
+        pieces = [((at - start) * size, (end - start) * size, end) for at in range(start, stop, piece) for end in [min(stop, at + piece)]]
 
         def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 reaches = batch.column("reach").flatten().to_numpy().reshape(len(batch), words).view(np.uint64)
                 out_scores, out_ids, open_ = [], [], []
                 for own, linked, scores, best in zip(reaches, batch.column("linked"), batch.column("scores"), batch.column("ids")):
-                    found = np.bitwise_count(bits & own).sum(axis=1, dtype=np.int64)
-                    at = np.flatnonzero(found > 0)
-                    skip = linked.values.to_numpy()
-                    place = np.minimum(np.searchsorted(skip, ids[at]), len(skip) - 1)
-                    at = at[skip[place] != ids[at]]
-                    scores = np.r_[scores.values.to_numpy(), found[at]]
-                    best = np.r_[best.values.to_numpy(), ids[at]]
-                    order = np.lexsort((best, -scores))[:n]
-                    scores, best = scores[order], best[order]
-                    bound = np.minimum(np.bitwise_count(own).sum(), most[block + 1 :])
-                    open_.append(bool(len(bound)) and bool(
-                        len(best) < n or ((bound > scores[-1]) | ((bound == scores[-1]) & (least[block + 1 :] < best[-1]))).any()
-                    ))
+                    skip, used, n_own = linked.values.to_numpy(), np.flatnonzero(own), np.bitwise_count(own).sum()
+                    scores, best = scores.values.to_numpy(), best.values.to_numpy()
+                    for first, last, after in pieces:
+                        # words without a hub of the source have no common bits
+                        found = np.bitwise_count(bits[first:last, used] & own[used]).sum(axis=1, dtype=np.int64)
+                        at = np.flatnonzero(found > 0)
+                        near = ids[first:last][at]
+                        place = np.minimum(np.searchsorted(skip, near), len(skip) - 1)
+                        fresh = skip[place] != near
+                        scores, best = np.r_[scores, found[at][fresh]], np.r_[best, near[fresh]]
+                        order = np.lexsort((best, -scores))[:n]
+                        scores, best = scores[order], best[order]
+                        bound = np.minimum(n_own, most[after:])
+                        more = bool(len(bound)) and bool(
+                            len(best) < n or ((bound > scores[-1]) | ((bound == scores[-1]) & (least[after:] < best[-1]))).any()
+                        )
+                        if not more:
+                            break
+                    open_.append(more)
                     out_scores.append(scores.astype(np.int32))
                     out_ids.append(best)
                 for name, values, kind in (
@@ -176,6 +205,7 @@ def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, bl
         state = state.filter("open")
         if state.isEmpty():
             break
+        start, step = stop, max(1, min(2 * step, ROUND_BYTES // max(1, block_bytes)))
     best = functools.reduce(DataFrame.union, done)
     pairs = best.select("src", F.explode(F.arrays_zip("ids", "scores")).alias("p"))
     return pairs.select("src", F.col("p.ids").alias("dst"), F.col("p.scores").cast("long").alias("n_mutual"))

@@ -23,3 +23,15 @@ def test_paths_are_not_shuffled(spark):
     text = plan(graph.mutual_neighbours(edges, n=3, broadcast_rows=150))
     parts = re.findall(r"hashpartitioning\((.*?), \d+\)", text)
     assert parts and not any("src" in p and "dst" in p for p in parts)
+
+
+def test_small_blocks_do_not_make_many_rounds(spark, monkeypatch):
+    stored, store = [], graph.store
+    monkeypatch.setattr(graph, "store", lambda df, name: stored.append(name) or store(df, name))
+    # every source is reached by the first hub only and every target leads on from it, so lists stay open to the end
+    n = 100
+    edges = [(v, 1000) for v in range(n)] + [(1000, 5000 - v) for v in range(n)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = graph.mutual_neighbours(df, n=200, hub_paths=100, block_bytes=20)
+    assert collected(got) == brute_force(edges, 200)
+    assert 2 < stored.count("sources") < 12
