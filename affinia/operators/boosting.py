@@ -1,10 +1,11 @@
 """Boosted trees for many models at once: level-wise histograms, running scores, every prefix kept.
 
 All folds and settings of a study advance together. The rows are binned once, and rows that share
-bins, label and fold become one with a weight. A level of the current tree of every model is
+bins, label and fold become one with a weight. A model gives one score to all rows of the same bins (a kind),
+so it is fitted on kinds, each with its training weight by class. A level of the current tree of every model is
 one job: tasks add up histograms of (weight, gradient, Hessian) for each open node, feature and bin,
 whose size depends on the trees and not on the rows, and the best split of each node is read off the
-sums. A row's scores are an array, one running sum a
+sums. A kind's scores are an array, one running sum a
 model, so a fit of 300 rounds also gives the predictions of 100 and 200.
 """
 
@@ -30,7 +31,7 @@ CHECKPOINT_EVERY = 5  # of these, after which they are written to the shared fol
 ONE_BLOCK = 4_000_000  # bins (bytes) of a table that every task may hold
 MOST_SUMS = 4_000_000  # numbers that one job adds up; a level with more open nodes takes several
 WORK = 4_000_000  # (row, model, feature) triples a task adds up, roughly
-SLICE = 2_000_000  # the same, held in memory at once
+SLICE = 500_000  # (row, model) pairs held in memory at once
 DIGITS = 9  # gains are compared to this many decimals, so that the order of a sum decides nothing
 
 
@@ -86,9 +87,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Objective:
-    """What a round fits. Statistics of a row are (n, g, h), sums of them decide splits and leaf values."""
+    """What a round fits. Statistics of a kind are (n, g, h), sums of them decide splits and leaf values."""
 
-    stats: Callable  # (label, scores, weight, positive weight) -> n, g, h
+    stats: Callable  # (weight of class 0, of class 1, scores, positive weight) -> n, g, h
     gain: Callable  # (n, g, h of the left side, n, g, h of the node) -> gain, -inf where not allowed
     value: Callable  # (n, g, h) -> leaf value
     multiplier: str = "rate"  # or "vote": the leaf is a class and the tree's say follows from its error
@@ -97,11 +98,11 @@ class Objective:
 LAMBDA, GAMMA, LEAST_HESSIAN = 1.0, 0.0, 1.0
 
 
-def _logistic(label, scores, weight, positive):
-    """Gradient and Hessian of the log loss; the weight of a row counts in both."""
-    w = weight * np.where(label == 1, positive, 1.0)
+def _logistic(n0, n1, scores, positive):
+    """Gradient and Hessian of the log loss; the weights of both classes count in both."""
+    w1 = n1 * positive
     p = _sigmoid(scores)
-    return np.broadcast_to(weight, p.shape), w * (p - label), w * p * (1 - p)
+    return n0 + n1, n0 * p + w1 * (p - 1), (n0 + w1) * p * (1 - p)
 
 
 def _second_order_gain(nl, gl, hl, n, g, h):
@@ -118,10 +119,10 @@ def _variance_gain(nl, gl, hl, n, g, h):
     return np.where((nl > 0) & (nr > 0), gain, -np.inf)
 
 
-def _vote_stats(label, scores, weight, positive):
+def _vote_stats(n0, n1, scores, positive):
     """Weights of discrete AdaBoost: missed rows have grown by e^alpha, up to a common factor."""
-    w = weight * np.exp(-0.5 * np.where(label == 1, 1.0, -1.0) * scores)
-    return w, w * label, np.zeros_like(w)
+    w0, w1 = n0 * np.exp(0.5 * scores), n1 * np.exp(-0.5 * scores)
+    return w0 + w1, w1, np.zeros_like(w1)
 
 
 def _gini_gain(nl, gl, hl, n, g, h):
@@ -171,17 +172,21 @@ class Trees:
                 out.feature[m, i], out.cut[m, i], out.child[m, i], out.value[m, i] = f, cut, child, value
         return out
 
+    def step(self, bins: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The next node of each row and model; leaves stay."""
+        rows, models = np.arange(len(bins))[:, None], np.arange(len(self.feature))[None, :]
+        feature = self.feature[models, at]
+        right = bins[rows, np.maximum(feature, 0)] > self.cut[models, at]
+        return np.where(feature >= 0, self.child[models, at] + right, at)
+
     def leaves(self, bins: np.ndarray) -> np.ndarray:
         """The node that each row ends in, by row and model."""
-        rows, models = np.arange(len(bins))[:, None], np.arange(len(self.feature))[None, :]
         at = np.zeros((len(bins), len(self.feature)), np.int32)
         while True:
-            feature = self.feature[models, at]
-            inner = feature >= 0
-            if not inner.any():
+            below = self.step(bins, at)
+            if np.array_equal(below, at):
                 return at
-            right = bins[rows, np.maximum(feature, 0)] > self.cut[models, at]
-            at = np.where(inner, self.child[models, at] + right, at)
+            at = below
 
     def values(self, bins: np.ndarray) -> np.ndarray:
         return self.value[np.arange(len(self.feature))[None, :], self.leaves(bins)]
@@ -189,16 +194,43 @@ class Trees:
 
 @dataclass
 class Block:
-    """Some rows of a task: arrays of bins (a row each), label, fold, weight and scores (a column a model)."""
+    """Some rows of a task: arrays of bins (a row each), label, fold and weight, and their kinds.
+
+    A kind is what rows of the same bins have in common: `kinds` has their bins, `of` the kind of each row, and
+    `scores` has a row for each kind.
+    """
 
     bins: np.ndarray
     label: np.ndarray
     fold: np.ndarray
     weight: np.ndarray
+    kinds: np.ndarray
+    of: np.ndarray
     scores: np.ndarray
 
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        return self.bins, self.label, self.fold, self.weight, self.scores
+    def counts(self, folds: Sequence[int]) -> np.ndarray:
+        """The weight of each kind by fold and class; rows of other folds are left out."""
+        folds = np.asarray(folds)
+        own = np.minimum(np.searchsorted(folds, self.fold[:, 0]), len(folds) - 1)
+        here = folds[own] == self.fold[:, 0]
+        place = (self.of * len(folds) + own) * 2 + self.label[:, 0]
+        sums = np.bincount(place[here], self.weight[here, 0], minlength=len(self.kinds) * len(folds) * 2)
+        return sums.reshape(len(self.kinds), len(folds), 2)
+
+    def weights(self, folds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By kind and model, the weight by class of the rows outside the model's fold."""
+        every, at = np.unique(folds, return_inverse=True)
+        both = np.bincount(self.of * 2 + self.label[:, 0], self.weight[:, 0], minlength=2 * len(self.kinds)).reshape(-1, 1, 2)
+        train = (both - self.counts(every))[:, at]
+        return train[..., 0], train[..., 1]
+
+
+def _block(packed: Sequence[bytes], label, fold, weight, starts: np.ndarray) -> Block:
+    bins = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    names, of = np.unique(np.array([bytes(p) for p in packed], object), return_inverse=True)
+    kinds = np.frombuffer(b"".join(names), np.uint8).reshape(len(names), -1)
+    label, fold, weight = (np.asarray(x, np.int64)[:, None] for x in (label, fold, weight))
+    return Block(bins, label, fold, weight.astype(float), kinds, of, np.tile(starts, (len(names), *[1] * starts.ndim)))
 
 
 def _blocks(starts: np.ndarray, size: int):
@@ -207,29 +239,37 @@ def _blocks(starts: np.ndarray, size: int):
     def run(rows: Iterable) -> Iterator[Block]:
         rows = iter(rows)
         while part := list(itertools.islice(rows, size)):
-            bins = np.frombuffer(b"".join(bytes(r[0]) for r in part), np.uint8).reshape(len(part), -1)
-            label, fold, weight = (np.array([r[i] for r in part])[:, None] for i in (1, 2, 3))
-            yield Block(bins, label, fold, weight.astype(float), np.tile(starts, (len(part), 1)))
+            yield _block([bytes(r[0]) for r in part], *([r[i] for r in part] for i in (1, 2, 3)), starts)
 
     return run
 
 
-def rows_in_blocks(rows: DataFrame, starts: np.ndarray, models: int, features: int) -> RDD:
-    """The rows (bins, label, fold, weight) as kept blocks of arrays, each with `starts` as scores.
+def rows_in_blocks(rows: DataFrame, starts: np.ndarray, models: int, features: int, at_once: int | None = None) -> RDD:
+    """The rows (bins, label, fold, weight) as kept blocks of arrays, each with `starts` as scores of its kinds.
 
-    The number of tasks follows from the work for each row and from the memory that rows take.
+    The number of tasks follows from the work for each row and from the memory that rows take. Rows of the same bins
+    come one after the other, so that a block has few kinds. `at_once` is how many numbers a row takes in memory, if not
+    one for each model.
     """
     spark, n, work = rows.sparkSession, rows.count(), max(1, models * features)
-    parallel = spark.sparkContext.defaultParallelism + n * (features + 8 * len(starts)) // (64 << 20)
+    parallel = spark.sparkContext.defaultParallelism + n * (features + 8 * starts.size) // (64 << 20)
     parts = max(1, min(-(-n * work // WORK), parallel))
-    laid_out = store(rows.select("bins", "label", "fold", "weight").repartition(parts), "blocks").coalesce(parts)
-    return laid_out.rdd.mapPartitions(_blocks(starts, max(1, SLICE // work))).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = rows.select("bins", "label", "fold", "weight").repartition(parts, "bins").sortWithinPartitions("bins", "label", "fold")
+    laid_out = store(dealt, "blocks").coalesce(parts)
+    return laid_out.rdd.mapPartitions(_blocks(starts, max(1, SLICE // max(1, at_once or models)))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fits_one_block(rows: DataFrame, features: int, one_block: int) -> bool:
+    """Whether a task may hold the whole table: its kinds have up to `one_block` bins, and its rows are few as well."""
+    if rows.count() * 4 > one_block:
+        return False
+    return rows.select("bins").distinct().count() * features <= one_block
 
 
 def whole_block(rows: DataFrame, scores: int = 0) -> Block:
     """A table of checked size on the driver."""
-    found = rows.select("bins", "label", "fold", "weight").collect()
-    return next(_blocks(np.zeros(scores), len(found))(found))
+    found = rows.select("bins", "label", "fold", "weight").toArrow()
+    return _block(found["bins"].to_pylist(), *(found[c].to_numpy() for c in ("label", "fold", "weight")), np.zeros(scores))
 
 
 @dataclass
@@ -259,6 +299,7 @@ class Booster:
         self.pending: list[Trees] = []
         self.blocks: RDD | None = None
         self.block: Block | None = None  # instead of `blocks` where one block is the whole table
+        self.weights = self.stats = self.at = None  # of that block: training weights, statistics in this round, nodes
         self.advances = 0
 
     # the scores
@@ -276,11 +317,12 @@ class Booster:
             pending, before = list(self.pending), self.blocks
 
             def add(block: Block) -> Block:
-                return replace(block, scores=block.scores + sum(t.values(block.bins) for t in pending))
+                return replace(block, scores=block.scores + sum(t.values(block.kinds) for t in pending))
 
             self.pending = []
-            if self.block is not None:
-                self.block = add(self.block)
+            if self.block is not None:  # whose kinds stand in the leaves of the one tree
+                every = np.arange(len(self.models))[None, :]
+                self.block.scores = self.block.scores + pending[0].value[every, pending[0].step(self.block.kinds, self.at)]
                 return
             self.blocks = before.map(add).persist(StorageLevel.MEMORY_AND_DISK)
             self.advances += 1
@@ -295,10 +337,17 @@ class Booster:
             return next(part([self.block]))
         return self.blocks.mapPartitions(part).treeReduce(np.add)
 
+    def hold(self, block: Block) -> Booster:
+        """Takes the whole table as one block, not shared with other boosters, which holds the starts of every model."""
+        starts = np.array([m.start for m in self.models], float)
+        self.block, self.store_every = replace(block, scores=np.tile(starts, (len(block.kinds), 1))), 1
+        self.weights = self.block.weights(np.array([m.fold for m in self.models]))
+        return self
+
     def scores(self) -> dict[tuple[bytes, int, int], np.ndarray]:
         """The scores of all rows on the driver, for small tables."""
         self.advance()
-        keyed = self.blocks.flatMap(lambda b: [((b.bins[i].tobytes(), int(b.label[i, 0]), int(b.fold[i, 0])), b.scores[i]) for i in range(len(b.bins))])
+        keyed = self.blocks.flatMap(lambda b: [((b.bins[i].tobytes(), int(b.label[i, 0]), int(b.fold[i, 0])), b.scores[b.of[i]]) for i in range(len(b.bins))])
         return dict(keyed.collect())
 
     def end(self) -> None:
@@ -311,25 +360,32 @@ class Booster:
         objective, features = OBJECTIVES[self.objective], len(self.cuts)
         pending, count = list(self.pending), len(open_)
         offsets = np.cumsum([0, *(len(c) + 1 for c in self.cuts)])
-        width, folds = int(offsets[-1]), np.array([m.fold for m in self.models])[None, :]
+        width, folds = int(offsets[-1]), np.array([m.fold for m in self.models])
         positive = np.array([m.positive for m in self.models])[None, :]
-        slots = np.full(tree.feature.shape, -1, np.int32)
+        slots = np.full(tree.feature.shape, -1, np.int64)
         slots[tuple(np.array(open_).T)] = np.arange(count)
         every = np.arange(len(self.models))[None, :]
+        held = (self.stats, self.at) if self.block is not None else None
 
         def histograms(blocks: Iterable[Block]) -> Iterator[np.ndarray]:
             """Sums of n, g and h for each open node, feature and bin."""
-            sums = np.zeros((3, count * width))
+            sums = np.zeros((3, count, width))
             for b in blocks:
-                scores = b.scores + sum(t.values(b.bins) for t in pending)
-                slot = slots[every, tree.leaves(b.bins)]
-                row, model = np.nonzero((slot >= 0) & (b.fold != folds))
-                place = (slot[row, model][:, None] * width + offsets[:-1] + b.bins[row]).ravel()
-                for total, stat in zip(sums, objective.stats(b.label, scores, b.weight, positive)):
-                    total += np.bincount(place, np.repeat(stat[row, model], features), minlength=count * width)
+                if held:
+                    stats, at = held
+                else:
+                    scores = b.scores + sum(t.values(b.kinds) for t in pending)
+                    stats, at = objective.stats(*b.weights(folds), scores, positive), tree.leaves(b.kinds)
+                slot = slots[every, at]
+                row, model = np.nonzero((slot >= 0) & (stats[0] > 0))
+                slot, stats = slot[row, model], [stat[row, model] for stat in stats]
+                for f, (low, high) in enumerate(zip(offsets, offsets[1:])):
+                    place = slot * (high - low) + b.kinds[row, f]
+                    for total, stat in zip(sums, stats):
+                        total[:, low:high] += np.bincount(place, stat, minlength=count * (high - low)).reshape(count, -1)
             yield sums
 
-        sums = self._summed(histograms).reshape(3, count, width)
+        sums = self._summed(histograms)
         totals = sums[:, :, : offsets[1]].sum(axis=2)
         rows = np.arange(count)
         gains, which, left = np.full(count, -np.inf), np.zeros((2, count), int), np.zeros((3, count))
@@ -356,11 +412,17 @@ class Booster:
         open_: list[list[int]] = [[0] if self.live[m] else [] for m in range(width)]
         for m in range(width):
             nodes[m].append((-1, 0, 0, 0.0))
+        if self.block is not None:
+            positive = np.array([m.positive for m in self.models])[None, :]
+            self.stats = objective.stats(*self.weights, self.block.scores, positive)
+            self.at = np.zeros(self.block.scores.shape, np.int32)
         for depth in range(max(m.depth for m in self.models)):
             asked = [(m, node) for m, o in enumerate(open_) if self.models[m].depth > depth for node in o]
             if not asked:
                 break
             tree, found = Trees.of(nodes), []
+            if self.block is not None:
+                self.at = tree.step(self.block.kinds, self.at)
             step = max(1, MOST_SUMS // (3 * sum(len(c) + 1 for c in self.cuts)))
             for at in range(0, len(asked), step):
                 found += self._best_splits(tree, asked[at : at + step])
@@ -407,14 +469,15 @@ class Booster:
     def confusion(self) -> list[tuple[int, int, int, int]]:
         """(tp, fp, fn, tn) of each model on its own fold, after the rounds so far."""
         self.advance()
-        folds = np.array([m.fold for m in self.models])[None, :]
+        folds = np.array([m.fold for m in self.models])
 
         def count(blocks: Iterable[Block]) -> Iterator[np.ndarray]:
             sums = np.zeros((4, folds.size))
             for b in blocks:
-                weight, yes, guess = np.where(b.fold == folds, b.weight, 0), b.label == 1, b.scores > 0
-                cases = (yes & guess, ~yes & guess, yes & ~guess, ~yes & ~guess)
-                sums += [(weight * case).sum(axis=0) for case in cases]
+                names, at = np.unique(folds, return_inverse=True)
+                own, guess = b.counts(names)[:, at], b.scores > 0
+                cases = (own[..., 1] * guess, own[..., 0] * guess, own[..., 1] * ~guess, own[..., 0] * ~guess)
+                sums += [case.sum(axis=0) for case in cases]
             yield sums
 
         return [tuple(int(x) for x in column) for column in self._summed(count).T]
@@ -453,7 +516,7 @@ def boosted_counts(
     """(config, rounds, fold, confusion counts) of every configuration, length and fold from one run.
 
     `df` is (label 0/1, features vector, fold). `configs` are (rate, depth) settings; every fold
-    of each is a model. With up to `one_block` bins (rows times features) the models are fitted side by side, each over
+    of each is a model. With up to `one_block` bins (kinds times features) the models are fitted side by side, each over
     the whole table, else together over the dealt rows, with the same result.
     """
     cuts = cut_points(df, bins)
@@ -463,7 +526,7 @@ def boosted_counts(
     models = fold_models(rows, objective, configs)
     if not models:
         return
-    found = _side_by_side if rows.count() * len(cuts) <= one_block else _together
+    found = _side_by_side if fits_one_block(rows, len(cuts), one_block) else _together
     every = [m for m, _ in models]
     for m, turn, counts in found(objective, every, cuts, rows, lengths):
         yield models[m][1], turn, every[m].fold, counts
@@ -482,16 +545,11 @@ def _side_by_side(objective: str, models: list[Model], cuts, rows: DataFrame, le
     """The same for a table of one block, of checked size: it is copied to the tasks and the models are dealt over them."""
     context = rows.sparkSession.sparkContext
     copied = context.broadcast(whole_block(rows))
-    groups = min(len(models), 4 * context.defaultParallelism)
-    dealt = [list(range(g, len(models), groups)) for g in range(groups)]
 
-    def fit(members: list[int]) -> list[tuple]:
-        own = [models[m] for m in members]
-        booster = Booster(objective, own, cuts)
-        starts = np.array([m.start for m in own])
-        booster.block = replace(copied.value, scores=np.tile(starts, (len(copied.value.bins), 1)))
-        return [(m, turn, found) for turn, counts in booster.staged(lengths) for m, found in zip(members, counts)]
+    def fit(m: int) -> list[tuple]:
+        booster = Booster(objective, [models[m]], cuts).hold(copied.value)
+        return [(m, turn, counts[0]) for turn, counts in booster.staged(lengths)]
 
-    found = context.parallelize(dealt, groups).flatMap(fit).collect()
+    found = context.parallelize(range(len(models)), len(models)).flatMap(fit).collect()
     copied.destroy()
     yield from sorted(found)
