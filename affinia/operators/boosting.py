@@ -32,7 +32,7 @@ ONE_BLOCK = 4_000_000  # bins (bytes) of a table that every task may hold
 MOST_SUMS = 4_000_000  # numbers that one job adds up; a level with more open nodes takes several
 WORK = 4_000_000  # (row, model, feature) triples a task adds up, roughly
 SLICE = 500_000  # (row, model) pairs held in memory at once
-DIGITS = 9  # gains are compared to this many decimals, so that the order of a sum decides nothing
+DIGITS = 9  # gains and least Hessians are compared to this many decimals, so that the order of a sum decides nothing
 
 
 # -- binning ------------------------------------------------------------------
@@ -108,7 +108,7 @@ def _logistic(n0, n1, scores, positive):
 def _second_order_gain(nl, gl, hl, n, g, h):
     gr, hr = g - gl, h - hl
     gain = 0.5 * (gl**2 / (hl + LAMBDA) + gr**2 / (hr + LAMBDA) - g**2 / (h + LAMBDA)) - GAMMA
-    return np.where((hl >= LEAST_HESSIAN) & (hr >= LEAST_HESSIAN), gain, -np.inf)
+    return np.where((np.round(hl, DIGITS) >= LEAST_HESSIAN) & (np.round(hr, DIGITS) >= LEAST_HESSIAN), gain, -np.inf)
 
 
 def _variance_gain(nl, gl, hl, n, g, h):
@@ -225,6 +225,16 @@ class Block:
         return train[..., 0], train[..., 1]
 
 
+def _entries(kinds: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The bins other than 0 of all kinds: where a kind's begin, how many it has, and their places in a histogram.
+
+    What a node's histogram has in bin 0 of a feature is the rest of the node, so flags cost nothing where they are not set.
+    """
+    row, feature = np.nonzero(kinds)
+    many = np.bincount(row, minlength=len(kinds))
+    return np.cumsum(many) - many, many, offsets[feature] + kinds[row, feature]
+
+
 def _block(packed: Sequence[bytes], label, fold, weight, starts: np.ndarray) -> Block:
     bins = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
     names, of = np.unique(np.array([bytes(p) for p in packed], object), return_inverse=True)
@@ -299,7 +309,7 @@ class Booster:
         self.pending: list[Trees] = []
         self.blocks: RDD | None = None
         self.block: Block | None = None  # instead of `blocks` where one block is the whole table
-        self.weights = self.stats = self.at = None  # of that block: training weights, statistics in this round, nodes
+        self.weights = self.entries = self.stats = self.at = None  # of that block, the last two in this round
         self.advances = 0
 
     # the scores
@@ -342,6 +352,7 @@ class Booster:
         starts = np.array([m.start for m in self.models], float)
         self.block, self.store_every = replace(block, scores=np.tile(starts, (len(block.kinds), 1))), 1
         self.weights = self.block.weights(np.array([m.fold for m in self.models]))
+        self.entries = _entries(block.kinds, np.cumsum([0, *(len(c) + 1 for c in self.cuts)]))
         return self
 
     def scores(self) -> dict[tuple[bytes, int, int], np.ndarray]:
@@ -365,7 +376,7 @@ class Booster:
         slots = np.full(tree.feature.shape, -1, np.int64)
         slots[tuple(np.array(open_).T)] = np.arange(count)
         every = np.arange(len(self.models))[None, :]
-        held = (self.stats, self.at) if self.block is not None else None
+        held, entries = ((self.stats, self.at), self.entries) if self.block is not None else (None, None)
 
         def histograms(blocks: Iterable[Block]) -> Iterator[np.ndarray]:
             """Sums of n, g and h for each open node, feature and bin."""
@@ -378,28 +389,33 @@ class Booster:
                     stats, at = objective.stats(*b.weights(folds), scores, positive), tree.leaves(b.kinds)
                 slot = slots[every, at]
                 row, model = np.nonzero((slot >= 0) & (stats[0] > 0))
-                slot, stats = slot[row, model], [stat[row, model] for stat in stats]
-                for f, (low, high) in enumerate(zip(offsets, offsets[1:])):
-                    place = slot * (high - low) + b.kinds[row, f]
-                    for total, stat in zip(sums, stats):
-                        total[:, low:high] += np.bincount(place, stat, minlength=count * (high - low)).reshape(count, -1)
+                slot, first, many, place = slot[row, model], *(entries or _entries(b.kinds, offsets))
+                each = many[row]
+                at = np.repeat(first[row] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                place = np.repeat(slot * width, each) + place[at]
+                for total, stat in zip(sums, stats):
+                    stat = stat[row, model]
+                    found = np.bincount(place, np.repeat(stat, each), minlength=count * width).reshape(count, width)
+                    all_ = np.bincount(slot, stat, minlength=count)
+                    found[:, offsets[:-1]] = all_[:, None] - np.add.reduceat(found, offsets[:-1], axis=1)
+                    total += found
             yield sums
 
         sums = self._summed(histograms)
         totals = sums[:, :, : offsets[1]].sum(axis=2)
-        rows = np.arange(count)
-        gains, which, left = np.full(count, -np.inf), np.zeros((2, count), int), np.zeros((3, count))
-        for f, (a, b) in enumerate(zip(offsets, offsets[1:])):
-            if b - a < 2:
-                continue
-            under = np.cumsum(sums[:, :, a : b - 1], axis=2)
-            gain = np.round(objective.gain(*under, *(x[:, None] for x in totals)), DIGITS)
-            at = gain.argmax(axis=1)
-            better = gain[rows, at] > gains
-            gains = np.where(better, gain[rows, at], gains)
-            which[:, better] = np.array([np.full(count, f), at])[:, better]
-            left[:, better] = under[:, rows, at][:, better]
-        return list(zip(*which.tolist(), gains.tolist(), *left.tolist(), *totals.tolist()))
+        widths, cut_at = np.diff(offsets), offsets[:-1] - np.arange(features)  # a feature has a cut less than bins
+        gains, under = np.full((count, width - features), -np.inf), np.zeros((3, count, width - features))
+        for bins in np.unique(widths[widths > 1]):  # features with as many bins together
+            own = np.flatnonzero(widths == bins)
+            left = np.cumsum(sums[:, :, offsets[own][:, None] + np.arange(bins)], axis=-1)[..., :-1]
+            cuts = cut_at[own][:, None] + np.arange(bins - 1)
+            gains[:, cuts] = np.round(objective.gain(*left, *(x[:, None, None] for x in totals)), DIGITS)
+            under[:, :, cuts] = left
+        if not gains.shape[1]:
+            return [(0, 0, -np.inf, 0.0, 0.0, 0.0, *total) for total in totals.T.tolist()]
+        at, rows = gains.argmax(axis=1), np.arange(count)
+        feature = np.searchsorted(cut_at, at, side="right") - 1
+        return list(zip(feature.tolist(), (at - cut_at[feature]).tolist(), gains[rows, at].tolist(), *under[:, rows, at].tolist(), *totals.tolist()))
 
     # rounds
 
