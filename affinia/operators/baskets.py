@@ -11,6 +11,7 @@ from affinia.operators.skew import heavy_keys, spread_join
 from affinia.session import store
 
 ITEMS = ("i1", "i2", "i3")
+SHORT = 60  # items of a basket that is one row with a list
 
 
 def item_dictionary(df: DataFrame, item: str, description: str) -> DataFrame:
@@ -30,7 +31,8 @@ def frequent_itemsets(
     `tx` is `(basket, item)`; duplicates count once (`distinct` says that there are none)
     and items are sorted as strings.
     Each level is written once, because the next one is pruned by it: pairs are built
-    from frequent items only, triples from frequent pairs only.
+    from frequent items only, triples from frequent pairs only. Baskets of up to `SHORT` frequent items are gathered
+    once as lists, whose pairs and triples are formed and counted where they lie; the others are joined.
 
     Baskets with more than `heavy_basket` frequent items would yield the square of
     their length. Up to `min_support - 1` of the longest are therefore set aside: an
@@ -58,11 +60,15 @@ def frequent_itemsets(
     if heavy:
         held = store(bitmaps(numbered(kept, "basket", heavy), "item", len(heavy)), "long_baskets")
 
-    occurrences = _pairs(light, sliced)
+    lists, others = _short(light, sliced)
+    joined = None if others is None else _pairs(others, sliced)
     for size in range(2, max_size + 1):
         keys = list(ITEMS[:size])
-        if size == 3:
-            occurrences = _triples(occurrences, level, sliced)
+        occurrences = _listed_pairs(lists) if size == 2 else _listed_triples(lists, level)
+        if size == 3 and joined is not None:
+            joined = _triples(joined, level, sliced)
+        if joined is not None:
+            occurrences = occurrences.select(*keys).unionByName(joined.select(*keys))
         counts = occurrences.groupBy(*keys).agg(F.count(F.lit(1)).alias("support"))
         if heavy:
             counts = counts.filter(F.col("support") >= min_support - len(heavy))
@@ -75,6 +81,44 @@ def frequent_itemsets(
     return result
 
 
+def _short(light: DataFrame, sliced: list) -> tuple[DataFrame, DataFrame | None]:
+    """Short baskets as sorted lists `(items)`, and the rows of the others, if there are any.
+
+    A basket is known to be short before its items are gathered, so no list is longer than `SHORT`.
+    """
+    named = light.filter(F.col("basket").isNotNull())
+    rest = named.filter(~F.col("basket").isin(sliced)) if sliced else named
+    sized = rest.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("basket")))
+    alone = F.when(F.col("n") > SHORT, F.col("item")).alias("alone")  # a row an item, or null: one a basket
+    gathered = sized.groupBy("basket", alone).agg(F.array_sort(F.collect_list("item")).alias("items"))
+    gathered = store(gathered.filter(F.col("alone").isNotNull() | (F.size("items") > 1)), "lists")
+    long = gathered.filter(F.col("alone").isNotNull()).select("basket", F.col("alone").alias("item"))
+    if sliced:
+        long = long.unionByName(named.filter(F.col("basket").isin(sliced)).select("basket", "item"))
+    elif long.isEmpty():
+        long = None
+    return gathered.filter(F.col("alone").isNull()).select("items"), long
+
+
+def _listed_pairs(lists: DataFrame) -> DataFrame:
+    first = lists.select("items", F.posexplode("items").alias("at", "i1"))
+    after = F.slice("items", F.col("at") + 2, F.size("items"))
+    return first.select("i1", F.explode(after).alias("i2"))
+
+
+def _listed_triples(lists: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Triples of the lists whose three pairs are all frequent."""
+    first = lists.select("items", F.posexplode("items").alias("at", "i1"))
+    after = first.select("i1", F.slice("items", F.col("at") + 2, F.size("items")).alias("items"))
+    pairs = after.select("i1", "items", F.posexplode("items").alias("at", "i2")).join(
+        frequent.select("i1", "i2"), ["i1", "i2"], "left_semi"
+    )
+    found = pairs.select("i1", "i2", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("i3"))
+    for a, b in (("i1", "i3"), ("i2", "i3")):
+        found = found.join(frequent.select(F.col("i1").alias(a), F.col("i2").alias(b)), [a, b], "left_semi")
+    return found
+
+
 def _pairs(kept: DataFrame, sliced: list) -> DataFrame:
     first, second = [kept.select("basket", F.col("item").alias(c)) for c in ("i1", "i2")]
     return spread_join(first, second, "basket", sliced).filter(F.col("i1") < F.col("i2"))
