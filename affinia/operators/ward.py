@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinia.functions.vectors import centroid
 from affinia.operators.summaries import summarise
 from affinia.session import store
 
+BLOCK_ROWS = 8_192  # points of a task of a k-means round
+PAIRS = 250_000  # distances that a task holds at once
+
 
 def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int = 42, rows_per_task: int = 100_000) -> DataFrame:
     """`(id, k, cluster)` for every k in `ks`; the clusterings are nested.
@@ -26,15 +32,19 @@ def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int
     there are no more; it then leaves every distinct point alone, and the result is Ward's own.
     """
     spark = df.sparkSession
-    ready = df.select("id", "features", array_to_vector("features").alias("vector"))
+    ready = df.select("id", "features")
     n = ready.count()
     tasks = max(1, math.ceil(n / rows_per_task))
-    laid_out = ready.repartition(tasks, "id").sortWithinPartitions("id").persist()
-    try:
-        means = KMeans(k=micro, initMode="random", maxIter=20, seed=seed, featuresCol="vector", predictionCol="micro")
-        grouped = store(means.fit(laid_out).transform(laid_out).select("id", "features", "micro"), "micro")
+    vectors = ready.select("id", array_to_vector("features").alias("vector"))
+    laid_out = vectors.repartition(tasks, "id").sortWithinPartitions("id").persist()
+    try:  # without a round these are the points that k-means starts from
+        drawn = KMeans(k=micro, initMode="random", maxIter=0, seed=seed, featuresCol="vector", predictionCol="micro")
+        start = np.array(drawn.fit(laid_out).clusterCenters())
     finally:
         laid_out.unpersist()
+    parts = max(1, math.ceil(n / BLOCK_ROWS))
+    dealt = store(ready.repartition(parts, "id", "features").sortWithinPartitions("id", "features"), "points")
+    grouped = store(assign(dealt, lloyd(dealt.coalesce(parts), start)), "micro")
     rows = (
         summarise(grouped, ["micro"])
         .select("micro", "n", centroid(F.col("n"), F.col("sum")).alias("center"))
@@ -50,6 +60,96 @@ def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int
     return grouped.select("id", "micro").join(F.broadcast(lookup), "micro").select("id", "k", "cluster")
 
 
+def lloyd(df: DataFrame, centers: np.ndarray, rounds: int = 20, tol: float = 1e-4) -> np.ndarray:
+    """The centers after k-means rounds from given ones; a center without points stays where it is.
+
+    Spark's own rounds take a task for each center to measure the centers' distances. Here a round is one job
+    over blocks of arrays that the executors keep; only the sums of the clusters travel, and
+    they are added up in the order of the blocks, so equal tables give equal centers.
+    """
+    width = centers.shape[1]
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"block": pa.array([_matrix(batch, width).tobytes()], pa.binary())})
+
+    blocks = df.select("features").mapInArrow(pack, "block binary").rdd
+    blocks = blocks.map(lambda r: np.frombuffer(r["block"]).reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for _ in range(rounds):
+            counts, sums = _cluster_sums(blocks, centers)
+            held = counts > 0
+            moved = centers.copy()
+            moved[held] = sums[held] / counts[held, None]
+            settled = (((moved - centers) ** 2).sum(axis=1) <= tol * tol).all()
+            centers = moved
+            if settled:
+                break
+    finally:
+        blocks.unpersist()
+    return centers
+
+
+def _cluster_sums(blocks: RDD, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and sum of the points nearest to each center."""
+    together = math.isqrt(blocks.getNumPartitions() - 1) + 1
+    copied = blocks.context.broadcast(centers)
+
+    def part(place: int, arrays: Iterable[np.ndarray]):
+        counts, sums = np.zeros(len(copied.value)), np.zeros(copied.value.shape)
+        for x in arrays:
+            label = nearest(x, copied.value)
+            counts += np.bincount(label, minlength=len(counts))
+            np.add.at(sums, label, x)
+        yield place // together, (place, counts, sums)
+
+    def in_order(found):
+        found = sorted(found, key=lambda f: f[0])
+        return sum(f[1] for f in found), sum(f[2] for f in found)
+
+    groups = blocks.mapPartitionsWithIndex(part).groupByKey(together).mapValues(in_order).collect()
+    copied.destroy()
+    return in_order([(place, *found) for place, found in groups])
+
+
+def assign(df: DataFrame, centers: np.ndarray) -> DataFrame:
+    """`df (id, features)` with `micro`, the number of the nearest center."""
+    width, copied = centers.shape[1], df.sparkSession.sparkContext.broadcast(centers)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("micro", pa.array(nearest(_matrix(batch, width), copied.value), pa.int32()))
+
+    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField("micro", T.IntegerType())]))
+
+
+def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+
+
+def nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The nearest center of each row; equal distances go to the first one.
+
+    |c|² - 2xc ranks the centers of a row up to rounding. Where more than one center may be the
+    nearest within the bound of that error, the differences themselves are squared.
+    """
+    label, step = np.empty(len(x), np.int64), max(1, PAIRS // len(centers))
+    middle = centers.mean(axis=0)
+    c = centers - middle  # a common offset does not cancel the distances
+    square, error = (c * c).sum(axis=1), 8 * (x.shape[1] + 4) * np.finfo(float).eps
+    for at in range(0, len(x), step):
+        rows = x[at : at + step] - middle
+        rank = rows @ (-2 * c.T)
+        most = (rank + square * (1 + error)).min(axis=1) + 2 * error * (rows * rows).sum(axis=1)
+        rank += square * (1 - error)
+        label[at : at + step] = rank.argmin(axis=1)
+        likely = ~(rank > most[:, None])
+        for i in np.flatnonzero(likely.sum(axis=1) != 1):
+            few = np.flatnonzero(likely[i])
+            label[at + i] = few[((x[at + i] - centers[few]) ** 2).sum(axis=1).argmin()]
+    return label
+
+
 def ward_cuts(sizes: np.ndarray, centers: np.ndarray, ks: Sequence[int]) -> dict[int, np.ndarray]:
     """Labels after merging down to each k; the cheapest merge comes first.
 

@@ -94,6 +94,11 @@ def bfr_bounded(spark, sf_dir):
 KS = range(8, 17)
 
 
+def _labelled(labels, df):
+    """Labels with the points, which are dealt by id: their files may be few, and each point has a label for every k."""
+    return labels.join(df.repartition("id"), "id")
+
+
 def ward_nested(spark, sf_dir):
     """Cluster sizes for k = 8 to 16, from one merge sequence."""
     labels = ward_clusters(_points(spark, sf_dir), KS)
@@ -103,13 +108,13 @@ def ward_nested(spark, sf_dir):
 def ward_stats(spark, sf_dir):
     """Statistics of the clusters for k = 8 to 16, as report lines."""
     labels = store(ward_clusters(_points(spark, sf_dir), KS), "ward")
-    return stats_report(cluster_stats(labels.join(_points(spark, sf_dir), "id"), ["k", "cluster"]))
+    return stats_report(cluster_stats(_labelled(labels, _points(spark, sf_dir)), ["k", "cluster"]))
 
 
 def ward_check(spark, sf_dir):
     """For each k the clusters, their points, and how many lie in several clusters of k - 1."""
     labels = store(ward_clusters(_points(spark, sf_dir), KS), "ward")
-    sizes = cluster_stats(labels.join(_points(spark, sf_dir), "id"), ["k", "cluster"])
+    sizes = cluster_stats(_labelled(labels, _points(spark, sf_dir)), ["k", "cluster"])
     sizes = sizes.groupBy("k").agg(F.count(F.lit(1)).alias("n_clusters"), F.sum("n").alias("n_points"))
     coarse = labels.select("id", (F.col("k") + 1).alias("k"), F.col("cluster").alias("outer"))
     split = labels.join(coarse, ["id", "k"]).groupBy("k", "cluster").agg(F.countDistinct("outer").alias("outers"))
