@@ -8,11 +8,10 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from affinia.functions.vectors import centroid
 from affinia.operators.summaries import summarise
@@ -44,13 +43,18 @@ def ward_clusters(df: DataFrame, ks: Sequence[int], micro: int = 500, seed: int
         laid_out.unpersist()
     parts = max(1, math.ceil(n / BLOCK_ROWS))
     dealt = store(ready.repartition(parts, "id", "features").sortWithinPartitions("id", "features"), "points")
-    grouped = store(assign(dealt, lloyd(dealt.coalesce(parts), start)), "micro")
+    centers = lloyd(dealt.coalesce(parts), start)
+    model = model_of(spark, centers)
+    placed = model.transform(dealt.withColumn("vector", array_to_vector("features")))
+    grouped = store(placed.select("id", "features", "micro"), "micro")
     rows = (
         summarise(grouped, ["micro"])
         .select("micro", "n", centroid(F.col("n"), F.col("sum")).alias("center"))
-        .orderBy("micro")
         .collect()
     )
+    place = {center.tobytes(): i for i, center in enumerate(centers)}
+    order = [place[center.tobytes()] for center in model.clusterCenters()]
+    rows.sort(key=lambda row: order[row["micro"]])
     names = [row["micro"] for row in rows]
     cuts = ward_cuts(np.array([r["n"] for r in rows], float), np.array([r["center"] for r in rows], float), ks)
     labels = [
@@ -112,15 +116,11 @@ def _cluster_sums(blocks: RDD, centers: np.ndarray) -> tuple[np.ndarray, np.ndar
     return in_order([(place, *found) for place, found in groups])
 
 
-def assign(df: DataFrame, centers: np.ndarray) -> DataFrame:
-    """`df (id, features)` with `micro`, the number of the nearest center."""
-    width, copied = centers.shape[1], df.sparkSession.sparkContext.broadcast(centers)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.append_column("micro", pa.array(nearest(_matrix(batch, width), copied.value), pa.int32()))
-
-    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField("micro", T.IntegerType())]))
+def model_of(spark: SparkSession, centers: np.ndarray) -> KMeansModel:
+    """Spark's model with these centers, in an order of its own: no round over the centers themselves."""
+    rows = spark.createDataFrame([(center.tolist(),) for center in centers], "center array<double>")
+    means = KMeans(k=max(2, len(centers)), initMode="random", maxIter=0, seed=0, featuresCol="vector", predictionCol="micro")
+    return means.fit(rows.select(array_to_vector("center").alias("vector")))
 
 
 def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
