@@ -14,11 +14,11 @@ from affinia.operators.bitmaps import bitmaps, n_common, numbered
 from affinia.operators.skew import heavy_keys, n_parts, n_slices, ranked, spread_join
 from affinia.session import store
 
-BROADCAST_ROWS = 2_000_000  # links of 16 bytes, 32 MB
-ROUND = 16  # slices of links that one job copies to all tasks
+BROADCAST_ROWS = 2_000_000  # path ends, 16 MB
+ROUND = 256  # times as many path ends are shuffled by a job
 PATHS = 2_000_000  # paths that a task counts and ranks
-COPY_BYTES = 64 << 20  # bitmaps of a slice that are copied to all tasks
-ROUND_BYTES = 32 << 20  # vertices that one job of `_hub_best` compares all open sources with, at most
+LIST = 100_000  # links of a middle that are one list
+ROUND_BYTES = 16 << 20  # vertices that one job of `_hub_best` compares all open sources with, at most
 PIECE_BYTES = 1 << 20  # vertices that a source is compared with at once
 HUB_LIMIT = 4096  # hubs have bits in blocks of 64, so a vertex has at most this many bits
 BLOCK_BYTES = 8 << 20  # vertices that the first round of `_hub_best` compares all sources with
@@ -39,8 +39,8 @@ def mutual_neighbours(
     already its neighbour. Edges `(src, dst)` are directed, so a friend's own list
     decides. Order: most mutual neighbours first, then the smaller id.
 
-    Two-step paths through ordinary vertices are counted where they arise: the first links are laid out by
-    source, and the second ones are copied to all tasks, `broadcast_rows` of them at a time. Paths through
+    Two-step paths through ordinary vertices are counted where they arise: the lists of a source's neighbours
+    are shuffled to it, about ROUND times `broadcast_rows` path ends at a time (0: all paths are joined and shuffled). Paths through
     hubs (in-degree times out-degree above `hub_paths`) are never
     written out, since they grow with the square of the degree: each vertex keeps
     bitmaps of the hubs it reaches and is reached from, and a pair's mutual hubs
@@ -54,9 +54,10 @@ def mutual_neighbours(
         out_of = numbered(links.select(F.col("dst"), "src"), "src", hubs)
         reach = store(bitmaps(into, "src", len(hubs)).withColumnRenamed("bits", "reach"), "reach")
         reached = store(bitmaps(out_of, "dst", len(hubs)).withColumnRenamed("bits", "reached"), "reached")
-    rounds = _count_paths(links, hubs, busy, total, broadcast_rows, reach, reached)
-    if hubs or len(rounds) > 1:  # each round keeps its best, so that few copies are held at a time
-        rounds = [store(_best(r, n).select("src", F.col("candidate").alias("dst"), "n_mutual"), "best") for r in rounds]
+    n_rounds = n_slices(total, ROUND * broadcast_rows) if broadcast_rows else 1
+    rounds = _count_paths(links, hubs, busy, total, n_rounds if broadcast_rows else 0, reach, reached)
+    if hubs or n_rounds > 1:  # each round keeps its best, so that the lists of one round are on disk at a time
+        rounds = (store(_best(r, n).select("src", F.col("candidate").alias("dst"), "n_mutual"), "best") for r in rounds)
     by_path = functools.reduce(DataFrame.union, rounds)
     if not hubs:
         return _best(by_path, n)
@@ -76,45 +77,56 @@ def _large_middles(links: DataFrame, hub_paths: int, busy_paths: int, max_hubs:
     degree = store(degree, "degrees")
     hubs = heavy_keys(degree, "v", hub_paths, max_hubs, F.col("paths"))
     large = heavy_keys(degree, "v", min(hub_paths, busy_paths), max_hubs + 1000, F.col("paths"))
-    total = degree.agg(F.sum("paths")).first()[0] or 0
+    past = degree.filter(~F.col("v").isin(hubs)) if hubs else degree
+    total = past.agg(F.sum("paths")).first()[0] or 0
     return hubs, [v for v in large if v not in set(hubs)], int(total)
 
 
 def _count_paths(
-    links: DataFrame, hubs: list, busy: list, total: int, broadcast_rows: int, reach: DataFrame | None, reached: DataFrame | None
-) -> list[DataFrame]:
+    links: DataFrame, hubs: list, busy: list, total: int, rounds: int, reach: DataFrame | None, reached: DataFrame | None
+) -> Iterator[DataFrame]:
     """`(src, dst, n_mutual)` for pairs that are not linked but on paths past the hubs, in disjoint rounds.
 
-    The mutual hubs of these pairs are counted as well, by their bitmaps.
+    The mutual hubs of these pairs are counted as well, by their bitmaps; only pairs of a vertex that reaches a hub and
+    one that is reached from a hub are looked up.
 
     Every vertex also counts as its own neighbour, without a score: a path that ends in
-    its middle tells that the pair is linked, which spares an anti-join. The first links are laid out by source, in
-    parts of about PATHS of the `total` paths; the second ones are cut by target into slices of `broadcast_rows`
-    links and copied to all tasks, ROUND slices a round, so that paths never leave their task. Without a
-    broadcast the links are joined, with busy middles in slices.
+    its middle tells that the pair is linked, which spares an anti-join. The links of each middle are one list, or
+    several if there are more than LIST. A link fetches the list of its end, and the lists are shuffled by source, in
+    parts of about PATHS of the `total` paths, so that paths never leave their task and nothing passes the driver. A round takes
+    its share of the sources. Without rounds (0) the links are joined, path by path.
     """
     first = links.withColumnRenamed("dst", "mid")
     onward = links.filter(~F.col("src").isin(hubs)) if hubs else links
     own = links.select("dst").distinct().select(F.col("dst").alias("src"), "dst")
     second = onward.unionByName(own).withColumnRenamed("src", "mid")
-    if not broadcast_rows:
-        return [_with_hubs(_unlinked(spread_join(first, second, "mid", busy)), reach, reached)]
-    slices = n_slices(links.count(), broadcast_rows)
-    n = n_parts(links.sparkSession, total // n_slices(slices, ROUND), PATHS)
-    first = first.repartition(n, "src")
+    if not rounds:
+        yield _with_hubs(_unlinked(spread_join(first, second, "mid", busy)), reach, reached)
+        return
     if hubs:
-        reach = reach.repartition(n, "src")
-        copied = reached.count() * 8 * n_slices(len(hubs), 64) <= slices * COPY_BYTES
-    found = []
-    for k in range(slices):
-        some = second if slices == 1 else second.filter(F.pmod(F.xxhash64("dst"), F.lit(slices)) == k)
-        lists = some.groupBy("mid").agg(F.collect_list("dst").alias("_ends"))
-        pairs = _unlinked(first.join(F.broadcast(lists), "mid").select("src", "mid", F.explode("_ends").alias("dst")))
+        second = second.join(reached.select("dst", F.lit(True).alias("_near")), "dst", "left").fillna(False, "_near")
+        first = first.join(reach.select("src", F.lit(True).alias("_by_hub")), "src", "left").fillna(False, "_by_hub")
+    else:
+        second, first = second.withColumn("_near", F.lit(False)), first.withColumn("_by_hub", F.lit(False))
+    long = heavy_keys(second, "mid", LIST, 1000)
+    part = F.when(F.col("mid").isin(long), F.pmod(F.xxhash64("dst"), F.lit(64))).otherwise(F.lit(0)) if long else F.lit(0)
+    ends = [F.collect_list(F.when(F.col("_near") == near, F.col("dst"))).alias(name) for near, name in ((False, "_far"), (True, "_near"))]
+    lists = store(second.groupBy("mid", part.alias("_part")).agg(*ends).drop("_part"), "lists")
+    n = n_parts(links.sparkSession, total // rounds, PATHS)
+    for k in range(rounds):
+        some = first if rounds == 1 else first.filter(F.pmod(F.xxhash64("src"), F.lit(rounds)) == k)
+        met = spread_join(some, lists, "mid", busy)
+        all_ends = F.when(F.col("_by_hub"), F.col("_far")).otherwise(F.concat("_far", "_near")) if hubs else F.col("_far")
+        pairs = _paths(met.select("src", "mid", all_ends.alias("_ends")), n)
         if hubs:
-            bits = reached.filter(F.pmod(F.xxhash64("dst"), F.lit(slices)) == k)
-            pairs = _with_hubs(pairs, reach, F.broadcast(bits) if copied else bits)
-        found.append(pairs)
-    return [functools.reduce(DataFrame.union, found[k : k + ROUND]) for k in range(0, slices, ROUND)]
+            near = _paths(met.filter("_by_hub").select("src", "mid", F.col("_near").alias("_ends")), n)
+            pairs = pairs.unionByName(_with_hubs(near, reach, reached))
+        yield pairs
+
+
+def _paths(met: DataFrame, n: int) -> DataFrame:
+    dealt = met.filter(F.size("_ends") > 0).repartition(n, "src")
+    return _unlinked(dealt.select("src", "mid", F.explode("_ends").alias("dst")))
 
 
 def _with_hubs(pairs: DataFrame, reach: DataFrame | None, reached: DataFrame | None) -> DataFrame:
@@ -165,6 +177,7 @@ def _hub_best(links: DataFrame, reach: DataFrame, reached: DataFrame, n: int, bl
         rows = targets.filter(F.col("block").between(start, stop - 1)).orderBy("place").select("dst", "reached").toArrow()
         ids = rows["dst"].to_numpy()
         bits = rows["reached"].combine_chunks().flatten().to_numpy().reshape(len(ids), words).view(np.uint64)
+        del rows  # the tasks need the arrays only
         # (first row, row after the last, block after the last) of what is compared at once
         pieces = [((at - start) * size, (end - start) * size, end) for at in range(start, stop, piece) for end in [min(stop, at + piece)]]
 

@@ -35,3 +35,26 @@ def test_small_blocks_do_not_make_many_rounds(spark, monkeypatch):
     got = graph.mutual_neighbours(df, n=200, hub_paths=100, block_bytes=20)
     assert collected(got) == brute_force(edges, 200)
     assert 2 < stored.count("sources") < 12
+
+
+@pytest.mark.parametrize("hub_paths", [10**9, 30])
+def test_links_do_not_pass_the_driver(spark, monkeypatch, hub_paths):
+    plans, store = [], graph.store
+    monkeypatch.setattr(graph, "store", lambda df, name: plans.append(plan(df)) or store(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        edges = random_edges(10, n=80, m=300)
+        got = graph.mutual_neighbours(spark.createDataFrame(edges, "src long, dst long"), n=3, hub_paths=hub_paths, block_bytes=400)
+        plans.append(plan(got))
+        assert collected(got) == brute_force(edges, 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the hubs' numbers alone, a list of bounded length, are copied
+    assert sum("BroadcastExchange" in text for text in plans) == (2 if hub_paths == 30 else 0)
+
+
+def test_a_middle_of_many_links_is_several_lists(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LIST", 10)
+    edges = random_edges(12, n=80, m=300)
+    got = graph.mutual_neighbours(spark.createDataFrame(edges, "src long, dst long"), n=3, hub_paths=400)
+    assert collected(got) == brute_force(edges, 3)
