@@ -16,7 +16,7 @@ from affinia.session import store
 
 BROADCAST_ROWS = 2_000_000  # path ends, 16 MB
 ROUND = 256  # times as many path ends are shuffled by a job
-PATHS = 2_000_000  # paths that a task counts and ranks
+PATHS = 150_000  # paths that a task counts and ranks: few enough that its counts stay in the processor's cache
 LIST = 100_000  # links of a middle that are one list
 ROUND_BYTES = 16 << 20  # vertices that one job of `_hub_best` compares all open sources with, at most
 PIECE_BYTES = 1 << 20  # vertices that a source is compared with at once

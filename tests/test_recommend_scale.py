@@ -62,3 +62,39 @@ def test_similarities_beyond_one_copy_are_copied_in_slices(spark, heavy):
     asked = spark.createDataFrame(targets, "user long, item long")
     got = rec.predict_pairs(asked, train, near_df, heavy, 100_000, rest).collect()
     assert {(r["user"], r["item"]): r["predicted"] for r in got} == {t: pytest.approx(p) for t, p in want.items() if p is not None}
+
+
+@pytest.mark.parametrize("heavy", [10_000, 4])
+def test_few_copies_pass_the_driver_at_once(spark, monkeypatch, heavy):
+    stored, store = [], rec.store
+    monkeypatch.setattr(rec, "store", lambda df, name: stored.append(plan(df)) or store(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        train = frame(spark, random_ratings(15))
+        near = sim.stored_neighbours(train, "exact")
+        titles = spark.createDataFrame([(3, "three")], "item long, title string")
+        want = rec.recommend_items(rec.predict_unseen(train, near), titles, 3).collect()
+        got = rec.recommend_items(rec.best_unseen(train, near, 3, heavy_user=heavy, broadcast_rows=10), titles, 3)
+        assert {tuple(r)[:4]: pytest.approx(r["predicted"]) for r in want} == {tuple(r)[:4]: r["predicted"] for r in got.collect()}
+        copies = {text.count("BroadcastExchange") for text in [*stored, plan(got)]}
+        assert len(stored) > 2 and max(copies) <= 2 * rec.AT_ONCE  # a plan's text names each node twice
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("short,heavy,hot_item", [(500, 10_000, 10**6), (6, 10_000, 10**6), (3, 8, 10**6), (500, 10_000, 5)])
+def test_found_pairs_are_counted_beside_all_pairs_of_short_lists(spark, monkeypatch, short, heavy, hot_item):
+    rows = random_ratings(16, users=60, items=25)
+    rows[None, 3] = rows[None, 4] = 1.0  # counts as a user of an item, but meets nobody
+    users = {i: {u for u, j in rows if j == i} for _, i in rows}
+    pairs = frame(spark, rows).select("user", "item")
+    found = [(i, j) if len(users[i]) <= len(users[j]) else (j, i) for i in users for j in users if i < j and (i + j) % 3]
+    found = spark.createDataFrame([(i, j, len(users[i]), len(users[j])) for i, j in found], "item long, other long, n1 long, n2 long")
+    got = sim._with_shared(found, pairs, heavy, short, hot_item)
+    own = {i: u - {None} for i, u in users.items()}
+    sizes = lambda i, j: tuple(sorted((len(users[i]), len(users[j]))))
+    want = [((i, j), sizes(i, j), len(own[i] & own[j])) for i in users for j in users if i < j and (i + j) % 3 and own[i] & own[j]]
+    rows = got.collect()
+    assert sorted(((r["item1"], r["item2"]), tuple(sorted((r["n1"], r["n2"]))), r["n_shared"]) for r in rows) == sorted(want)
+    if (short, hot_item) == (500, 10**6):  # only lists are shuffled, by the first item
+        assert not any("item2" in e or "other" in e for e in exchanged(got))
